@@ -15,6 +15,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("FIRMAMENT_DRIVER_MEMORY", "8g"))
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -124,9 +124,12 @@ class TestTables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def sql(self, text: str, *names: str) -> DataFrame:
         """Run SQL over given tables without registering session-wide views."""
