@@ -14,27 +14,29 @@ PROCESS_LABEL = "Process: "
 _FLAG_WITH_NOTE = r"(?s)^([01])[\s\x{a0}]*(?:\((.*)\))?$"
 
 
-def innovation_flag(c: Column) -> Column:
+def innovation_text(c: Column) -> Column:
+    """Cell as the two functions below take it. Project it first, so it is worked out once."""
+    return null_words_to_null(c)
+
+
+def innovation_flag(text: Column) -> Column:
     """0/1 flag of an innovation cell, NULL when it has none. Pure numbers are cut to whole ones."""
-    s = null_words_to_null(c.cast("string"))
-    number = text_to_double(s)
+    number = text_to_double(text)
     whole = F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast("int")
     return (
-        F.when(number.isNotNull(), F.when(whole.isin(0, 1), whole))
-        .when(s.rlike(_FLAG_WITH_NOTE), F.regexp_extract(s, _FLAG_WITH_NOTE, 1).try_cast("int"))
-        .when(F.lower(s).isin(*YES_WORDS), F.lit(1))
-        .when(F.lower(s).isin(*NO_WORDS), F.lit(0))
+        F.when(text.rlike(_FLAG_WITH_NOTE), F.substring(text, 1, 1).try_cast("int"))
+        .when(F.lower(text).isin(*YES_WORDS), F.lit(1))
+        .when(F.lower(text).isin(*NO_WORDS), F.lit(0))
+        .when(whole.isin(0, 1), whole)
     )
 
 
-def innovation_note(c: Column) -> Column:
+def innovation_note(text: Column) -> Column:
     """Note of an innovation cell: the text in parentheses, or a text without a flag."""
-    s = null_words_to_null(c.cast("string"))
     return (
-        F.when(text_to_double(s).isNotNull(), F.lit(None).cast("string"))
-        .when(s.rlike(_FLAG_WITH_NOTE),
-              empty_to_null(strip(F.regexp_extract(s, _FLAG_WITH_NOTE, 2))))
-        .when(~F.lower(s).isin(*YES_WORDS, *NO_WORDS), s)
+        F.when(text.rlike(_FLAG_WITH_NOTE),
+               empty_to_null(strip(F.regexp_extract(text, _FLAG_WITH_NOTE, 2))))
+        .when(~F.lower(text).isin(*YES_WORDS, *NO_WORDS) & text_to_double(text).isNull(), text)
     )
 
 

@@ -2,9 +2,9 @@
 
 from pyspark.sql import Column, functions as F, types as T
 
-from firmament.functions.text import null_words_to_null, strip
+from firmament.functions.text import strip
 
-_DECIMAL_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)$"
+_MIXED_UP = r"^(?=.*,).*\..*\.[^.,]*$|^(?=.*\.).*,.*,[^.,]*$"
 _FLOAT_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -17,28 +17,28 @@ def text_to_double(c: Column) -> Column:
     return F.when(s.rlike(_FLOAT_TEXT), s.try_cast("double"))
 
 
-def sheet_number(c: Column, dtype: T.DataType = T.StringType()) -> Column:
-    """Number from a hand-filled cell, guessing which separator is the decimal one.
+def number_characters(c: Column) -> Column:
+    """What is left of a cell that can belong to a number; words for "no value" leave none."""
+    return F.regexp_replace(c, r"[^\d\-+.,]", "")
 
-    ``dtype`` is the column's type: numeric columns are already parsed.
+
+def number_of_characters(s: Column) -> Column:
+    """Number from ``number_characters``: the last separator is the decimal point, the others group.
+
+    With both kinds present, the kind of the last one must not occur before; else there is no number.
     """
-    if isinstance(dtype, T.NumericType):
-        return F.nullif(c.cast("double"), F.lit(float("nan")))
-    s = F.regexp_replace(null_words_to_null(c.cast("string")), r"[^\d\-+.,]", "")
-    commas = F.length(s) - F.length(F.replace(s, F.lit(","), F.lit("")))
-    dots = F.length(s) - F.length(F.replace(s, F.lit("."), F.lit("")))
-    without_commas = F.replace(s, F.lit(","), F.lit(""))
-    comma_as_point = F.replace(F.replace(s, F.lit("."), F.lit("")), F.lit(","), F.lit("."))
-    last_dot_as_point = F.regexp_replace(s, r"\.(?=.*\.)", "")
-    last_comma_as_point = F.replace(F.regexp_replace(s, r",(?=.*,)", ""), F.lit(","), F.lit("."))
-    plain = (
-        F.when((commas > 0) & (dots > 0),
-               F.when(s.rlike(r"\.[^.,]*$"), without_commas).otherwise(comma_as_point))
-        .when((dots > 1) & (commas == 0), last_dot_as_point)
-        .when((commas > 0) & (dots == 0), last_comma_as_point)
-        .otherwise(s)
-    )
-    return F.when(plain.rlike(_DECIMAL_TEXT), plain.try_cast("double"))
+    point = F.replace(F.regexp_replace(s, r"[.,](?=.*[.,])", ""), F.lit(","), F.lit("."))
+    return F.when(~s.rlike(_MIXED_UP), point.try_cast("double"))
+
+
+def sheet_number(c: Column) -> Column:
+    """Number from a hand-filled cell, guessing which separator is the decimal one."""
+    return number_of_characters(number_characters(c))
+
+
+def sheet_numbers(cells: list[Column]) -> Column:
+    """``sheet_number`` of many cells as an array; small code however many there are."""
+    return F.transform(F.transform(F.array(*cells), number_characters), number_of_characters)
 
 
 def whole_number(x: Column) -> Column:

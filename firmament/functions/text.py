@@ -11,6 +11,11 @@ _BLANKS = r"\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{20
 _EDGE_BLANKS = "^[" + _BLANKS + "]+|[" + _BLANKS + "]+$"
 
 
+def _words(words: tuple[str, ...]) -> str:
+    """Pattern for one of ``words`` in any letter case with blanks around it."""
+    return "(?iu)^[" + _BLANKS + "]*(" + "|".join(words) + ")[" + _BLANKS + "]*$"
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, _EDGE_BLANKS, "")
 
@@ -21,8 +26,7 @@ def empty_to_null(c: Column) -> Column:
 
 def null_words_to_null(c: Column) -> Column:
     """Stripped text, or NULL where it is one of the words for a missing value."""
-    s = strip(c)
-    return F.when(~F.lower(s).isin(*NULL_WORDS), s)
+    return F.when(~c.rlike(_words(NULL_WORDS)), strip(c))
 
 
 def normal_ticker(c: Column) -> Column:
@@ -37,12 +41,12 @@ def natural_key(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """Blank for the cell merge: NULL or nothing but blanks."""
-    return c.isNull() | (strip(c.cast("string")) == "")
+    return c.isNull() | c.cast("string").rlike("^[" + _BLANKS + "]*$")
 
 
 def is_missing(c: Column) -> Column:
     """Blank for the task list: also the words nan, none and null."""
-    return c.isNull() | F.lower(strip(c.cast("string"))).isin(*TASK_BLANK_WORDS)
+    return c.isNull() | c.cast("string").rlike(_words(TASK_BLANK_WORDS))
 
 
 def filled(c: Column) -> Column:

@@ -20,20 +20,20 @@ def assign_ids(new_rows: DataFrame, id_column: str, arrival: str, existing: Data
     wanted = max(1, min(steps + 1, -(-rows // rows_per_range)))
     splits = sorted({points[(i * (steps + 1)) // wanted - 1] for i in range(1, wanted)}) if wanted > 1 else []
 
-    # Number of split points below the value.
-    bucket = F.size(F.filter(F.array(*map(F.lit, splits)), lambda p: p < F.col(arrival))) if splits else F.lit(0)
-    bucketed = new_rows.withColumn("_range", bucket)
-    # One row per range, so this running total is over at most a thousand rows.
-    before = bucketed.groupBy("_range").count().select(
-        "_range",
-        (F.sum("count").over(Window.orderBy("_range")) - F.col("count")).alias("_before"),
-    )
     base = F.lit(0) if existing is None else existing.agg(
         F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    # Number of split points below the value; all rows are in one range when they are few.
+    inside = F.size(F.filter(F.array(*map(F.lit, splits)), lambda p: p < F.col(arrival))) if splits else F.lit(0)
+    ranged = new_rows.withColumn("_range", inside)
     in_range = F.row_number().over(Window.partitionBy("_range").orderBy(arrival))
-    return (
-        bucketed.withColumn("_in_range", in_range)
-        .join(F.broadcast(before), "_range")
-        .withColumn(id_column, (base + F.col("_before") + F.col("_in_range")).cast("bigint"))
-        .drop("_range", "_before", "_in_range")
-    )
+    numbered = ranged.withColumn("_number", in_range)
+    if splits:
+        # One row per range, so this running total is over at most a thousand rows.
+        before = ranged.groupBy("_range").count().select(
+            "_range",
+            (F.sum("count").over(Window.orderBy("_range")) - F.col("count")).alias("_before"),
+        )
+        numbered = numbered.join(F.broadcast(before), "_range").withColumn(
+            "_number", F.col("_number") + F.col("_before"))
+    return numbered.withColumn(id_column, (base + F.col("_number")).cast("bigint")).drop(
+        "_range", "_number", "_before")

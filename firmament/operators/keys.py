@@ -59,7 +59,8 @@ def without_helpers(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 def keys_first(df: DataFrame, keys: tuple[str, ...], sort_rest: bool = True) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
-    return df.select(*[c for c in keys if c in df.columns], *(sorted(rest) if sort_rest else rest))
+    names = [c for c in keys if c in df.columns] + (sorted(rest) if sort_rest else rest)
+    return df.select(*[F.col(f"`{c}`") for c in names])
 
 
 def ordered(df: DataFrame, *columns: str) -> DataFrame:
