@@ -1,7 +1,7 @@
 """Registered queries and, for each, the SQL that a second engine runs on the same tables."""
 
-from catalogue import cleaning, panel, quality
+from catalogue import cleaning, consolidation, panel, quality, review
 
-_PARTS = (panel, quality, cleaning)
+_PARTS = (panel, quality, cleaning, consolidation, review)
 QUERIES = {name: run for part in _PARTS for name, run in part.QUERIES.items()}
 ORACLES = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
