@@ -105,3 +105,12 @@ def union_by_name(frames: list[DataFrame], fill: str | None = None) -> DataFrame
     for f in frames[1:]:
         out = out.unionByName(aligned(f))
     return out
+
+
+def evaluated(df: DataFrame) -> DataFrame:
+    """Same rows, with the columns worked out here.
+
+    A later filter on a costly expression would otherwise be moved below the projection and the
+    expression repeated there. Columns that come out of a generator stay behind it.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))

@@ -8,6 +8,7 @@ from firmament import schemas
 from firmament.functions.numbers import text_to_double
 from firmament.functions.text import is_blank, natural_key, normal_ticker, strip
 from firmament.operators.identifiers import assign_ids
+from firmament.operators.keys import evaluated
 from firmament.operators.lookups import with_lookup
 from firmament.sources.tables import ROW, with_row_order
 
@@ -15,22 +16,21 @@ from firmament.sources.tables import ROW, with_row_order
 CLEAR_WORDS = ("none", "nan", "", "null", "x")
 
 
-def _is_absent(c: Column) -> Column:
-    return is_blank(c) | (F.lower(strip(c)) == "nan")
+def _is_absent(stripped: Column) -> Column:
+    return stripped.isNull() | F.lower(stripped).isin("", "nan")
 
 
 def _truncated(number: Column) -> Column:
     return F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast("bigint")
 
 
-def _typed_text(value: Column, dtype: T.DataType) -> Column:
+def _typed_text(text: Column, number: Column, dtype: T.DataType) -> Column:
     """Value in the target type as text; NULL when it does not fit."""
-    text = strip(value)
     if isinstance(dtype, T.StringType):
         return text
     if isinstance(dtype, T.IntegralType):
-        return _truncated(text_to_double(text)).try_cast(dtype).cast("string")
-    return F.when(text_to_double(text).isNotNull(), text.try_cast(dtype).cast("string"))
+        return _truncated(number).try_cast(dtype).cast("string")
+    return F.when(number.isNotNull(), text.try_cast(dtype).cast("string"))
 
 
 def eligible_fixes(findings: DataFrame, types: dict[str, T.DataType] | None = None) -> DataFrame:
@@ -43,34 +43,36 @@ def eligible_fixes(findings: DataFrame, types: dict[str, T.DataType] | None = No
     for table, columns in schemas.FACT_COLUMNS.items():
         for column, dtype in columns.items():
             places.setdefault((types or {}).get(column, dtype), []).append(f"{table}.{column}")
-    rows = with_row_order(findings)
-    table, column, value = F.col("table_name"), strip(F.col("column_name")), F.col("new_value")
-    place = F.concat_ws(".", strip(table), column)
-    typed = None
-    for dtype, names in places.items():
-        here = place.isin(*names)
-        one = _typed_text(value, dtype)
-        typed = F.when(here, one) if typed is None else typed.when(here, one)
-    clears = F.lower(value).isin(*CLEAR_WORDS)
-    year = _truncated(text_to_double(F.col("fiscal_year"))).try_cast("int")
+    rows = with_row_order(findings).select(
+        ROW, "message", "new_value",
+        strip(F.col("ticker")).alias("ticker"),
+        strip(F.col("table_name")).alias("table_name"),
+        strip(F.col("column_name")).alias("column_name"),
+        strip(F.col("new_value")).alias("_text"),
+        text_to_double(F.col("fiscal_year")).alias("_year"),
+    ).withColumn("_number", text_to_double(F.col("_text")))
+    table, column = F.col("table_name"), F.col("column_name")
+    place = F.concat_ws(".", table, column)
+    typed = F.coalesce(*[
+        F.when(place.isin(*names), _typed_text(F.col("_text"), F.col("_number"), dtype))
+        for dtype, names in places.items()
+    ])
+    clears = F.lower("new_value").isin(*CLEAR_WORDS)
+    year = _truncated(F.col("_year")).try_cast("int")
     reason = (
         F.when(_is_absent(table), "no table")
         .when(column.rlike("[/,; ]"), "more than one column")
         .when(_is_absent(column), "no column")
         .when(year.isNull(), "not a single year")
-        .when(is_blank(value), "no new value")
-        .when(~strip(table).isin(*schemas.FACT_COLUMNS), "unknown table")
+        .when(is_blank(F.col("new_value")), "no new value")
+        .when(~table.isin(*schemas.FACT_COLUMNS), "unknown table")
         .when(~place.isin(*[n for names in places.values() for n in names]), "unknown column")
         .when(~clears & F.col("_typed").isNull(), "value does not fit the column")
     )
-    return (
-        rows.withColumn("_typed", typed)
-        .select(
-            ROW, strip(F.col("ticker")).alias("ticker"), year.alias("fiscal_year"),
-            strip(table).alias("table_name"), column.alias("column_name"),
-            F.when(~clears, F.col("_typed")).alias("new_value"), "message", reason.alias("reason"),
-        )
-    )
+    return evaluated(rows.withColumn("_typed", typed).select(
+        ROW, "ticker", year.alias("fiscal_year"), "table_name", "column_name",
+        F.when(~clears, F.col("_typed")).alias("new_value"), "message", reason.alias("reason"),
+    ))
 
 
 class Corrections(NamedTuple):
