@@ -1,40 +1,34 @@
 """Pick up extraction documents that came in since the last run."""
 
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from firmament import schemas
-from firmament.sources.documents import document_path
+from firmament.sources.extractions import CSV_OPTIONS, with_file_order, with_source
 
 
 def ingest_new_extractions(spark: SparkSession, folder: str, target: str, checkpoint: str,
                            files_per_batch: int = 10_000) -> StreamingQuery:
-    """Append the cells of documents not seen before to ``target``, then stop.
+    """Add the rows of documents not seen before to ``target``, then stop.
 
-    The checkpoint remembers the documents, so nothing is listed against the target and a run that
-    is cut off goes on where it was. ``checkpoint`` must be a folder all nodes can reach.
+    The checkpoint remembers the documents, so nothing is compared with the target. Each batch has
+    a partition of its own that it overwrites, so a batch that is run again leaves no repeats.
+    ``checkpoint`` must be a folder all nodes can reach.
     """
     cells = (
         spark.readStream.schema(schemas.EXTRACTION_CSV)
-        .option("header", "false")
-        .option("multiLine", "true")
-        .option("escape", '"')
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
+        .options(**CSV_OPTIONS)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(folder)
     )
-    rows = cells.select(
-        "ticker", "fiscal_year", "key", "value",
-        document_path(F.col("_metadata.file_path")).alias("source_file"),
-        # Order within a document; a document is never split over tasks or batches.
-        F.monotonically_increasing_id().alias("seq"),
-    )
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        with_file_order(batch).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
+
     return (
-        rows.writeStream.format("parquet")
-        .option("path", target)
+        with_source(cells)
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
