@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from firmament import schemas
-from firmament.functions.notes import combined_note, innovation_flag, innovation_note, innovation_text, note_part
+from firmament.functions.notes import combined_note, note_part, with_innovation
 from firmament.functions.numbers import sheet_number, statement_number, whole_number
 from firmament.plans.standardise import SHEET_VARIABLES, standardise_panel
 from firmament.standins import TestTables
@@ -71,22 +71,14 @@ def parse_statement_numbers(spark: SparkSession, sf: str) -> DataFrame:
         "event_id", "cell", statement_number(F.col("cell")).alias("number"))
 
 
-def _innovation_cells(spark: SparkSession, sf: str) -> DataFrame:
-    return TestTables(spark, sf).sql(INNOVATION_TEXTS, "orders").select(
-        "o_orderkey", innovation_text(F.col("product")).alias("product"),
-        innovation_text(F.col("process")).alias("process"))
-
-
 def parse_innovation(spark: SparkSession, sf: str) -> DataFrame:
-    product, process = F.col("product"), F.col("process")
-    return _innovation_cells(spark, sf).select(
-        "o_orderkey", innovation_flag(product).alias("product_flag"), innovation_note(product).alias("product_note"),
-        innovation_flag(process).alias("process_flag"), innovation_note(process).alias("process_note"))
+    cells = TestTables(spark, sf).sql(INNOVATION_TEXTS, "orders")
+    return with_innovation(cells, {"product": F.col("product"), "process": F.col("process")}).drop("product", "process")
 
 
 def merge_notes(spark: SparkSession, sf: str) -> DataFrame:
-    return _innovation_cells(spark, sf).select(
-        "o_orderkey", combined_note(innovation_note(F.col("product")), innovation_note(F.col("process"))).alias("note"))
+    return parse_innovation(spark, sf).select(
+        "o_orderkey", combined_note(F.col("product_note"), F.col("process_note")).alias("note"))
 
 
 def split_notes(spark: SparkSession, sf: str) -> DataFrame:

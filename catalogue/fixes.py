@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from catalogue.common import with_tables
+from catalogue.common import scratch, with_tables
 from firmament import schemas
 from firmament.operators.keys import text_cells
 from firmament.plans import corrections
@@ -30,9 +30,9 @@ FIXED_TABLES = ("fact_financial_year", "fact_market_year")
 
 def _placed(spark: SparkSession, sf: str) -> corrections.Corrections:
     t = TestTables(spark, sf)
-    fixes = corrections.eligible_fixes(t.sql(FINDINGS, "orders"))
     facts = t.facts()
-    return corrections.place_fixes(fixes, {n: facts[n] for n in FIXED_TABLES}, t.firms())
+    return corrections.settle_fixes(
+        spark, t.sql(FINDINGS, "orders"), {n: facts[n] for n in FIXED_TABLES}, t.firms(), scratch(spark, "fixes"))
 
 
 def fix_eligible(spark: SparkSession, sf: str) -> DataFrame:

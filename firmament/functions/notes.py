@@ -1,6 +1,6 @@
 """Innovation cells (a 0/1 flag with a note) and the combined evidence note."""
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from firmament.functions.numbers import text_to_double
 from firmament.functions.text import empty_to_null, null_words_to_null, strip
@@ -11,33 +11,48 @@ NO_WORDS = ("no", "false", "không", "khong")
 PRODUCT_LABEL = "Product: "
 PROCESS_LABEL = "Process: "
 
-_FLAG_WITH_NOTE = r"(?s)^([01])[\s\x{a0}]*(?:\((.*)\))?$"
 
+def with_innovation(df: DataFrame, cells: dict[str, Column]) -> DataFrame:
+    """Add ``<name>_flag`` (0, 1 or NULL) and ``<name>_note`` for each innovation cell.
 
-def innovation_text(c: Column) -> Column:
-    """Cell as the two functions below take it. Project it first, so it is worked out once."""
-    return null_words_to_null(c)
+    A cell is a pure number, cut to a whole one; or a 0 or 1 with a note in parentheses; or a spoken
+    yes or no; or else a note without a flag. The steps are projected one by one, so each is worked
+    out once and the generated code stays small.
+    """
+    def per_cell(make) -> dict[str, Column]:
+        return {name: c for cell in cells for name, c in make(cell).items()}
+
+    df = df.withColumns({f"_{n}_text": null_words_to_null(c) for n, c in cells.items()})
+    df = df.withColumns(per_cell(lambda n: {
+        f"_{n}_head": F.substring(f"_{n}_text", 1, 1),
+        f"_{n}_rest": F.ltrim(F.substring(f"_{n}_text", 2, 2**31 - 1), F.lit(" \t\n\r\f\x0b\xa0")),
+        f"_{n}_word": F.lower(f"_{n}_text"),
+    }))
 
+    def look(n: str) -> dict[str, Column]:
+        head, rest = F.col(f"_{n}_head"), F.col(f"_{n}_rest")
+        return {
+            f"_{n}_flagged": head.isin("0", "1") & ((rest == "") | (rest.startswith("(") & rest.endswith(")"))),
+            # Only texts that start like a number are looked at more closely.
+            f"_{n}_number": F.when(head.between("+", "9"), text_to_double(F.col(f"_{n}_text"))),
+        }
 
-def innovation_flag(text: Column) -> Column:
-    """0/1 flag of an innovation cell, NULL when it has none. Pure numbers are cut to whole ones."""
-    number = text_to_double(text)
-    whole = F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast("int")
-    return (
-        F.when(text.rlike(_FLAG_WITH_NOTE), F.substring(text, 1, 1).try_cast("int"))
-        .when(F.lower(text).isin(*YES_WORDS), F.lit(1))
-        .when(F.lower(text).isin(*NO_WORDS), F.lit(0))
-        .when(whole.isin(0, 1), whole)
-    )
+    df = df.withColumns(per_cell(look))
 
+    def result(n: str) -> dict[str, Column]:
+        text, word, rest = F.col(f"_{n}_text"), F.col(f"_{n}_word"), F.col(f"_{n}_rest")
+        flagged, number = F.col(f"_{n}_flagged"), F.col(f"_{n}_number")
+        return {
+            f"{n}_flag": F.when(flagged, F.col(f"_{n}_head").try_cast("int"))
+            .when(word.isin(*YES_WORDS), F.lit(1))
+            .when(word.isin(*NO_WORDS), F.lit(0))
+            .when((number > -1) & (number < 2), number.try_cast("int")),
+            f"{n}_note": F.when(flagged, empty_to_null(strip(F.substring(rest, F.lit(2), F.length(rest) - 2))))
+            .when(~word.isin(*YES_WORDS, *NO_WORDS) & number.isNull(), text),
+        }
 
-def innovation_note(text: Column) -> Column:
-    """Note of an innovation cell: the text in parentheses, or a text without a flag."""
-    return (
-        F.when(text.rlike(_FLAG_WITH_NOTE),
-               empty_to_null(strip(F.regexp_extract(text, _FLAG_WITH_NOTE, 2))))
-        .when(~F.lower(text).isin(*YES_WORDS, *NO_WORDS) & text_to_double(text).isNull(), text)
-    )
+    steps = ("text", "head", "rest", "word", "flagged", "number")
+    return df.withColumns(per_cell(result)).drop(*[f"_{n}_{step}" for n in cells for step in steps])
 
 
 def combined_note(product: Column, process: Column) -> Column:

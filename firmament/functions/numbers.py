@@ -27,8 +27,14 @@ def number_of_characters(s: Column) -> Column:
 
     With both kinds present, the kind of the last one must not occur before; else there is no number.
     """
+    one_dot = F.length(s) - F.length(F.replace(s, F.lit("."), F.lit(""))) <= 1
     point = F.replace(F.regexp_replace(s, r"[.,](?=.*[.,])", ""), F.lit(","), F.lit("."))
-    return F.when(~s.rlike(_MIXED_UP), point.try_cast("double"))
+    # Most cells are plain numbers or empty, and need no pattern.
+    return (
+        F.when(s.isin("", "-"), F.lit(None).cast("double"))
+        .when(one_dot & ~s.contains(","), s.try_cast("double"))
+        .when(~s.rlike(_MIXED_UP), point.try_cast("double"))
+    )
 
 
 def sheet_number(c: Column) -> Column:
@@ -48,13 +54,8 @@ def whole_number(x: Column) -> Column:
 
 def statement_number(c: Column) -> Column:
     """Number as financial statements print it: dots group digits, parentheses negate."""
-    s = strip(c.cast("string"))
-    signed = F.when(
-        s.contains("(") & s.contains(")"),
-        F.replace(F.replace(s, F.lit("("), F.lit("-")), F.lit(")"), F.lit("")),
-    ).otherwise(s)
-    digits = F.regexp_replace(signed, r"[^\d\-]", "")
-    return F.when(digits.rlike(r"^-?\d+$"), digits.try_cast("double"))
+    signed = F.when(c.contains("(") & c.contains(")"), F.replace(c, F.lit("("), F.lit("-"))).otherwise(c)
+    return F.when(~c.isin("", "-"), F.regexp_replace(signed, r"[^\d\-]", "").try_cast("double"))
 
 
 def year_truncated(c: Column) -> Column:

@@ -6,18 +6,13 @@ from pyspark.sql import Column, functions as F
 NULL_WORDS = ("", "-", "na", "n/a", "null", "none", "thiếu", "thieu", "nan")
 TASK_BLANK_WORDS = ("", "nan", "none", "null")
 
-# Blank characters at the ends of a text; SQL trim only knows the space.
-_BLANKS = r"\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-_EDGE_BLANKS = "^[" + _BLANKS + "]+|[" + _BLANKS + "]+$"
-
-
-def _words(words: tuple[str, ...]) -> str:
-    """Pattern for one of ``words`` in any letter case with blanks around it."""
-    return "(?iu)^[" + _BLANKS + "]*(" + "|".join(words) + ")[" + _BLANKS + "]*$"
+# Characters cut off at the ends of a text; SQL trim alone only knows the space.
+_BLANKS = "".join(chr(c) for c in (*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+                                   0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, _EDGE_BLANKS, "")
+    return F.trim(c, F.lit(_BLANKS))
 
 
 def empty_to_null(c: Column) -> Column:
@@ -26,7 +21,8 @@ def empty_to_null(c: Column) -> Column:
 
 def null_words_to_null(c: Column) -> Column:
     """Stripped text, or NULL where it is one of the words for a missing value."""
-    return F.when(~c.rlike(_words(NULL_WORDS)), strip(c))
+    s = strip(c)
+    return F.when(~F.lower(s).isin(*NULL_WORDS), s)
 
 
 def normal_ticker(c: Column) -> Column:
@@ -41,12 +37,12 @@ def natural_key(c: Column) -> Column:
 
 def is_blank(c: Column) -> Column:
     """Blank for the cell merge: NULL or nothing but blanks."""
-    return c.isNull() | c.cast("string").rlike("^[" + _BLANKS + "]*$")
+    return c.isNull() | (strip(c.cast("string")) == "")
 
 
 def is_missing(c: Column) -> Column:
     """Blank for the task list: also the words nan, none and null."""
-    return c.isNull() | c.cast("string").rlike(_words(TASK_BLANK_WORDS))
+    return c.isNull() | F.lower(strip(c.cast("string"))).isin(*TASK_BLANK_WORDS)
 
 
 def filled(c: Column) -> Column:

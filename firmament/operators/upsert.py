@@ -32,22 +32,31 @@ def upsert(target: DataFrame, batch: DataFrame, keys: tuple[str, ...], arrival:
     Repeated keys in the batch: the last by ``arrival`` wins. Columns only the target has keep
     their stored value; new rows get ``defaults`` for them. With ``touched`` the table holds only
     partitions (values of that column) the batch has rows for, which is what has to be rewritten.
+
+    One full outer join: target and batch are read once, and the batch stays where its
+    deduplication has put it. Keys are unique on both sides, so no key can be hot.
     """
-    last = first_rows(batch, keys, F.col(arrival).desc()).drop(arrival)
-    kept = [c for c in target.columns if c not in last.columns]
+    last = first_rows(batch, keys, F.col(arrival).desc()).drop(arrival).withColumn("_new", F.lit(True))
     if touched:
         # One row per partition value; prunes the scan of the target when it is partitioned by it.
-        target = target.join(last.select(touched).distinct(), touched, "left_semi")
-    stored = target.select(*keys, *kept, F.lit(True).alias("_stored"))
+        target = target.join(batch.select(touched).distinct(), touched, "left_semi")
     defaults = defaults or {}
-    changes = last.join(stored, list(keys), "left").select(
-        *[F.col(c) for c in last.columns],
-        *[F.when(F.col("_stored"), F.col(c)).otherwise(defaults.get(c, F.lit(None))).alias(c) for c in kept],
-        F.when(F.col("_stored"), "update").otherwise("insert").alias("_action"),
-    )
-    untouched = target.join(last.select(*keys), list(keys), "left_anti")
+    new, old = last.alias("new"), target.withColumn("_stored", F.lit(True)).alias("old")
+    met = old.join(new, list(keys), "full_outer")
+    is_new, is_stored = F.col("new._new").isNotNull(), F.col("old._stored").isNotNull()
+
+    def cell(c: str) -> Column:
+        if c in keys:
+            return F.col(c)
+        if c in last.columns:
+            return F.when(is_new, F.col(f"new.{c}")).otherwise(F.col(f"old.{c}")).alias(c)
+        return F.when(is_stored, F.col(f"old.{c}")).otherwise(defaults.get(c, F.lit(None))).alias(c)
+
+    columns = [*target.columns, *(c for c in last.columns if c not in target.columns and c != "_new")]
+    action = F.when(is_stored, "update").otherwise("insert").alias("_action")
     return Upsert(
-        untouched.unionByName(changes.drop("_action").select(*untouched.columns)), changes
+        met.select(*[cell(c) for c in columns]),
+        met.filter(is_new).select(*[cell(c) for c in columns], action),
     )
 
 

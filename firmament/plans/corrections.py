@@ -2,7 +2,7 @@
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from firmament import schemas
 from firmament.functions.numbers import text_to_double
@@ -10,6 +10,7 @@ from firmament.functions.text import is_blank, natural_key, normal_ticker, strip
 from firmament.operators.identifiers import assign_ids
 from firmament.operators.keys import evaluated
 from firmament.operators.lookups import with_lookup
+from firmament.sources.sinks import overwrite
 from firmament.sources.tables import ROW, with_row_order
 
 # Texts of a new value that mean "clear the cell".
@@ -20,16 +21,12 @@ def _is_absent(stripped: Column) -> Column:
     return stripped.isNull() | F.lower(stripped).isin("", "nan")
 
 
-def _truncated(number: Column) -> Column:
-    return F.when(number >= 0, F.floor(number)).otherwise(F.ceil(number)).try_cast("bigint")
-
-
 def _typed_text(text: Column, number: Column, dtype: T.DataType) -> Column:
     """Value in the target type as text; NULL when it does not fit."""
     if isinstance(dtype, T.StringType):
         return text
     if isinstance(dtype, T.IntegralType):
-        return _truncated(number).try_cast(dtype).cast("string")
+        return number.try_cast("bigint").try_cast(dtype).cast("string")
     return F.when(number.isNotNull(), text.try_cast(dtype).cast("string"))
 
 
@@ -58,7 +55,7 @@ def eligible_fixes(findings: DataFrame, types: dict[str, T.DataType] | None = No
         for dtype, names in places.items()
     ])
     clears = F.lower("new_value").isin(*CLEAR_WORDS)
-    year = _truncated(F.col("_year")).try_cast("int")
+    year = F.col("_year").try_cast("int")
     reason = (
         F.when(_is_absent(table), "no table")
         .when(column.rlike("[/,; ]"), "more than one column")
@@ -112,6 +109,20 @@ def place_fixes(fixes: DataFrame, facts: dict[str, DataFrame], firms: DataFrame)
     return Corrections(accepted, rejected)
 
 
+def settle_fixes(spark: SparkSession, findings: DataFrame, facts: dict[str, DataFrame], firms: DataFrame,
+                 staging: str, types: dict[str, T.DataType] | None = None) -> Corrections:
+    """``eligible_fixes`` and ``place_fixes`` with both results written to ``staging``.
+
+    Every table and the log read the fixes, so they are worked out once and kept where all nodes
+    can read them again.
+    """
+    overwrite(eligible_fixes(findings, types), f"{staging}/eligible")
+    placed = place_fixes(spark.read.parquet(f"{staging}/eligible"), facts, firms)
+    overwrite(placed.accepted, f"{staging}/accepted")
+    overwrite(placed.rejected, f"{staging}/rejected")
+    return Corrections(spark.read.parquet(f"{staging}/accepted"), spark.read.parquet(f"{staging}/rejected"))
+
+
 def corrected_fact(fact: DataFrame, table: str, accepted: DataFrame) -> DataFrame:
     """The fact table with the fixed cells; the last fix of a cell wins and may clear it."""
     columns = [c for c in schemas.FACT_COLUMNS[table] if c in fact.columns]
@@ -163,7 +174,7 @@ def sync_master(master: DataFrame, accepted: DataFrame, columns: list[str] | Non
     )
     keyed = master.withColumns({
         "_ticker": normal_ticker(F.col("ticker")),
-        "_year": _truncated(text_to_double(F.col("fiscal_year"))).try_cast("int"),
+        "_year": text_to_double(F.col("fiscal_year")).try_cast("int"),
     })
     joined = keyed.join(last, ["_ticker", "_year"], "left")
 

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from firmament import schemas
-from firmament.functions.notes import combined_note, innovation_flag, innovation_note, innovation_text
+from firmament.functions.notes import combined_note, with_innovation
 from firmament.functions.numbers import price_or_implied, sheet_numbers, whole_number
 from firmament.functions.text import normal_ticker
 from firmament.operators.keys import require_columns
@@ -35,25 +35,25 @@ def standardise_panel(sheet: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
         normal_ticker(F.col("ticker")).alias("ticker"),
         *[F.nullif(F.col(c).cast("double"), F.lit(float("nan"))).alias(c) for c in numbers if c not in as_text],
         sheet_numbers([text(c) for c in as_text]).alias("_numbers"),
-        innovation_text(text("product_innovation")).alias("_product"),
-        innovation_text(text("process_innovation")).alias("_process"),
+        text("product_innovation").alias("product"),
+        text("process_innovation").alias("process"),
     )
+    parsed = with_innovation(parsed, {"product": F.col("product"), "process": F.col("process")})
 
     def number(c: str) -> Column:
         if c in as_text:
             return F.get("_numbers", F.lit(as_text.index(c)))
         return F.col(c) if c in numbers else F.lit(None).cast("double")
 
-    product, process = F.col("_product"), F.col("_process")
     rows = parsed.select(
         *keep,
         "ticker",
         whole_number(number("fiscal_year")).alias("fiscal_year"),
         *[(whole_number(number(c)) if c in schemas.WHOLE_NUMBER_VARIABLES else number(c)).alias(c)
           for c in SHEET_VARIABLES],
-        innovation_flag(product).alias("product_innovation"),
-        innovation_flag(process).alias("process_innovation"),
-        combined_note(innovation_note(product), innovation_note(process)).alias("evidence_note"),
+        F.col("product_flag").alias("product_innovation"),
+        F.col("process_flag").alias("process_innovation"),
+        combined_note(F.col("product_note"), F.col("process_note")).alias("evidence_note"),
     )
     implied = price_or_implied(F.col("share_price"), F.col("market_value_equity"), F.col("shares_outstanding"))
     return rows.na.drop(subset=list(schemas.SHEET_KEY)).withColumn("share_price", implied)

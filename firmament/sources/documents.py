@@ -21,9 +21,9 @@ def stem(name: Column, suffix: str = ".csv") -> Column:
     return F.replace(name, F.lit(suffix), F.lit(""))
 
 
-def report_year(name: Column) -> Column:
-    """First run of four digits in a file name; NULL when there is none."""
-    return F.nullif(F.regexp_extract(name, r"(\d{4})", 1), F.lit("")).try_cast("int")
+def report_year(path: Column) -> Column:
+    """First run of four digits in a document's base name; NULL when there is none."""
+    return F.regexp_extract(path, r"(?:^|[/=])[^/=]*?(\d{4})[^/=]*$", 1).try_cast("int")
 
 
 def ticker_of_uri(path: Column) -> Column:

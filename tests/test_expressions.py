@@ -84,9 +84,9 @@ INNOVATION = [
 
 
 def test_innovation_cells(table):
-    cells = [c for c, _, _ in INNOVATION]
-    assert values(table, cells, lambda c: notes.innovation_flag(notes.innovation_text(c))) == [f for _, f, _ in INNOVATION]
-    assert values(table, cells, lambda c: notes.innovation_note(notes.innovation_text(c))) == [n for _, _, n in INNOVATION]
+    df = table([(i, c) for i, (c, _, _) in enumerate(INNOVATION)], "i int, c string")
+    got = notes.with_innovation(df, {"x": F.col("c")}).orderBy("i").collect()
+    assert [(r.c, r.x_flag, r.x_note) for r in got] == INNOVATION
 
 
 def test_combined_note(table):
