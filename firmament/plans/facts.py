@@ -83,7 +83,8 @@ def load_facts(spark: SparkSession, panel: DataFrame, tables: dict[str, DataFram
     resolved = spark.read.parquet(f"{staging}/resolved")
     batch, changes = StagedBatch(spark, staging), {}
     for table, path in fact_paths.items():
-        done = upsert_fact(spark.read.parquet(path), fact_rows(resolved, table, **constants),
+        stored = spark.read.schema(schemas.fact_schema(table)).parquet(path)
+        done = upsert_fact(stored, fact_rows(resolved, table, **constants),
                            F.lit(loaded_at).cast("timestamp"), touched_only=True)
         batch.stage(table, done.table, path)
         changes[table] = done.changes

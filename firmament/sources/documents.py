@@ -48,7 +48,7 @@ def list_pdfs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 
 
 def list_csvs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All CSV documents below ``paths``, one row each."""
+    """All CSV documents below ``paths``, one row each. Spark leaves files of no bytes out of listings."""
     return (
         _listing(spark, paths, "*.csv")
         .groupBy(document_path(F.col("path")).alias("path"))

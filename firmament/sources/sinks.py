@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from firmament.operators.keys import text_cells
 
+WRITERS_PER_PARTITION = 16
+
 
 def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace a whole table; an empty one keeps its columns."""
@@ -11,9 +13,9 @@ def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> N
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
-    """Replace only the partitions ``df`` has rows for."""
+    """Replace only the partitions ``df`` has rows for. A partition with many rows is written by several tasks."""
     (
-        df.repartition(*partition_by, F.spark_partition_id() % 16)
+        df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(WRITERS_PER_PARTITION)))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
