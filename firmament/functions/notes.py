@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from firmament.functions.numbers import text_to_double
+from firmament.functions.numbers import stripped_to_double
 from firmament.functions.text import empty_to_null, null_words_to_null, strip
 
 # Spoken forms of the flag, and the labels inside a combined note.
@@ -34,7 +34,7 @@ def with_innovation(df: DataFrame, cells: dict[str, Column]) -> DataFrame:
         return {
             f"_{n}_flagged": head.isin("0", "1") & ((rest == "") | (rest.startswith("(") & rest.endswith(")"))),
             # Only texts that start like a number are looked at more closely.
-            f"_{n}_number": F.when(head.between("+", "9"), text_to_double(F.col(f"_{n}_text"))),
+            f"_{n}_number": F.when(head.between("+", "9"), stripped_to_double(F.col(f"_{n}_text"))),
         }
 
     df = df.withColumns(per_cell(look))
@@ -56,11 +56,14 @@ def with_innovation(df: DataFrame, cells: dict[str, Column]) -> DataFrame:
 
 
 def combined_note(product: Column, process: Column) -> Column:
-    """``Product: a | Process: b``, leaving out an absent note; NULL when both are absent."""
+    """``Product: a | Process: b``, leaving out an absent note; NULL when both are absent.
+
+    Notes come stripped from ``with_innovation``.
+    """
     return empty_to_null(F.concat_ws(
         " | ",
-        F.concat(F.lit(PRODUCT_LABEL), strip(product)),
-        F.concat(F.lit(PROCESS_LABEL), strip(process)),
+        F.concat(F.lit(PRODUCT_LABEL), product),
+        F.concat(F.lit(PROCESS_LABEL), process),
     ))
 
 

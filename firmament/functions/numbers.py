@@ -8,15 +8,19 @@ _MIXED_UP = r"^(?=.*,).*\..*\.[^.,]*$|^(?=.*\.).*,.*,[^.,]*$"
 _FLOAT_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
-def text_to_double(c: Column) -> Column:
-    """Plain or scientific number text to double, anything else NULL.
+def stripped_to_double(s: Column) -> Column:
+    """Plain or scientific number text without blanks around it to double, anything else NULL.
 
     The pattern keeps out what a JVM cast would also take ("1d", "NaN").
     """
-    s = strip(c.cast("string"))
     return F.when(s.rlike(_FLOAT_TEXT), s.try_cast("double"))
 
 
+def text_to_double(c: Column) -> Column:
+    """``stripped_to_double`` of a cell as it comes."""
+    return stripped_to_double(strip(c.cast("string")))
+
+
 def number_characters(c: Column) -> Column:
     """What is left of a cell that can belong to a number; words for "no value" leave none."""
     return F.regexp_replace(c, r"[^\d\-+.,]", "")

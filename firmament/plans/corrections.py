@@ -5,7 +5,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from firmament import schemas
-from firmament.functions.numbers import text_to_double
+from firmament.functions.numbers import stripped_to_double, text_to_double
 from firmament.functions.text import is_blank, natural_key, normal_ticker, strip
 from firmament.operators.identifiers import assign_ids
 from firmament.operators.keys import evaluated
@@ -47,7 +47,7 @@ def eligible_fixes(findings: DataFrame, types: dict[str, T.DataType] | None = No
         strip(F.col("column_name")).alias("column_name"),
         strip(F.col("new_value")).alias("_text"),
         text_to_double(F.col("fiscal_year")).alias("_year"),
-    ).withColumn("_number", text_to_double(F.col("_text")))
+    ).withColumn("_number", stripped_to_double(F.col("_text")))
     table, column = F.col("table_name"), F.col("column_name")
     place = F.concat_ws(".", table, column)
     typed = F.coalesce(*[

@@ -6,7 +6,7 @@ from firmament import schemas
 from firmament.functions.notes import combined_note, with_innovation
 from firmament.functions.numbers import price_or_implied, sheet_numbers, whole_number
 from firmament.functions.text import normal_ticker
-from firmament.operators.keys import require_columns
+from firmament.operators.keys import evaluated, require_columns
 
 SHEET_VARIABLES = [
     *schemas.OWNERSHIP, *schemas.MARKET, *schemas.CASHFLOW, *schemas.FINANCIAL, *schemas.META,
@@ -38,7 +38,8 @@ def standardise_panel(sheet: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
         text("product_innovation").alias("product"),
         text("process_innovation").alias("process"),
     )
-    parsed = with_innovation(parsed, {"product": F.col("product"), "process": F.col("process")})
+    # The rows without a key are dropped behind this, with the numbers parsed once.
+    parsed = with_innovation(evaluated(parsed), {"product": F.col("product"), "process": F.col("process")})
 
     def number(c: str) -> Column:
         if c in as_text:

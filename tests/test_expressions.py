@@ -90,7 +90,7 @@ def test_innovation_cells(table):
 
 
 def test_combined_note(table):
-    df = table([(1, "a ", "b"), (2, None, "b"), (3, "a", None), (4, None, None)], "i int, p string, q string").orderBy("i")
+    df = table([(1, "a", "b"), (2, None, "b"), (3, "a", None), (4, None, None)], "i int, p string, q string").orderBy("i")
     got = [r[0] for r in df.select(notes.combined_note(F.col("p"), F.col("q"))).collect()]
     assert got == ["Product: a | Process: b", "Process: b", "Product: a", None]
 
