@@ -3,22 +3,23 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 ROWS_PER_RANGE = 1_000_000
+MOST_RANGES = 1000
 
 
 def assign_ids(new_rows: DataFrame, id_column: str, arrival: str, existing: DataFrame | None = None,
                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Number ``new_rows`` by the numeric column ``arrival``, going on after the greatest existing id.
 
-    Runs one aggregate to learn how many rows there are and where to split them. The split points
-    are literals in the plan, so ids do not change when a lost task is run again.
+    Counts the rows, and only where they are many for one task looks for points to split them at.
+    Split points and the counts between them are literals in the plan, so ids do not change when a
+    lost task is run again.
     """
-    steps = 999
-    rows, points = new_rows.agg(
-        F.count(F.lit(1)),
-        F.percentile_approx(arrival, [(i + 1) / (steps + 1) for i in range(steps)], 10_000),
-    ).first()
-    wanted = max(1, min(steps + 1, -(-rows // rows_per_range)))
-    splits = sorted({points[(i * (steps + 1)) // wanted - 1] for i in range(1, wanted)}) if wanted > 1 else []
+    rows = new_rows.count()
+    wanted = min(MOST_RANGES, -(-rows // rows_per_range))
+    splits = []
+    if wanted > 1:
+        shares = [i / wanted for i in range(1, wanted)]
+        splits = sorted(set(new_rows.agg(F.percentile_approx(arrival, shares, 10 * MOST_RANGES)).first()[0]))
 
     base = F.lit(0) if existing is None else existing.agg(
         F.coalesce(F.max(id_column), F.lit(0))).scalar()
@@ -26,14 +27,14 @@ def assign_ids(new_rows: DataFrame, id_column: str, arrival: str, existing: Data
     inside = F.size(F.filter(F.array(*map(F.lit, splits)), lambda p: p < F.col(arrival))) if splits else F.lit(0)
     ranged = new_rows.withColumn("_range", inside)
     in_range = F.row_number().over(Window.partitionBy("_range").orderBy(arrival))
-    numbered = ranged.withColumn("_number", in_range)
+    number = in_range
     if splits:
-        # One row per range, so this running total is over at most a thousand rows.
-        before = ranged.groupBy("_range").count().select(
-            "_range",
-            (F.sum("count").over(Window.orderBy("_range")) - F.col("count")).alias("_before"),
-        )
-        numbered = numbered.join(F.broadcast(before), "_range").withColumn(
-            "_number", F.col("_number") + F.col("_before"))
-    return numbered.withColumn(id_column, (base + F.col("_number")).cast("bigint")).drop(
-        "_range", "_number", "_before")
+        # At most a thousand counts: how many rows the ranges before each one hold.
+        counts = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}
+        before = [sum(n for r, n in counts.items() if r < at) for at in range(len(splits) + 1)]
+        number = in_range + F.get(F.array(*map(F.lit, before)), F.col("_range"))
+    return (
+        ranged.withColumn("_number", number)
+        .withColumn(id_column, (base + F.col("_number")).cast("bigint"))
+        .drop("_range", "_number")
+    )
