@@ -22,11 +22,6 @@ def grouped(x: Column) -> Column:
     return F.format_number(x, 0)
 
 
-def value_tuple(*cols: Column) -> Column:
-    """``(a, b, c)`` of the operands of a multi-column rule."""
-    return F.concat(F.lit("("), F.concat_ws(", ", *[decimal_text(c) for c in cols]), F.lit(")"))
-
-
 def sheet_text(c: Column) -> Column:
     """Double as sheet text: whole numbers without exponent or fraction."""
     whole = c.try_cast("decimal(38,0)")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from firmament.functions.text import filled, is_missing, normal_ticker
 from firmament.operators.keys import (
-    KeyColumns, key_columns, keys_first, require_columns, sheet_keys, text_cells, union_by_name,
+    key_columns, keys_first, require_columns, sheet_keys, text_cells, union_by_name,
     without_helpers,
 )
 from firmament.operators.side_by_side import side_by_side
