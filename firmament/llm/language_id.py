@@ -17,16 +17,17 @@ _LETTER = regex.compile(r"\p{L}")
 
 
 def features(data: bytes) -> np.ndarray:
-    b = np.frombuffer(b" " + data + b" ", np.uint8).astype(np.uint32)
+    """Feature of each three bytes that follow each other."""
+    b = np.frombuffer(data, np.uint8).astype(np.uint32)
     gram = (b[:-2] << np.uint32(16)) | (b[1:-1] << np.uint32(8)) | b[2:]
     return (gram * np.uint32(2654435761)) >> np.uint32(17)
 
 
 def gram_counts(text: str) -> np.ndarray:
-    """How often each feature occurs in a text of any length."""
-    data, counts = text.lower().encode(), np.zeros(FEATURES, np.int64)
-    for i in range(0, len(data), 1 << 20):
-        counts += np.bincount(features(data[max(0, i - 2):i + (1 << 20)] if i else data[:1 << 20]), minlength=FEATURES)
+    """How often each feature occurs in a text of any length, a blank at either end."""
+    data, counts = f" {text.lower()} ".encode(), np.zeros(FEATURES, np.int64)
+    for i in range(0, len(data) - 2, 1 << 20):
+        counts += np.bincount(features(data[i:i + (1 << 20) + 2]), minlength=FEATURES)
     return counts
 
 

@@ -8,67 +8,100 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmament.llm.common import byte_texts, materialised, table
+from firmament.llm.common import byte_texts, table
 
 DEPTH = 2
 #: Counters of a sketch row that are merged and kept together.
 CHUNK = 1 << 22
-#: Windows that a task holds at once.
-AT_ONCE = 1_500_000
+#: Bytes of text whose windows a task holds at once (whole documents, so a longer one is taken alone).
+AT_ONCE = 8 << 20
+#: Bytes that are hashed at once.
+SLICE = 1 << 20
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
 
 
-class WordHashes(dict):
-    """128-bit hashes of words; starts anew when it holds many."""
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_128_digest(word)
-        return value
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit mixing, one to one."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """128-bit hash of each word, as two rows of numbers: sums of bytes times a random factor of their place, then mixed."""
+    out = np.empty((2, len(starts)), np.uint64)
+    if not len(starts):
+        return out
+    places = np.arange(1, lengths.max() + 1, dtype=np.uint64)
+    factors = [mixed(places * m) for m in _MULTIPLIERS]
+    ends = np.cumsum(lengths)
+    cuts = np.unique(np.searchsorted(ends, np.arange(0, ends[-1] + SLICE, SLICE)))
+    for a, b in zip(cuts, [*cuts[1:], len(starts)]):
+        if a < b:
+            first = ends[a:b] - lengths[a:b] - (ends[a] - lengths[a])
+            place = np.arange(first[-1] + lengths[b - 1]) - np.repeat(first, lengths[a:b])
+            value = data[place + np.repeat(starts[a:b], lengths[a:b])].astype(np.uint64) + np.uint64(1)
+            for i, factor in enumerate(factors):
+                out[i, a:b] = mixed(np.add.reduceat(value * factor[place], first) + lengths[a:b].astype(np.uint64))
+    return out
 
 
-def window_hashes(words: list[bytes], width: int, hashes: WordHashes) -> np.ndarray:
-    """128-bit hash of each window of ``width`` words, as rows of two numbers: two polynomials by repeated doubling."""
-    n = len(words) - width + 1
+def window_hashes(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Number of windows of each text, and 128-bit hashes of all of them: two polynomials in the words' hashes, by doubling."""
+    data = np.frombuffer(b"\n".join(texts), np.uint8)
+    solid = np.zeros(len(data) + 2, bool)
+    np.logical_not(_BLANK[data], out=solid[1:-1])
+    edges = np.flatnonzero(solid[1:] != solid[:-1])
+    starts = edges[::2]
+    power = word_hashes(data, starts, edges[1::2] - starts)
+    ends = np.cumsum([len(t) + 1 for t in texts])
+    words = np.diff(np.searchsorted(starts, ends), prepend=0)
+    sizes = np.maximum(words - width + 1, 0)
+    n = len(starts) - width + 1
     if n <= 0:
-        return np.empty((0, 2), np.uint64)
-    power = np.frombuffer(b"".join(map(hashes.__getitem__, words)), "<u8").reshape(-1, 2)
-    base, span, out, covered = _MULTIPLIERS.copy(), 1, None, 0
-    factor = base  # multiplier to the power of span
-    rest = width
+        return sizes, np.empty((2, 0), np.uint64)
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), words)
+    inside = text[:n] == text[width - 1:]
+    return sizes, np.stack([_windows(row, m, width, n)[inside] for row, m in zip(power, _MULTIPLIERS)])
+
+
+def _windows(power: np.ndarray, factor: np.uint64, width: int, n: int) -> np.ndarray:
+    span, out, covered, rest = 1, None, 0, width
     while rest:
         if rest & 1:
             part = power[covered:covered + n]
-            out = part.copy() if out is None else out * factor + part
+            out = part if out is None else out * factor + part
             covered += span
         rest >>= 1
         if rest:
             power = power[:-span] * factor + power[span:]
-            factor, span = factor * factor, 2 * span
+            factor, span = np.multiply(factor, factor, dtype=np.uint64), 2 * span
     return out
 
 
 def chunks_of(batches, width: int):
-    """Chunks of whole texts with about ``AT_ONCE`` windows: ids, text hashes, windows per text, window hashes."""
-    hashes, ids, marks, sizes, found, held = WordHashes(), [], [], [], [], 0
+    """Chunks of whole texts of about ``AT_ONCE`` bytes: ids, text hashes, windows per text, window hashes."""
+    ids, held, size = [], [], 0
     for batch, texts in byte_texts(batches):
         for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-            rows = window_hashes(text.split(), width, hashes) if text else ()
-            if len(rows):
+            if text:
                 ids.append(NO_ID if doc_id is None else doc_id)
-                marks.append(xxhash.xxh3_64_intdigest(text) >> 32)
-                sizes.append(len(rows))
-                found.append(rows)
-                held += len(rows)
-                if held >= AT_ONCE:
-                    yield np.array(ids, np.int64), np.array(marks, np.uint32), np.array(sizes), np.concatenate(found)
-                    ids, marks, sizes, found, held = [], [], [], [], 0
+                held.append(text)
+                size += len(text)
+                if size >= AT_ONCE:
+                    yield _chunk(ids, held, width)
+                    ids, held, size = [], [], 0
     if held:
-        yield np.array(ids, np.int64), np.array(marks, np.uint32), np.array(sizes), np.concatenate(found)
+        yield _chunk(ids, held, width)
+
+
+def _chunk(ids: list[int], texts: list[bytes], width: int):
+    marks = np.array([xxhash.xxh3_64_intdigest(t) >> 32 for t in texts], np.uint32)
+    return np.array(ids, np.int64), marks, *window_hashes(texts, width)
 
 
 #: Place of documents without id: behind all others.
@@ -93,7 +126,7 @@ def sketch_parts(width: int, counters: int):
     def run(batches):
         for _, _, _, hashes in chunks_of(batches, width):
             for row in range(DEPTH):
-                at = np.sort(bucket(hashes[:, row], counters))
+                at = np.sort(bucket(hashes[row], counters))
                 first = np.concatenate([[True], at[1:] != at[:-1]])
                 starts = np.flatnonzero(first)
                 twice = np.diff(np.append(starts, len(at))) > 1
@@ -139,12 +172,12 @@ def in_order(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def starts_by_document(entries: np.ndarray):
-    """(id, mark, packed starts) of each document among ``entries``."""
+    """(id, mark, starts as bytes) of each document among ``entries``."""
     entries = entries[np.lexsort((entries["start"], entries["mark"], entries["id"]))]
     if len(entries):
         new = (np.diff(entries["id"]) != 0) | (np.diff(entries["mark"]) != 0)
         for part in np.split(entries, np.flatnonzero(new) + 1):
-            yield int(part["id"][0]), int(part["mark"][0]), packed(np.unique(part["start"]).astype(np.int64))
+            yield int(part["id"][0]), int(part["mark"][0]), np.unique(part["start"]).tobytes()
 
 
 def candidate_windows(width: int, counters: int, slots: int, bitmaps: list[bytes]):
@@ -156,14 +189,14 @@ def candidate_windows(width: int, counters: int, slots: int, bitmaps: list[bytes
     def run(batches):
         repeated = [np.frombuffer(zlib.decompress(b), np.uint8) for b in bitmaps]
         for ids, marks, sizes, hashes in chunks_of(batches, width):
-            keep = np.ones(len(hashes), bool)
+            keep = np.ones(hashes.shape[1], bool)
             for row in range(DEPTH):
-                at = bucket(hashes[:, row], counters)
+                at = bucket(hashes[row], counters)
                 keep &= (repeated[row][at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
             at = np.flatnonzero(keep)
             doc = np.repeat(np.arange(len(ids)), sizes)[at]
             entries = np.empty(len(at), ENTRY)
-            entries["a"], entries["b"] = hashes[at, 0], hashes[at, 1]
+            entries["a"], entries["b"] = hashes[0, at], hashes[1, at]
             entries["id"], entries["mark"] = ids[doc], marks[doc]
             entries["start"] = at - np.concatenate([[0], np.cumsum(sizes)])[doc]
             entries, first = in_order(entries)
@@ -210,14 +243,14 @@ def without_removed(width: int):
             totals, removed, digests, kept = [], [], [], []
             for text, parts in zip(texts, batch.column(2).to_pylist(), strict=True):
                 words = text.split() if text else []
-                mark = xxhash.xxh3_64_intdigest(text) >> 32 if parts else 0
-                starts = [unpacked(p["starts"]) for p in parts or () if p["mark"] == mark]
+                mark = xxhash.xxh3_64_intdigest(text) >> 32 if parts and text else 0
+                starts = [np.frombuffer(p["starts"], "<u4") for p in parts or () if p["mark"] == mark]
                 gone = 0
                 if starts:
                     edges = np.zeros(len(words) + 1, np.int64)
-                    for s in [np.unique(np.concatenate(starts))]:
-                        np.add.at(edges, s, 1)
-                        np.add.at(edges, s + width, -1)
+                    at = np.unique(np.concatenate(starts)).astype(np.int64)
+                    edges[at] += 1
+                    edges[at + width] -= 1
                     covered = np.cumsum(edges[:-1]) > 0
                     gone = int(covered.sum())
                     words_left = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]

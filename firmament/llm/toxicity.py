@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from collections import Counter
 
 import numpy as np
@@ -14,7 +13,7 @@ from firmament.llm.common import is_held_out, materialised, table
 from firmament.llm.decontamination import FOLD
 
 #: Examples of the index that share one bound per term.
-BLOCK = 64
+BLOCK = 128
 
 
 def terms_of(text: str | None) -> list[bytes]:
@@ -58,49 +57,51 @@ def weights(counts: tuple[tuple[int, int], ...], idf: np.ndarray) -> tuple[np.nd
 
 
 class BlockMaxIndex:
-    """Postings per term in blocks of examples, each block with the term's largest weight there."""
+    """Inverted lists in blocks of examples: per block the terms it holds, their weights, and each term's largest weight there.
+
+    Examples are ordered by their heaviest term, so that a term is heavy in few blocks and bounds are tight.
+    """
 
     def __init__(self, examples: list[tuple[tuple[int, int], ...]], idf: np.ndarray):
-        self.rows, self.blocks = len(examples), -(-len(examples) // BLOCK)
-        held: dict[int, list[tuple[int, float]]] = {}
-        for i, counts in enumerate(examples):
-            for t, w in zip(*weights(counts, idf)):
-                held.setdefault(int(t), []).append((i, w))
-        self.postings, self.bounds, self.cuts = {}, {}, {}
-        for t, rows in held.items():
-            at, w = np.array([r for r, _ in rows]), np.array([x for _, x in rows])
-            top = np.zeros(self.blocks)
-            np.maximum.at(top, at // BLOCK, w)
-            self.postings[t], self.bounds[t] = (at, w), top
-            self.cuts[t] = np.searchsorted(at, np.arange(self.blocks + 1) * BLOCK)
+        rows = [weights(counts, idf) for counts in examples]
+        self.order = np.array(sorted(range(len(rows)), key=lambda i: (rows[i][0][rows[i][1].argmax()], -rows[i][1].max(), i)), np.int64)
+        self.blocks = -(-len(rows) // BLOCK)
+        self.bounds = np.zeros((len(idf), self.blocks))
+        self.lists, self.place = [], np.full((self.blocks, len(idf)), -1, np.int32)
+        for b in range(self.blocks):
+            held = [rows[i] for i in self.order[b * BLOCK:(b + 1) * BLOCK]]
+            terms = np.unique(np.concatenate([t for t, _ in held]))
+            self.place[b, terms] = np.arange(len(terms))
+            lists = np.zeros((len(terms) + 1, BLOCK))  # the last list is empty: terms that the block doesn't hold
+            for i, (t, w) in enumerate(held):
+                lists[self.place[b, t], i] = w
+            self.lists.append(lists)
+            self.bounds[terms, b] = lists[:-1].max(axis=1)
 
     def nearest(self, counts: tuple[tuple[int, int], ...], idf: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The ``k`` examples of largest cosine above 0, best first (ties: the earlier example).
 
         Blocks are read in order of the sum of their terms' bounds, until no unread block can reach the k-th best.
         """
-        terms, w = weights(counts, idf) if counts else ((), ())
-        own = [(int(t), x) for t, x in zip(terms, w) if int(t) in self.postings]
-        if not own:
+        if not counts or not self.blocks:
             return []
-        bound = sum(x * self.bounds[t] for t, x in own)
-        best: list[tuple[float, int]] = []
+        terms, w = weights(counts, idf)
+        bound = w @ self.bounds[terms]
+        sims, ids, least = np.empty(0), np.empty(0, np.int64), 0.0
         for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 0 or len(best) == k and bound[block] < best[0][0] - 1e-12:
+            if bound[block] <= 1e-12 or bound[block] < least - 1e-9:
                 break
-            sims = np.zeros(BLOCK)
-            for t, x in own:
-                a, b = self.cuts[t][block], self.cuts[t][block + 1]
-                at, values = self.postings[t]
-                sims[at[a:b] - block * BLOCK] += x * values[a:b]
-            sims = np.round(sims, 12)
-            for i in np.flatnonzero(sims > (best[0][0] - 1e-12 if len(best) == k else 0)).tolist():
-                row = (float(sims[i]), -(block * BLOCK + i))
-                if len(best) < k:
-                    heapq.heappush(best, row)
-                else:
-                    heapq.heappushpop(best, row)
-        return [(s, -i) for s, i in sorted(best, reverse=True)]
+            found = np.round(w @ self.lists[block][self.place[block, terms]], 12)
+            at = np.flatnonzero(found >= max(least, 1e-12))
+            if len(at):
+                sims, ids = np.concatenate([sims, found[at]]), np.concatenate([ids, self.order[block * BLOCK + at]])
+                if len(sims) > k:
+                    best = np.lexsort((ids, -sims))[:k]
+                    sims, ids = sims[best], ids[best]
+                if len(sims) == k:
+                    least = float(sims.min())
+        best = np.lexsort((ids, -sims))
+        return list(zip(sims[best].tolist(), ids[best].tolist()))
 
 
 def vote(near: list[tuple[float, int]], labels: np.ndarray, prior: float, pull: float) -> float:
@@ -133,7 +134,7 @@ def scores(vocabulary, idf, examples, names, labels, prior, k: int, pull: float)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-             examples: int = 20_000, terms: int = 2_000, least_chi2: float = 15.0, k: int = 15, pull: float = 0.5) -> DataFrame:
+             examples: int = 8_192, terms: int = 1_000, least_chi2: float = 30.0, k: int = 15, pull: float = 0.5) -> DataFrame:
     """Toxicity of each document: ``id_col, held_out, score, predicted, evidence``.
 
     Learns from labelled rows that aren't held out: at most ``examples`` of them, in order of their id's hash (the

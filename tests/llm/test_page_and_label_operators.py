@@ -1,0 +1,273 @@
+"""Operators on pages, languages and labels against plain versions, round trips and held-out rows; the pipeline and the queries."""
+
+import hashlib
+import io
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import __spark_entry__ as spark_entry
+import corpus_pipeline
+from firmament.llm import exact_dedup, language_id, queries, toxicity, url_filter, warc
+from tools import check
+
+SMALL = "/root/testdata/sf0.001"
+PAGES = "page_id long, url string, html string, host string, row int"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+# URL filter
+
+URLS = ["http://a.Example.NET/en/1?x", "https://example.net/en", "ftp://x.org/fr/9#top", "http://org/fr/", "nothing", "", None, "http://", "https://q",
+        "http://h.com/a/b://c/d", "http://example.com/de/5.html", "http://badexample.com/de/5", "http://h.com/p\n/q", "x http://y.org/fr/z"]
+
+
+def plain_split(url):
+    m = re.search(r"://([^/?#]*)([^?#]*)", url or "")
+    return (re.sub("[A-Z]", lambda c: c[0].lower(), m[1]), m[2]) if m else ("", "")
+
+
+def test_hosts_paths_and_rules(spark):
+    pages = spark.createDataFrame([(i, u, "h", "clash", 1) for i, u in enumerate(URLS)], PAGES)
+    got = url_filter.url_filter(pages, spark.createDataFrame([], "page_id long, bad int"), url_filter.RULES).collect()
+    for r in got:
+        host, path = plain_split(URLS[r.page_id])
+        fits = [(len(rule), rule, verdict) for rule, verdict in url_filter.RULES
+                if (host == rule.split("/")[0] or host.endswith("." + rule.split("/")[0])) and path.startswith("/" + rule.partition("/")[2])]
+        want = max(fits)[1:] if fits else (None, "allow")
+        assert (r.host, r.path, r.rule, r.verdict) == (host, path, *want)
+    assert len(got) == len(URLS)
+
+
+def plain_tree(forms, min_share, weight, most_bad, similar):
+    """Verdicts by form, with dictionaries: (host, s1..s4) -> (pages, labelled, bad)."""
+    named = {f: [f[0]] for f in forms}
+    for d in range(1, 5):
+        node, child = Counter(), Counter()
+        for f, (pages, _, _) in forms.items():
+            node[tuple(named[f])] += pages
+            child[tuple(named[f]), f[d]] += pages
+        for f in forms:
+            at = tuple(named[f])
+            named[f] = named[f] + ["*" if f[d] is not None and child[at, f[d]] < min_share * node[at] else f[d]]
+    n, k = sum(v[1] for v in forms.values()), sum(v[2] for v in forms.values())
+    share = defaultdict(lambda: k / n if n else 0.0)
+    for d in range(5):
+        counts = defaultdict(lambda: [0, 0])
+        for f, v in forms.items():
+            counts[tuple(named[f][:d + 1])][0] += v[1]
+            counts[tuple(named[f][:d + 1])][1] += v[2]
+        if d == 0:
+            share = {node: (c[1] + weight * (k / n if n else 0.0)) / (c[0] + weight) for node, c in counts.items()}
+            continue
+        new, children = {}, defaultdict(list)
+        for node, c in counts.items():
+            above = share[node[:-1]]
+            own = (c[1] + weight * above) / (c[0] + weight)
+            children[node[:-1]].append((own, node[-1] is not None, node[-1] or "", own * (1 - own) / (c[0] + weight), node, c))
+        for parent, listed in children.items():
+            listed.sort(key=lambda x: x[:3])
+            branches = [[listed[0]]]
+            for before, one in zip(listed, listed[1:]):
+                if one[0] - before[0] > similar * math.sqrt(one[3] + before[3]):
+                    branches.append([])
+                branches[-1].append(one)
+            for branch in branches:
+                value = (sum(x[5][1] for x in branch) + weight * share[parent]) / (sum(x[5][0] for x in branch) + weight)
+                new.update({x[4]: value for x in branch})
+        share = new
+    return {f: (share[tuple(named[f])], "block" if share[tuple(named[f])] > most_bad else "allow") for f in forms}
+
+
+def test_tree(spark):
+    rng = random.Random(3)
+    forms = {}
+    for host in ("a.com", "b.org", ""):
+        for _ in range(80):
+            path = [rng.choice(["en", "shop", "{n}", "x", f"r{rng.randrange(60)}"]) for _ in range(rng.randrange(5))]
+            forms[host, *path, *[None] * (4 - len(path))] = [rng.randrange(1, 40), 0, 0]
+    for f, v in forms.items():
+        v[1] = rng.randrange(v[0] + 1)
+        v[2] = sum(rng.random() < (0.9 if "shop" in f else 0.1) for _ in range(v[1]))
+    table = spark.createDataFrame([(*f, *v) for f, v in forms.items()], "host string, s1 string, s2 string, s3 string, s4 string, pages long, labelled long, bad long")
+    got = url_filter.template_tree(table, min_share=0.02).collect()
+    want = plain_tree(forms, 0.02, 10.0, 0.5, 1.96)
+    assert len(got) == len(forms) and {r.verdict for r in got} == {"allow", "block"}
+    for r in got:
+        share, verdict = want[r.host, r.s1, r.s2, r.s3, r.s4]
+        assert r.bad_share == pytest.approx(share) and r.verdict == verdict
+
+
+def test_no_pages(spark):
+    none = spark.createDataFrame([], PAGES)
+    assert url_filter.url_filter(none, spark.createDataFrame([], "page_id long, bad int"), url_filter.RULES).count() == 0
+
+
+# WARC
+
+def test_archives_round_trip(spark, tmp_path):
+    big = "".join(random.Random(1).choices("abc é<>\r\n", k=300_000))
+    htmls = ["x" * 100, "x" * 99, "x" * 99, "", None, "\r\n\r\n" * 40, big, "x" * 100, "WARC/1.1\r\n" * 20, "x" * 100]
+    data = [(i + 5, f"http://h/{i}\r\nX: é", h, "clash", 1) for i, h in enumerate(htmls)] + [(5, None, "x" * 100, None, None), (None, None, "x" * 100, None, None)]
+    pages = spark.createDataFrame(data, PAGES).repartition(3)
+    folder = f"file://{tmp_path}"
+    listed = warc.write_archives(pages, folder, most_bytes=2000)
+    got = warc.read_archives(listed, folder)
+    want = []
+    for i, _, h, *_ in data:
+        payload = (h or "").encode()
+        first = min(j for j, _, g, *_ in data if j is not None and g == h) if h else None
+        again = len(payload) >= 100 and i is not None and i != first
+        want.append((i, len(payload), hashlib.sha256(payload).hexdigest(), "revisit" if again else "response", first if again else None,
+                     None if again else bytearray(payload)))
+    assert rows(got.drop("url")) == sorted(want, key=repr)
+    assert warc.read_archives(warc.write_archives(pages.limit(0), folder), folder).count() == 0
+
+
+def test_reader_names_damage():
+    good = [warc.member(warc.record(i, "http://h/", b"page %d" % i, 6, hashlib.sha256(b"page %d" % i).hexdigest(), None, "d")) for i in range(3)]
+    found = [warc.verified(*r)[0] for r in warc.records_of(io.BytesIO(b"".join(good)))]
+    assert found == [b"page 0", b"page 1", b"page 2"]
+    whole = zlib.decompress(good[1], 31)
+    for damaged in (good[0] + good[1][:-9], b"plain", warc.member(whole.replace(b"page 1", b"page 2")), warc.member(whole[:-1]), warc.member(whole + whole),
+                    warc.member(whole.replace(b"WARC/1.1", b"WARC/9")), good[0] + b"rest"):
+        with pytest.raises(warc.DamagedArchive):
+            [warc.verified(*r) for r in warc.records_of(io.BytesIO(damaged))]
+
+
+# Language ID
+
+def test_language_of_held_out_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = language_id.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r.lang == r.lang_pred for r in got) > 0.97 * len(got)
+    assert all(0 <= r.score <= 1 and abs(sum(x.share for x in r.languages) - 1) < 1e-6 for r in got)
+
+
+def test_mixtures_and_texts_without_language(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang", "source")
+    parts = {lang: docs.where(f"lang = '{lang}' AND n_chars > 2000").orderBy("doc_id").first().text[:2000] for lang in ("en", "de")}
+    odd = [(-1, parts["en"] + parts["de"], "xx"), (-2, None, "en"), (-3, "", "en"), (-4, "123 ... 🙂", "en"), (-5, parts["en"], None), (-5, parts["de"], None), (None, "the and of", None)]
+    table = docs.unionByName(spark.createDataFrame([(*r, None) for r in odd], docs.schema))
+    got = language_id.language_id(table.where("lang <> 'xx' OR lang IS NULL").unionByName(table.where("lang = 'xx'").withColumn("lang", F.lit(None))))
+    by = defaultdict(list)
+    for r in got.where("doc_id < 0 OR doc_id IS NULL").collect():
+        by[r.doc_id].append(r)
+    mixed = {x.lang: x.share for x in by[-1][0].languages}
+    assert set(mixed) == {"en", "de"} and 0.35 < mixed["en"] < 0.65
+    assert all(by[i][0].lang_pred == "und" and by[i][0].score == 0 for i in (-2, -3, -4))
+    assert sorted(r.lang_pred for r in by[-5]) == ["de", "en"] and len(by[None]) == 1
+
+
+def test_nothing_to_learn_from(spark, empty):
+    assert language_id.language_id(empty).count() == 0
+    unknown = spark.createDataFrame([(1, "some text", None), (2, None, "en")], "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in language_id.language_id(unknown).collect()} == {"und"}
+
+
+def test_shares_find_a_known_mixture():
+    rng = np.random.default_rng(0)
+    likelihood = rng.dirichlet(np.ones(500), 3).T
+    weights = rng.multinomial(50_000, likelihood @ [0.6, 0.4, 0.0]).astype(float)
+    shares, fit = language_id.shares_of(likelihood, weights, rounds=200, tolerance=1e-7)
+    assert np.abs(shares - [0.6, 0.4, 0.0]).max() < 0.03
+    assert fit >= float(weights @ np.log(likelihood @ np.array([0.6, 0.4, 0.0]) + 1e-300)) - 1e-6
+
+
+def test_long_texts_are_counted_whole():
+    text = "abc déf " * 300_000
+    assert np.array_equal(language_id.gram_counts(text), np.bincount(language_id.features(f" {text} ".encode()), minlength=language_id.FEATURES))
+
+
+# Toxicity
+
+def test_nearest_examples_are_exact():
+    rng = random.Random(4)
+    idf = np.array([1 + rng.random() * 4 for _ in range(60)])
+    draw = lambda: tuple(sorted({rng.randrange(60): rng.randrange(1, 5) for _ in range(rng.randrange(1, 6))}.items()))
+    examples = [draw() for _ in range(900)] + [((3, 1),)] * 40
+    index = toxicity.BlockMaxIndex(examples, idf)
+
+    def cosine(a, b):
+        (ta, wa), (tb, wb) = toxicity.weights(a, idf), toxicity.weights(b, idf)
+        other = dict(zip(tb.tolist(), wb))
+        return round(sum(w * other.get(t, 0.0) for t, w in zip(ta.tolist(), wa)), 12)
+    for query in [draw() for _ in range(60)] + [((3, 2),)]:
+        want = sorted(((cosine(query, e), i) for i, e in enumerate(examples)), key=lambda x: (-x[0], x[1]))[:15]
+        got = index.nearest(query, idf, 15)
+        assert [round(s, 9) for s, _ in got] == [round(s, 9) for s, _ in want if s > 0]
+    assert index.nearest((), idf, 5) == [] and toxicity.BlockMaxIndex([], idf).nearest(((1, 1),), idf, 5) == []
+
+
+def test_toxicity_of_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").select("toxic", "predicted", "score").collect()
+    caught = [r.predicted for r in got if r.toxic == 1]
+    clean = [r.predicted for r in got if r.toxic == 0]
+    assert sum(caught) > 0.8 * len(caught) and sum(clean) < 0.02 * len(clean) and all(0 <= r.score <= 1 for r in got)
+
+
+def test_toxicity_of_odd_rows(spark, docs, empty):
+    marks = spark.createDataFrame([(3 * i, i % 2, "x") for i in range(30)] + [(0, 0, "x"), (3, None, "x"), (None, 1, "x"), (99999, 1, "x")], "doc_id long, toxic int, text string")
+    assert toxicity.toxicity(docs, marks).count() == docs.count()
+    assert toxicity.toxicity(empty, marks).count() == 0
+    assert {r.score for r in toxicity.toxicity(docs, marks.limit(0)).collect()} == {0.0}
+
+
+# Queries and pipeline
+
+@pytest.fixture(scope="module")
+def con():
+    return check.connect(SMALL)
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_queries(spark, con, name):
+    ok, text = check.compare(spark, con, SMALL, name)
+    assert ok, text
+
+
+def test_all_queries_are_registered():
+    assert set(queries.QUERIES) <= set(spark_entry.queries()) and set(queries.ORACLES) <= set(spark_entry.oracle_sql())
+
+
+def test_stages_follow_their_operators(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = docs.unionByName(spark.createDataFrame([(100_000, None, None, None, None), (100_001, "12 34", None, None, None)], docs.schema))
+    kept, sizes = docs, []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, kept, "/root/testdata/sf0.01").cache()
+        assert after.columns == docs.columns
+        before_ids, ids = ({r.doc_id for r in x.select("doc_id").collect()} for x in (kept, after))
+        gone = before_ids - ids
+        if name == "language":
+            assert {100_000, 100_001} <= gone and len(gone) < 0.02 * len(before_ids)
+        if name == "exact_dedup":
+            assert gone == {r.doc_id for r in exact_dedup.exact_dedup(kept).where("NOT kept").collect()} and gone
+        if name == "simhash":
+            groups = dict(queries.simhash.simhash_groups(kept).select("doc_id", "component_id").collect())
+            assert ids == set(groups.values())
+        if name == "decontamination":
+            from tests.llm.test_text_operators import plain_contamination
+            items = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").select("item_id", "text").collect()]
+            want = plain_contamination([tuple(r) for r in kept.select("doc_id", "text").collect()], items)
+            assert gone == {r[0] for r in want if r[5]} and gone
+        sizes.append(len(ids))
+        kept = after
+    pieces = corpus_pipeline.STAGES[-1][1](spark, kept, "/root/testdata/sf0.01")
+    assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in kept.select("doc_id").collect()}
+
+
+def test_pipeline_of_nothing(spark, tmp_path, empty):
+    empty.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
