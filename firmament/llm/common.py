@@ -43,6 +43,13 @@ def materialised(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the bytes of a batch that Spark hands to a Python task, unless the session does; its bound on rows alone lets long texts add up."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) in (None, str(2**31 - 1)):
+        spark.conf.set(name, str(8 << 20))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

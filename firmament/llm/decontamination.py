@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmament.llm.common import ascii_lower, byte_texts, materialised, table
+from firmament.llm.common import ascii_lower, bounded_batches, byte_texts, materialised, table
 
 #: Letters and digits of ASCII and all other characters make words, as UTF-8 bytes: A-Z in lower case, the rest a blank.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -158,6 +158,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, shingle:
     item without id hits words but isn't listed. Null and empty texts have no words; items without words have no windows.
     Rows that repeat, and null ids, are judged by their text. An empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = texts.schema["id"].dataType.simpleString()
     sizes = texts.mapInArrow(word_counts, f"id {kind}, n_words long, text_sha256 string")

@@ -8,7 +8,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmament.llm.common import is_held_out, table
+from firmament.llm.common import bounded_batches, is_held_out, table
 
 UNKNOWN = "und"
 #: Features: byte trigrams of the lower-cased text, hashed.
@@ -139,6 +139,7 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     texts where there is nothing to learn from are ``und`` with score 0 and no gain. Whole texts are read; languages and texts
     that are null teach nothing; rows that repeat an id each get a row. An empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     languages, logs = learn(docs, id_col, text_col, lang_col, rows)
     texts = docs.select(F.col(id_col).alias("id"), is_held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     kind = texts.schema["id"].dataType.simpleString()

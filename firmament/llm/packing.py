@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmament.llm.common import materialised, table
+from firmament.llm.common import bounded_batches, materialised, table
 
 _ENCODERS: dict[str, tiktoken.Encoding] = {}
 
@@ -132,6 +132,7 @@ def pack(docs: DataFrame, window: int = 1024, ranks_file: str = "byte_bpe_50k.ti
     Only the number of pieces per length (``window`` rows at most) reaches the driver, which returns a placement table
     of ranks. Pieces of a length are ranked in ``least_salts`` or more salted groups, so a common length isn't one task.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     pieces = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = pieces.schema["id"].dataType.simpleString()

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmament.llm.common import byte_texts, materialised, table
+from firmament.llm.common import bounded_batches, byte_texts, materialised, table
 from firmament.llm.components import components
 
 #: Fingerprints below one leaf of the index.
@@ -191,6 +191,7 @@ def simhash_groups(docs: DataFrame, radius: int = 3, size: int = 3, id_col: str
 
     Equal fingerprints are one node, named by their smallest id, so copies are never paired.
     """
+    bounded_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     prints = materialised(texts.mapInArrow(fingerprints_of(size), "id long, fp long"), "fingerprints")
     distinct = materialised(prints.groupBy("fp").agg(F.min("id").alias("name")), "distinct-fingerprints")

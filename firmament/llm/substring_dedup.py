@@ -11,13 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmament.llm.common import byte_texts, table
+from firmament.llm.common import bounded_batches, byte_texts, table
 
 DEPTH = 2
 #: Counters of a sketch row that are merged and kept together.
 CHUNK = 1 << 22
 #: Bytes of text whose windows a task holds at once (whole documents, so a longer one is taken alone).
-AT_ONCE = 8 << 20
+AT_ONCE = 6 << 20
 #: Bytes that are hashed at once.
 SLICE = 1 << 20
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -113,12 +113,16 @@ def bucket(hashes: np.ndarray, counters: int) -> np.ndarray:
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Ascending numbers as compressed steps."""
-    return zlib.compress(np.diff(values, prepend=0).astype("<u4").tobytes(), 1)
+    """Ascending numbers as steps; their upper bytes, which are mostly zero, are compressed."""
+    steps = np.diff(values, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4)
+    return steps[:, 0].tobytes() + zlib.compress(steps[:, 1:].T.tobytes(), 1)
 
 
-def unpacked(data: bytes) -> np.ndarray:
-    return np.cumsum(np.frombuffer(zlib.decompress(data), "<u4"), dtype=np.int64)
+def unpacked(data: bytes, n: int) -> np.ndarray:
+    steps = np.empty((n, 4), np.uint8)
+    steps[:, 0] = np.frombuffer(data, np.uint8, n)
+    steps[:, 1:] = np.frombuffer(zlib.decompress(data[n:]), np.uint8).reshape(3, n).T
+    return np.cumsum(steps.reshape(-1).view("<u4"), dtype=np.int64)
 
 
 def sketch_parts(width: int, counters: int):
@@ -132,15 +136,18 @@ def sketch_parts(width: int, counters: int):
                 twice = np.diff(np.append(starts, len(at))) > 1
                 at = at[starts].astype(np.int64)
                 cuts = np.flatnonzero(np.diff(at // CHUNK, prepend=-1))
-                chunk, once_col, twice_col = [], [], []
+                chunk, once_n, once_col, twice_n, twice_col = [], [], [], [], []
                 for a, b in zip(cuts, [*cuts[1:], len(at)]):
                     inside, often = at[a:b] % CHUNK, twice[a:b]
                     chunk.append(int(at[a] // CHUNK))
+                    once_n.append(int((~often).sum()))
                     once_col.append(packed(inside[~often]))
+                    twice_n.append(int(often.sum()))
                     twice_col.append(packed(inside[often]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * len(chunk), pa.int32()), pa.array(chunk, pa.int64()), pa.array(once_col, pa.binary()),
-                     pa.array(twice_col, pa.binary())], names=["row", "chunk", "once", "twice"])
+                    [pa.array([row] * len(chunk), pa.int32()), pa.array(chunk, pa.int64()), pa.array(once_n, pa.int32()),
+                     pa.array(once_col, pa.binary()), pa.array(twice_n, pa.int32()), pa.array(twice_col, pa.binary())],
+                    names=["row", "chunk", "once_n", "once", "twice_n", "twice"])
     return run
 
 
@@ -148,16 +155,48 @@ def merged_chunk(key, parts):
     """Sum of the tasks' counters for one chunk, as the bitmap of those at 2 or more."""
     counts = np.zeros(CHUNK, np.uint8)
     for name, times in (("once", 1), ("twice", 2)):
-        for data in parts.column(name).to_pylist():
-            at = unpacked(data)
+        for data, n in zip(parts.column(name).to_pylist(), parts.column(f"{name}_n").to_pylist(), strict=True):
+            at = unpacked(data, n)
             counts[at] = np.minimum(counts[at] + times, 2)
     bits = zlib.compress(np.packbits(counts >= 2).tobytes(), 1)
     return pa.table({"row": [key[0].as_py()], "chunk": [key[1].as_py()], "repeated": [bits]},
                     schema=pa.schema([("row", pa.int32()), ("chunk", pa.int64()), ("repeated", pa.binary())]))
 
 
-ENTRY = np.dtype([("a", "<u8"), ("b", "<u8"), ("id", "<i8"), ("mark", "<u4"), ("start", "<u4")])
-OUT = pa.schema([("slot", pa.int64()), ("id", pa.int64()), ("mark", pa.int64()), ("entries", pa.binary())])
+#: A window at a place: 96 bits of its words, the document's id and text hash, the start.
+ENTRY = np.dtype([("a", "<u8"), ("b", "<u4"), ("id", "<i8"), ("mark", "<u4"), ("start", "<u4")])
+PLACE = np.dtype([("id", "<i8"), ("mark", "<u4"), ("start", "<u4")])
+OUT = pa.schema([("slot", pa.int64()), ("removed", pa.bool_()), ("entries", pa.binary())])
+
+
+def by_column(entries: np.ndarray) -> bytes:
+    return b"".join(np.ascontiguousarray(entries[f]).tobytes() for f in entries.dtype.names)
+
+
+def of_columns(data: bytes, kind: np.dtype) -> np.ndarray:
+    n, offset = len(data) // kind.itemsize, 0
+    entries = np.empty(n, kind)
+    for field in kind.names:
+        entries[field] = np.frombuffer(data, kind[field], n, offset)
+        offset += n * kind[field].itemsize
+    return entries
+
+
+def dealt(entries: np.ndarray, slot: np.ndarray, removed: bool):
+    """Rows (slot, removed, entries) of entries in the order of their slots."""
+    cuts = np.flatnonzero(np.diff(slot, prepend=-1))
+    for a, b in zip(cuts, [*cuts[1:], len(entries)]):
+        yield int(slot[a]), removed, by_column(entries[a:b])
+
+
+def removed_rows(entries: np.ndarray, slots: int):
+    """Rows of removed places, dealt by document."""
+    places = np.empty(len(entries), PLACE)
+    for field in PLACE.names:
+        places[field] = entries[field]
+    slot = bucket(mixed(places["id"].view(np.uint64)), slots).astype(np.int64)
+    order = np.lexsort((places["start"], places["mark"], places["id"], slot))
+    return dealt(places[order], slot[order], True)
 
 
 def in_order(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -171,20 +210,11 @@ def in_order(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return entries, first | tied
 
 
-def starts_by_document(entries: np.ndarray):
-    """(id, mark, starts as bytes) of each document among ``entries``."""
-    entries = entries[np.lexsort((entries["start"], entries["mark"], entries["id"]))]
-    if len(entries):
-        new = (np.diff(entries["id"]) != 0) | (np.diff(entries["mark"]) != 0)
-        for part in np.split(entries, np.flatnonzero(new) + 1):
-            yield int(part["id"][0]), int(part["mark"][0]), np.unique(part["start"]).tobytes()
-
-
 def candidate_windows(width: int, counters: int, slots: int, bitmaps: list[bytes]):
     """Task function: windows that every sketch row estimates repeated.
 
     Of a window's places in one chunk only the first can be its first in the corpus. That one goes to the window's slot;
-    the others are removed whatever the rest holds, and are passed on under their document.
+    the others are removed whatever the rest holds, and go to their document's slot.
     """
     def run(batches):
         repeated = [np.frombuffer(zlib.decompress(b), np.uint8) for b in bitmaps]
@@ -200,40 +230,38 @@ def candidate_windows(width: int, counters: int, slots: int, bitmaps: list[bytes
             entries["id"], entries["mark"] = ids[doc], marks[doc]
             entries["start"] = at - np.concatenate([[0], np.cumsum(sizes)])[doc]
             entries, first = in_order(entries)
-            sent, rows = entries[first], []
-            slot = bucket(sent["a"], slots).astype(np.int64)
-            cuts = np.flatnonzero(np.diff(slot, prepend=-1))
-            for a, b in zip(cuts, [*cuts[1:], len(sent)]):
-                columns = b"".join(np.ascontiguousarray(sent[f][a:b]).tobytes() for f in ENTRY.names)
-                rows.append((int(slot[a]), None, None, columns))
-            for doc_id, mark, starts in starts_by_document(entries[~first]):
-                rows.append((int(doc_id % slots), doc_id, mark, starts))
+            sent = entries[first]
+            rows = [*dealt(sent, bucket(sent["a"], slots).astype(np.int64), False), *removed_rows(entries[~first], slots)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), OUT, strict=True)], schema=OUT)
     return run
 
 
-REMOVED = pa.schema([("id", pa.int64()), ("mark", pa.int64()), ("starts", pa.binary())])
+def later_windows(slots: int):
+    """Group function: places of one slot that aren't their window's first, dealt by document; removals pass through."""
+    def run(parts):
+        known, data = parts.column("removed").to_pylist(), parts.column("entries").to_pylist()
+        rows = [(parts.column("slot")[0].as_py(), True, d) for d, r in zip(data, known, strict=True) if r]
+        sent = [of_columns(d, ENTRY) for d, r in zip(data, known, strict=True) if not r]
+        if sent:
+            entries, first = in_order(np.concatenate(sent))
+            rows.extend(removed_rows(entries[~first], slots))
+        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), OUT, strict=True)] if rows else [[], [], []], schema=OUT)
+    return run
+
+
+REMOVED = pa.schema([("id", pa.int64()), ("parts", pa.list_(pa.struct([("mark", pa.int64()), ("starts", pa.binary())])))])
 
 
-def later_windows(parts):
-    """Places in one slot that aren't their window's first, by document; removals already known pass through."""
-    rows, arrays = [], []
-    for doc_id, mark, data in zip(*[parts.column(c).to_pylist() for c in ("id", "mark", "entries")], strict=True):
-        if doc_id is not None:
-            rows.append((doc_id, mark, data))
-            continue
-        n = len(data) // ENTRY.itemsize
-        entries, offset = np.empty(n, ENTRY), 0
-        for field in ENTRY.names:
-            size = n * ENTRY[field].itemsize
-            entries[field] = np.frombuffer(data[offset:offset + size], ENTRY[field])
-            offset += size
-        arrays.append(entries)
-    if arrays:
-        entries, first = in_order(np.concatenate(arrays))
-        rows.extend(starts_by_document(entries[~first]))
-    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), REMOVED, strict=True)] if rows else [[], [], []], schema=REMOVED)
+def removed_by_document(parts):
+    """Group function: the removed starts of each document of one slot, by the hash of its text."""
+    places = np.unique(np.concatenate([of_columns(d, PLACE) for d in parts.column("entries").to_pylist()]))
+    ids, lists = [], []
+    for own in np.split(places, np.flatnonzero(np.diff(places["id"])) + 1):
+        ids.append(int(own["id"][0]))
+        lists.append([{"mark": int(x["mark"][0]), "starts": np.ascontiguousarray(x["start"]).tobytes()}
+                      for x in np.split(own, np.flatnonzero(np.diff(own["mark"].astype(np.int64))) + 1)])
+    return pa.table([pa.array(ids, pa.int64()), pa.array(lists, REMOVED.field(1).type)], schema=REMOVED)
 
 
 def without_removed(width: int):
@@ -248,7 +276,7 @@ def without_removed(width: int):
                 gone = 0
                 if starts:
                     edges = np.zeros(len(words) + 1, np.int64)
-                    at = np.unique(np.concatenate(starts)).astype(np.int64)
+                    at = starts[0].astype(np.int64)
                     edges[at] += 1
                     edges[at + width] -= 1
                     covered = np.cumsum(edges[:-1]) > 0
@@ -278,18 +306,19 @@ def substring_dedup(docs: DataFrame, width: int = 20, id_col: str = "doc_id", te
 
     First pass: each task counts its windows in a count-min sketch of two rows whose counters stop at 2; the tasks'
     sketches travel as sparse parts and are summed chunk by chunk. Estimates are never too low. Second pass: windows
-    estimated repeated are grouped exactly, by 128 bits of their words. A task sends one place per window and chunk of its
+    estimated repeated are grouped exactly, by 96 bits of their words. A task sends one place per window and chunk of its
     texts, so a passage in a third of all documents is reduced before the shuffle. The sketch has
     ``counters_per_byte`` counters per byte of text up to ``most_counters`` (1 bit each in the second pass, 64 MB a row); beyond that
     estimates are higher and more windows are grouped, but none is lost.
     """
+    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     counters = int(min(most_counters, max(1 << 16, size * counters_per_byte)))
     slots = max(16, size // slot_bytes)
 
-    parts = texts.mapInArrow(sketch_parts(width, counters), "row int, chunk long, once binary, twice binary")
+    parts = texts.mapInArrow(sketch_parts(width, counters), "row int, chunk long, once_n int, once binary, twice_n int, twice binary")
     merged = parts.groupBy("row", "chunk").applyInArrow(merged_chunk, "row int, chunk long, repeated binary").collect()
     chunks = -(-counters // CHUNK)
     empty = bytes(CHUNK // 8)
@@ -297,9 +326,10 @@ def substring_dedup(docs: DataFrame, width: int = 20, id_col: str = "doc_id", te
     bitmaps = [zlib.compress(b"".join(zlib.decompress(known[row, c]) if (row, c) in known else empty for c in range(chunks)), 1)
                for row in range(DEPTH)]
 
-    found = texts.mapInArrow(candidate_windows(width, counters, slots, bitmaps), "slot long, id long, mark long, entries binary")
-    removed = found.groupBy("slot").applyInArrow(later_windows, "id long, mark long, starts binary")
-    removed = removed.groupBy("id").agg(F.collect_list(F.struct("mark", "starts")).alias("parts"))
+    rows = "slot long, removed boolean, entries binary"
+    found = texts.mapInArrow(candidate_windows(width, counters, slots, bitmaps), rows)
+    removed = found.groupBy("slot").applyInArrow(later_windows(slots), rows)
+    removed = removed.groupBy("slot").applyInArrow(removed_by_document, "id long, parts array<struct<mark:long,starts:binary>>")
     joined = texts.withColumn("place", F.coalesce("id", F.lit(NO_ID))).join(removed.withColumnRenamed("id", "place"), "place", "left")
     kept = joined.select("id", "text", "parts").mapInArrow(
         without_removed(width), "id long, n_words long, n_removed long, kept_sha256 string, kept string")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmament.llm.common import is_held_out, materialised, table
+from firmament.llm.common import bounded_batches, is_held_out, materialised, table
 from firmament.llm.decontamination import FOLD
 
 #: Examples of the index that share one bound per term.
@@ -145,6 +145,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     three nearest. Null labels and labels of unknown documents teach nothing; of several labels the highest counts.
     Without labels every score is 0. Rows that repeat an id each get a row.
     """
+    bounded_batches(docs.sparkSession)
     marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~is_held_out(F.col(id_col)))
     marks = marks.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col)).cast("int").alias("toxic"))
     marks = materialised(marks.orderBy(F.xxhash64("id"), "id").limit(examples), "toxicity-labels")

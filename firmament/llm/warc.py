@@ -13,7 +13,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from firmament.llm.common import materialised, scratch, table
+from firmament.llm.common import bounded_batches, materialised, scratch, table
 
 #: Fixed values of the format.
 VERSION, CRLF = b"WARC/1.1", b"\r\n"
@@ -170,6 +170,7 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     Only digests are grouped: a group of copies is a partial minimum. The pages of groups of one aren't in the list of
     revisits that the pages are joined with.
     """
+    bounded_batches(pages.sparkSession)
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     base = base.withColumn("digest", F.sha2("payload", 256))
