@@ -8,23 +8,25 @@ from pyspark.sql import functions as F
 from firmament.llm.common import materialised, table
 from firmament.llm.decontamination import decontaminate
 from firmament.llm.exact_dedup import exact_dedup
-from firmament.llm.language_id import UNKNOWN, language_id
+from firmament.llm.language_id import with_language
 from firmament.llm.packing import pack
 from firmament.llm.simhash import simhash_groups
 
 
 def _without(docs: DataFrame, gone: DataFrame, key, name: str) -> DataFrame:
-    """Documents whose ``key`` is not in ``gone.key``; null keys stay. ``gone`` is written first, so its size is known to the planner."""
+    """Documents whose ``key`` is not in ``gone.key``; null keys stay.
+
+    The rejects grow with the input, so they are never broadcast: both sides are dealt by key, at every size alike, and only
+    the rejects' keys are hashed, which spares sorting the texts.
+    """
     gone = materialised(gone.select("key").where(F.col("key").isNotNull()).distinct(), name)
     columns = docs.columns
-    return docs.withColumn("_key", key).join(gone.withColumnRenamed("key", "_key"), "_key", "left_anti").select(*columns)
+    return docs.withColumn("_key", key).join(gone.withColumnRenamed("key", "_key").hint("shuffle_hash"), "_key", "left_anti").select(*columns)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a language: no text, no letter, or n-grams that no language explains better than even chance."""
-    found = language_id(docs)
-    rejected = found.where((F.col("lang_pred") == UNKNOWN) | (F.col("gain") <= 0))
-    return _without(docs, rejected.select(F.col("doc_id").alias("key")), F.col("doc_id"), "no-language")
+    return with_language(docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
