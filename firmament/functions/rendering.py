@@ -23,6 +23,12 @@ def grouped(x: Column) -> Column:
 
 
 def sheet_text(c: Column) -> Column:
-    """Double as sheet text: whole numbers without exponent or fraction."""
-    whole = c.try_cast("decimal(38,0)")
-    return F.when(whole.cast("double") == c, whole.cast("string")).otherwise(c.cast("string"))
+    """Double as sheet text: its shortest digits, never with an exponent; whole numbers without fraction."""
+    whole, text = c.try_cast("decimal(38,0)"), c.cast("string")
+    large, small = text.try_cast("decimal(38,18)"), text.try_cast("decimal(38,37)")
+    plain = F.regexp_replace(F.when(F.abs(c) >= 1, large.cast("string")).otherwise(small.cast("string")), r"(\.\d*?)0+$", "$1")
+    return (
+        F.when(whole.cast("double") == c, whole.cast("string"))
+        .when(text.contains("E") & plain.isNotNull(), plain)
+        .otherwise(text)
+    )

@@ -18,15 +18,20 @@ class RejectedBatch(ValueError):
     """A check failed, so nothing of the batch may be stored."""
 
 
+#: What each part of the key may be called, best first. The first is also the name if there is none of them.
+_KEY_NAMES = KeyColumns(("company", "ticker"), ("year", "fiscal_year"))
+_NO_COLUMNS = KeyColumns("ticker", "fiscal_year")
+
+
 def key_columns(df: DataFrame) -> KeyColumns:
-    """Names of the key columns of a review sheet: company before ticker, year before fiscal_year."""
-    by_name = {c.strip(): c for c in df.columns}
-    if not by_name:
-        return KeyColumns("ticker", "fiscal_year")
-    return KeyColumns(
-        by_name.get("company") or by_name.get("ticker") or "company",
-        by_name.get("year") or by_name.get("fiscal_year") or "year",
-    )
+    """Names of the key columns of a review sheet, as they are written there (edge blanks aside)."""
+    written = {c.strip(): c for c in df.columns}
+
+    def best(names: tuple[str, ...]) -> str:
+        present = sorted(set(names) & set(written), key=names.index)
+        return written[present[0]] if present else names[0]
+
+    return KeyColumns(*map(best, _KEY_NAMES)) if written else _NO_COLUMNS
 
 
 def require_columns(df: DataFrame, columns: tuple[str, ...]) -> None:

@@ -2,8 +2,8 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# A CSV that Spark wrote is a folder of part files; its name is the folder's.
-_PART_FILE = r"/part-[^/]*$"
+# A CSV that Spark wrote is a folder ``name.csv`` of part files; its name is the folder's. Elsewhere ``part-`` is just a name.
+_PART_FILE = r"(?<=\.csv)/part-[^/]*$"
 
 
 def document_path(path: Column) -> Column:

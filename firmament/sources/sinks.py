@@ -4,8 +4,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from firmament.operators.keys import text_cells
 
-WRITERS_PER_PARTITION = 16
-
 
 def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Replace a whole table; an empty one keeps its columns."""
@@ -13,9 +11,10 @@ def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> N
 
 
 def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
-    """Replace only the partitions ``df`` has rows for. A partition with many rows is written by several tasks."""
+    """Replace only the partitions ``df`` has rows for. Adaptive execution
+    gives a partition as many tasks as its size asks for."""
     (
-        df.repartition(*partition_by, F.pmod(F.xxhash64(*df.columns), F.lit(WRITERS_PER_PARTITION)))
+        df.hint("rebalance", *[F.col(c) for c in partition_by])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)

@@ -125,3 +125,21 @@ def test_dates(table):
         day, day, day, day, None, None]
     with pytest.raises(Exception, match="not a date"):
         values(table, ["soon"], dates.sheet_date)
+
+
+def test_sheet_text_keeps_numbers_of_all_magnitudes(table):
+    numbers_in = [m * 10.0 ** e for e in range(-9, 18) for m in (1.0, 1.23456785, -7.1, 9.87654321012)]
+    texts = values(table, numbers_in, rendering.sheet_text, "double")
+    assert all("E" not in t for t in texts) and [float(t) for t in texts] == numbers_in
+    assert values(table, [12345678.5, 0.0001], rendering.sheet_text, "double") == ["12345678.5", "0.0001"]
+
+
+def test_forms_of_dates(table):
+    forms = ["31-12-2020", "12-31-2020", "2020/12/31", "Dec 31, 2020", "20201231", "12/31/20", "31/12/2020", "2020-12-31"]
+    assert {str(d) for d in values(table, forms, dates.sheet_date, "string")} == {"2020-12-31"}
+
+
+def test_part_is_a_name_outside_csv_folders(table):
+    from firmament.sources.documents import document_name
+    paths = ["s3://b/PNJ/part-1_2021.csv", "s3://b/x_2021.csv/part-0000-a.csv"]
+    assert values(table, paths, document_name, "string") == ["part-1_2021.csv", "x_2021.csv"]
