@@ -47,15 +47,15 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
     """Languages and log-likelihoods of the features in each, from documents that aren't held out and have a language.
 
-    At most about ``rows`` documents per language, chosen by the hash of their text, are read (the documented bound of the sample);
-    their counts, not their texts, reach the driver: ``FEATURES`` per language.
+    At most about ``rows`` documents per language, chosen by the hash of their id and text, are read (the documented bound of
+    the sample; copies of one text are drawn one by one). Their counts, not their texts, reach the driver: ``FEATURES`` per language.
     """
     known = docs.where(~is_held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = {r[0]: r["count"] for r in known.groupBy(lang_col).count().collect()}
     if not sizes:
         return [], np.zeros((0, FEATURES))
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, rows / n))])
-    luck = F.pmod(F.xxhash64(text_col), F.lit(1_000_003)) / 1_000_003
+    luck = F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_003)) / 1_000_003
     sample = known.where(luck < share[F.col(lang_col)]).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
     counted = sample.mapInArrow(counts_by_language, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     languages = sorted(sizes)
