@@ -1,40 +1,36 @@
 """Surrogate ids in arrival order, without sending all rows through one task."""
 
+import uuid
+
 from pyspark.sql import DataFrame, Window, functions as F
 
-ROWS_PER_RANGE = 1_000_000
-MOST_RANGES = 1000
+from firmament.session import shared_folder
+
+# ``monotonically_increasing_id`` counts the rows of a partition in its low 33 bits.
+_PLACE_BITS = 33
 
 
-def assign_ids(new_rows: DataFrame, id_column: str, arrival: str, existing: DataFrame | None = None,
-               rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """Number ``new_rows`` by the numeric column ``arrival``, going on after the greatest existing id.
+def assign_ids(new_rows: DataFrame, id_column: str, arrival: str, existing: DataFrame | None = None) -> DataFrame:
+    """Number ``new_rows`` by ``arrival``, whose values are unique, going on after the greatest existing id.
 
-    Counts the rows, and only where they are many for one task looks for points to split them at.
-    Split points and the counts between them are literals in the plan, so ids do not change when a
-    lost task is run again.
+    The rows are dealt to ranges of ``arrival``, put in order there and written once to the shared folder with
+    their place in their range, so a lost task never changes an id. A range starts after the rows of all ranges
+    before it. There are as many ranges as shuffle partitions, which bounds the counts that are broadcast.
     """
-    rows = new_rows.count()
-    wanted = min(MOST_RANGES, -(-rows // rows_per_range))
-    splits = []
-    if wanted > 1:
-        shares = [i / wanted for i in range(1, wanted)]
-        splits = sorted(set(new_rows.agg(F.percentile_approx(arrival, shares, 10 * MOST_RANGES)).first()[0]))
-
-    base = F.lit(0) if existing is None else existing.agg(
-        F.coalesce(F.max(id_column), F.lit(0))).scalar()
-    # Number of split points below the value; all rows are in one range when they are few.
-    inside = F.size(F.filter(F.array(*map(F.lit, splits)), lambda p: p < F.col(arrival))) if splits else F.lit(0)
-    ranged = new_rows.withColumn("_range", inside)
-    in_range = F.row_number().over(Window.partitionBy("_range").orderBy(arrival))
-    number = in_range
-    if splits:
-        # At most a thousand counts: how many rows the ranges before each one hold.
-        counts = {r["_range"]: r["count"] for r in ranged.groupBy("_range").count().collect()}
-        before = [sum(n for r, n in counts.items() if r < at) for at in range(len(splits) + 1)]
-        number = in_range + F.get(F.array(*map(F.lit, before)), F.col("_range"))
+    spark = new_rows.sparkSession
+    path = f"{shared_folder(spark).rstrip('/')}/firmament-ids-{uuid.uuid4().hex}"
+    placed = new_rows.repartitionByRange(F.col(arrival)).sortWithinPartitions(arrival).withColumn(
+        "_at", F.monotonically_increasing_id())
+    placed.write.parquet(path)
+    written = spark.read.schema(placed.schema).parquet(path).withColumn("_range", F.shiftright("_at", _PLACE_BITS))
+
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written.groupBy("_range").count().select(
+        "_range", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start"))
+    base = F.lit(0) if existing is None else existing.agg(F.coalesce(F.max(id_column), F.lit(0))).scalar()
+    place = F.col("_at").bitwiseAND((1 << _PLACE_BITS) - 1) + 1
     return (
-        ranged.withColumn("_number", number)
-        .withColumn(id_column, (base + F.col("_number")).cast("bigint"))
-        .drop("_range", "_number")
+        written.join(F.broadcast(starts), "_range")
+        .withColumn(id_column, (base + F.col("_start") + place).cast("bigint"))
+        .drop("_range", "_at", "_start")
     )

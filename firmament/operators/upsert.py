@@ -11,6 +11,7 @@ from firmament.operators.versions import first_rows
 class Upsert(NamedTuple):
     table: DataFrame  # stored rows after the upsert
     changes: DataFrame  # the batch's rows with ``_action`` insert or update
+    marked: DataFrame  # the table with ``_action``, NULL where the batch has no row; write it once to have both
 
 
 def absent_rows(df: DataFrame, existing: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -57,6 +58,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: tuple[str, ...], arrival:
     return Upsert(
         met.select(*[cell(c) for c in columns]),
         met.filter(is_new).select(*[cell(c) for c in columns], action),
+        met.select(*[cell(c) for c in columns], F.when(is_new, action).alias("_action")),
     )
 
 

@@ -77,50 +77,58 @@ class Corrections(NamedTuple):
     rejected: DataFrame  # with the reason
 
 
-def place_fixes(fixes: DataFrame, facts: dict[str, DataFrame], firms: DataFrame) -> Corrections:
-    """Find the row each eligible fix changes: the newest snapshot id of its firm-year and table.
+def place_fixes(fixes: DataFrame, facts: dict[str, DataFrame], cells: dict[str, list[str]] | None = None) -> DataFrame:
+    """Each fix with the row it changes, the newest snapshot id of its firm-year and table, and the stored value.
 
-    Fact rows are cut down to the firm-years that have a fix before anything is grouped.
+    ``fixes`` have their ``firm_id``; those that change nothing get a ``reason``. ``cells`` names the columns that
+    are fixed, by table, so that no others are read; without it all are. Fact rows are cut down to the firm-years
+    that have a fix before anything is grouped.
     """
-    wanted = with_lookup(fixes.filter("reason IS NULL"), "ticker", firms, "ticker", ["firm_id"])
-    targets = None
+    wanted = fixes.filter("reason IS NULL AND firm_id IS NOT NULL")
+    targets = fixes.sparkSession.range(0).selectExpr(
+        "'' AS table_name", "id AS firm_id", "0 AS fiscal_year", "id AS snapshot_id", "map('', '') AS _cells")
     for table, fact in facts.items():
-        columns = list(schemas.FACT_COLUMNS[table])
+        columns = [c for c in schemas.FACT_COLUMNS[table] if cells is None or c in cells.get(table, ())]
+        if not columns:
+            continue
         here = wanted.filter(F.col("table_name") == table).select(*schemas.FIRM_YEAR).distinct()
-        cells = F.map_from_arrays(
-            F.array(*map(F.lit, columns)), F.array(*[F.col(c).cast("string") for c in columns]))
+        newest = F.max(F.struct("snapshot_id", *[F.col(c).cast("string").alias(c) for c in columns]))
         one = (
             fact.join(here, list(schemas.FIRM_YEAR), "left_semi")
-            .groupBy(*schemas.FIRM_YEAR)
-            .agg(F.max("snapshot_id").alias("snapshot_id"), F.max_by(cells, "snapshot_id").alias("_cells"))
-            .withColumn("table_name", F.lit(table))
+            .groupBy(*schemas.FIRM_YEAR).agg(newest.alias("_row_now"))
+            .select(F.lit(table).alias("table_name"), *schemas.FIRM_YEAR, F.col("_row_now.snapshot_id").alias("snapshot_id"),
+                    F.map_from_arrays(F.array(*map(F.lit, columns)), F.array(*[f"_row_now.{c}" for c in columns])).alias("_cells"))
         )
-        targets = one if targets is None else targets.unionByName(one)
-    placed = wanted.join(targets, ["table_name", *schemas.FIRM_YEAR], "left")
+        targets = targets.unionByName(one)
     reason = (
-        F.when(F.col("firm_id").isNull(), "unknown ticker")
+        F.when(F.col("reason").isNotNull(), F.col("reason"))
+        .when(F.col("firm_id").isNull(), "unknown ticker")
         .when(F.col("snapshot_id").isNull(), "no stored row")
     )
-    placed = placed.withColumn("reason", reason)
-    accepted = placed.filter("reason IS NULL").withColumn(
-        "stored_value", F.try_element_at("_cells", F.col("column_name"))).drop("_cells", "reason")
-    rejected = fixes.filter("reason IS NOT NULL").unionByName(
-        placed.filter("reason IS NOT NULL").select(*fixes.columns))
-    return Corrections(accepted, rejected)
+    return (
+        fixes.join(targets, ["table_name", *schemas.FIRM_YEAR], "left")
+        .withColumns({"reason": reason, "stored_value": F.try_element_at("_cells", F.col("column_name"))})
+        .drop("_cells")
+    )
 
 
 def settle_fixes(spark: SparkSession, findings: DataFrame, facts: dict[str, DataFrame], firms: DataFrame,
                  staging: str, types: dict[str, T.DataType] | None = None) -> Corrections:
-    """``eligible_fixes`` and ``place_fixes`` with both results written to ``staging``.
+    """``eligible_fixes`` and ``place_fixes``, each written once to ``staging``.
 
     Every table and the log read the fixes, so they are worked out once and kept where all nodes
-    can read them again.
+    can read them again. The fixed columns are looked up; the fact schemas bound their number.
     """
-    overwrite(eligible_fixes(findings, types), f"{staging}/eligible")
-    placed = place_fixes(spark.read.parquet(f"{staging}/eligible"), facts, firms)
-    overwrite(placed.accepted, f"{staging}/accepted")
-    overwrite(placed.rejected, f"{staging}/rejected")
-    return Corrections(spark.read.parquet(f"{staging}/accepted"), spark.read.parquet(f"{staging}/rejected"))
+    overwrite(with_lookup(eligible_fixes(findings, types), "ticker", firms, "ticker", ["firm_id"]), f"{staging}/eligible")
+    fixes = spark.read.parquet(f"{staging}/eligible")
+    cells: dict[str, list[str]] = {}
+    for r in fixes.filter("reason IS NULL").select("table_name", "column_name").distinct().collect():
+        cells.setdefault(r.table_name, []).append(r.column_name)
+    overwrite(place_fixes(fixes, facts, cells), f"{staging}/placed")
+    placed = spark.read.parquet(f"{staging}/placed")
+    return Corrections(
+        placed.filter("reason IS NULL").drop("reason"),
+        placed.filter("reason IS NOT NULL").drop("firm_id", "snapshot_id", "stored_value"))
 
 
 def corrected_fact(fact: DataFrame, table: str, accepted: DataFrame) -> DataFrame:

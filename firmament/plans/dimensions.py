@@ -11,7 +11,7 @@ from firmament.operators.keys import require_columns
 from firmament.operators.lookups import with_lookup
 from firmament.operators.upsert import absent_rows, insert_if_absent
 from firmament.operators.versions import first_rows
-from firmament.sources.sinks import append
+from firmament.sources.sinks import StagedBatch
 from firmament.sources.tables import ROW, with_row_order
 
 
@@ -89,7 +89,13 @@ def broken_values(companies: DataFrame, sources: DataFrame) -> DataFrame:
         companies.filter(bad_firm).select(F.lit("company_info").alias("sheet"), F.col("ticker").alias("key")))
 
 
-def store_dimensions(new: NewDimensions, paths: dict[str, str]) -> None:
-    """Append the new rows. Firms go last, since they refer to the others."""
-    for table in ("dim_data_source", "dim_exchange", "dim_industry_l2", "dim_firm"):
-        append(getattr(new, table), paths[table])
+def store_dimensions(new: NewDimensions, paths: dict[str, str], staging: str) -> None:
+    """Stage all four tables, then add their rows. Firms go last, since they refer to the others.
+
+    Nothing is added before all is staged, and ``StagedBatch.resume`` ends a publish that was cut off.
+    """
+    keys = {"dim_data_source": "source_id", "dim_exchange": "exchange_id", "dim_industry_l2": "industry_l2_id", "dim_firm": "firm_id"}
+    batch = StagedBatch(new.dim_firm.sparkSession, staging)
+    for table, key in keys.items():
+        batch.stage(table, getattr(new, table), paths[table], (key,))
+    batch.publish()

@@ -72,22 +72,25 @@ def load_facts(spark: SparkSession, panel: DataFrame, tables: dict[str, DataFram
     """Check, stage and publish one batch into the six fact tables; returns the counts per table.
 
     ``tables`` holds dim_firm, dim_data_source and fact_data_snapshot. The standardised batch is
-    written once and read by all six loads, each with its own columns. Only touched year
-    partitions are rewritten.
+    written once, checked there and read by all six loads, each with its own columns; the counts are
+    taken from what was staged. Only touched year partitions are rewritten. A publish that was cut off
+    is taken up by ``StagedBatch.resume``.
     """
-    panel = with_row_order(panel)
+    batch = StagedBatch(spark, staging)
+    overwrite(with_row_order(panel), f"{staging}/batch")
+    panel = spark.read.parquet(f"{staging}/batch")
     lookups = (tables["dim_firm"], tables["dim_data_source"], tables["fact_data_snapshot"],
                source_name, version_tag)
-    require_empty(load_problems(panel, *lookups), "batch cannot be loaded")
+    overwrite(load_problems(panel, *lookups), f"{staging}/problems")
+    require_empty(spark.read.parquet(f"{staging}/problems"), f"batch cannot be loaded, all problems are in {staging}/problems")
     overwrite(resolve_batch(panel, *lookups), f"{staging}/resolved")
     resolved = spark.read.parquet(f"{staging}/resolved")
-    batch, changes = StagedBatch(spark, staging), {}
+    changes = {}
     for table, path in fact_paths.items():
         stored = spark.read.schema(schemas.fact_schema(table)).parquet(path)
         done = upsert_fact(stored, fact_rows(resolved, table, **constants),
                            F.lit(loaded_at).cast("timestamp"), touched_only=True)
-        batch.stage(table, done.table, path)
-        changes[table] = done.changes
+        changes[table] = batch.stage(table, done.marked, path).filter("_action IS NOT NULL")
     counts = action_counts(changes)
     overwrite(counts, f"{staging}/counts")
     batch.publish()

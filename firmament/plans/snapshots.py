@@ -1,6 +1,7 @@
 """Creation of snapshot versions."""
 
-from typing import NamedTuple
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,10 +17,17 @@ from firmament.sources.tables import ROW, with_row_order
 _UNIQUE = ("source_id", "fiscal_year", "snapshot_date", "_tag")
 
 
-class NewSnapshots(NamedTuple):
-    rows: DataFrame
+@dataclass
+class NewSnapshots:
+    unnumbered: DataFrame
     skipped: DataFrame  # configuration rows of an unknown source
     clashes: DataFrame  # unique keys that occur twice; any of them refuses the whole batch
+    existing: DataFrame
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        """The new snapshots; ids are given when they are first asked for."""
+        return assign_ids(self.unnumbered, "snapshot_id", ROW, self.existing).select(*schemas.SNAPSHOT.names)
 
 
 def create_snapshots(versions: DataFrame, sources: DataFrame, existing: DataFrame, snapshot_date: str,
@@ -50,9 +58,8 @@ def create_snapshots(versions: DataFrame, sources: DataFrame, existing: DataFram
         .filter("rows > 1 AND _new = 1")
         .select("source_id", "fiscal_year", "snapshot_date", F.col("_tag").alias("version_tag"), "rows")
     )
-    rows = assign_ids(known, "snapshot_id", ROW, existing).select(*schemas.SNAPSHOT.names)
     skipped = found.filter("source_id IS NULL").select(*schemas.VERSION_SHEET)
-    return NewSnapshots(rows, skipped, clashes)
+    return NewSnapshots(known, skipped, clashes, existing)
 
 
 def store_snapshots(new: NewSnapshots, path: str) -> None:

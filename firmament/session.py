@@ -25,11 +25,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests, local runs) is a local folder made, once per session.
+    A session of one machine that sets none (tests, local runs) gets a local folder, once per session; elsewhere
+    the setting is required, since an executor's own disk is not seen by the others.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     current = spark.conf.get("firmament.local.folder", None)
     if not current:
         current = tempfile.mkdtemp(prefix="firmament-")

@@ -1,8 +1,11 @@
 """Writers. Outputs are complete before anything a reader sees is replaced."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
 
-from firmament.operators.keys import text_cells
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from firmament.operators.keys import RejectedBatch, text_cells
 
 
 def overwrite(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -44,24 +47,73 @@ def write_sheet_csv(df: DataFrame, path: str) -> None:
         "emptyValue", "").csv(path)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no folder, or a write that never ended
+            raise
+        return False
+    return True
+
+
 class StagedBatch:
-    """All-or-nothing load of several tables.
+    """Load of several tables that is staged whole before any of them changes, and can be taken up again.
 
-    ``stage`` writes each result to a staging folder, reading live tables but not touching them. An
-    error up to here leaves everything as it was. ``publish`` then copies staged partitions over
-    the live ones; staged data stays until the batch is done, so a publish that is cut off can be
-    run again with the same outcome.
+    ``stage`` writes each result to the staging folder in the layout of its table, reading live tables but not
+    touching them; an error up to here leaves everything as it was. ``publish`` first seals the batch with a manifest
+    of its tables, in one write. From then on the batch is complete on disk: any process can ``resume`` a publish that
+    was cut off, and running it again ends the same. Readers who must not see some tables new and some old
+    wait for ``is_published``.
+
+    A table is published by replacing the partitions its staged rows have, or, where it has a ``key``, by adding the
+    rows whose key is not stored.
     """
 
+    MANIFEST = "place int, table_name string, live_path string, partition_by array<string>, key array<string>, columns string"
+
     def __init__(self, spark: SparkSession, staging: str, partition_by: tuple[str, ...] = ("fiscal_year",)):
         self.spark, self.staging, self.partition_by = spark, staging.rstrip("/"), partition_by
-        self._live: dict[str, str] = {}
-
-    def stage(self, table: str, df: DataFrame, live_path: str) -> None:
-        overwrite(df, f"{self.staging}/{table}")
-        self._live[table] = live_path
+        self._tables: list[tuple] = []
+        if _exists(spark, f"{self.staging}/manifest"):
+            raise RejectedBatch(f"{self.staging} holds a sealed batch; resume it or stage in another folder")
+
+    def stage(self, table: str, df: DataFrame, live_path: str, key: tuple[str, ...] = ()) -> DataFrame:
+        """Write ``df``; returns what was staged. A column ``_action`` is kept there but not published."""
+        parts = () if key else self.partition_by
+        if parts:
+            df = df.hint("rebalance", *[F.col(c) for c in parts])
+        overwrite(df, f"{self.staging}/tables/{table}", parts)
+        self._tables.append((len(self._tables), table, live_path, list(parts), list(key), df.schema.json()))
+        return self.spark.read.schema(df.schema).parquet(f"{self.staging}/tables/{table}")
+
+    def seal(self) -> None:
+        """From here on the batch is complete and ``resume`` publishes it."""
+        self.spark.createDataFrame(self._tables, self.MANIFEST).coalesce(1).write.mode("overwrite").parquet(
+            f"{self.staging}/manifest")
 
     def publish(self) -> None:
-        for table, live_path in self._live.items():
-            staged = self.spark.read.parquet(f"{self.staging}/{table}")
-            overwrite_partitions(staged, live_path, self.partition_by)
+        self.seal()
+        self.resume(self.spark, self.staging)
+
+    @staticmethod
+    def resume(spark: SparkSession, staging: str) -> None:
+        """Publish a sealed batch, whether or not a part of it was published before."""
+        staging = staging.rstrip("/")
+        if not _exists(spark, f"{staging}/manifest"):
+            raise RejectedBatch(f"{staging} holds no sealed batch; stage it again")
+        manifest = spark.read.parquet(f"{staging}/manifest")
+        for t in sorted(manifest.collect(), key=lambda r: r.place):  # one row per table
+            columns = T.StructType.fromJson(json.loads(t.columns))
+            staged = spark.read.schema(columns).parquet(f"{staging}/tables/{t.table_name}").drop("_action")
+            if t.key:
+                stored = spark.read.parquet(t.live_path).select(*t.key).distinct()
+                append(staged.join(stored, t.key, "left_anti"), t.live_path)
+            else:
+                staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+                    *t.partition_by).parquet(t.live_path)
+        overwrite(manifest.select("table_name"), f"{staging}/published")
+
+    @staticmethod
+    def is_published(spark: SparkSession, staging: str) -> bool:
+        return _exists(spark, f"{staging.rstrip('/')}/published")

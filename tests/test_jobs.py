@@ -84,11 +84,18 @@ def test_hot_firm_year_shrinks_before_the_shuffle(spark):
 
 # -- ids, upsert, insert ----------------------------------------------------------------------------
 
-@pytest.mark.parametrize("rows_per_range", [7, 1_000_000])
-def test_ids_follow_arrival_after_the_greatest(spark, rows_per_range):
+@pytest.mark.parametrize("ranges", [1, 7, 64])
+def test_ids_follow_arrival_after_the_greatest(spark, ranges):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
     new = spark.range(0, 100).select((F.col("id") * 37 % 101).alias("seq"))
     old = spark.sql("SELECT 41L AS id")
-    got = identifiers.assign_ids(new, "id", "seq", old, rows_per_range).orderBy("seq").collect()
+    try:
+        got = identifiers.assign_ids(new, "id", "seq", old).orderBy("seq").collect()
+        none = identifiers.assign_ids(new.limit(0), "id", "seq", old)
+        assert none.isEmpty() and none.columns == ["seq", "id"]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     assert [r.id for r in got] == list(range(42, 142))
 
 
@@ -143,13 +150,40 @@ def test_dimensions_load_once(spark, table, tmp_path):
     assert rows(new.dim_exchange) == [(1, "HOSE", "Ho Chi Minh"), (2, "HNX", "Ha Noi")]
     assert [(r.ticker, r.status, r.founded_year) for r in new.dim_firm.collect()] == [("AAA", "active", 1990)]
     assert rows(new.rejected_firms) == [("BBB", "HOSE", None, "unknown industry")]
-    dimensions.store_dimensions(new, paths)
+    dimensions.store_dimensions(new, paths, str(tmp_path / "staging"))
+    sinks.StagedBatch.resume(spark, str(tmp_path / "staging"))  # nothing is added twice
     again = dimensions.load_dimensions(companies, sources, {n: spark.read.parquet(p) for n, p in paths.items()})
     assert all(df.isEmpty() for df in again[:4])
     broken = dimensions.broken_values(companies, sources.withColumn("source_type", F.lit("rumour")))
     assert rows(broken) == [("source_info", "s1")]
 
 
+def test_cut_off_publish_is_resumed(spark, table, tmp_path):
+    live, staging = {n: str(tmp_path / n) for n in "abc"}, str(tmp_path / "staging")
+    sinks.overwrite(table([(1, "old")], "id bigint, v string"), live["a"])
+    sinks.overwrite(table([(2020, 1), (2021, 2)], "fiscal_year int, v int"), live["c"], ("fiscal_year",))
+    batch = sinks.StagedBatch(spark, staging)
+    batch.stage("a", table([(1, "x"), (2, "new")], "id bigint, v string"), live["a"], ("id",))
+    batch.stage("b", table([(7,)], "id bigint"), live["b"], ("id",))
+    staged = batch.stage("c", table([(2020, 5, "update"), (2022, 6, None)], "fiscal_year int, v int, _action string"), live["c"])
+    batch.stage("d", table([], "fiscal_year int, v int"), str(tmp_path / "d"))
+    assert rows(staged.filter("_action IS NOT NULL").select("v")) == [(5,)]
+    with pytest.raises(keys.RejectedBatch, match="no sealed batch"):
+        sinks.StagedBatch.resume(spark, staging)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        batch.publish()  # ends after the first table: the second is not there
+    assert not sinks.StagedBatch.is_published(spark, staging)
+    with pytest.raises(keys.RejectedBatch, match="sealed"):
+        sinks.StagedBatch(spark, staging)
+    sinks.overwrite(table([], "id bigint"), live["b"])
+    for _ in range(2):
+        sinks.StagedBatch.resume(spark, staging)
+        assert rows(spark.read.parquet(live["a"])) == [(1, "old"), (2, "new")]
+        assert rows(spark.read.parquet(live["b"])) == [(7,)]
+        assert rows(spark.read.parquet(live["c"]).select("fiscal_year", "v")) == [(2020, 5), (2021, 2), (2022, 6)]
+    assert sinks.StagedBatch.is_published(spark, staging)
+
+
 def test_snapshot_batch_is_refused_whole(spark, table, tmp_path):
     versions = table([("s1", "2020", None, None, "v1"), ("s1", "2021", "2021-01-01", None, "v1"), ("s1", "2021", None, None, None),
                       ("s1", "2021", None, None, None), ("nobody", "2021", None, None, "v1")],
