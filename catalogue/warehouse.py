@@ -10,8 +10,8 @@ from firmament.plans.standardise import standardise_panel
 from firmament.standins import TestTables
 
 COMPANIES = """
-SELECT CASE WHEN c_custkey % 6 = 0 THEN concat('t', CAST(c_custkey % 1000 AS VARCHAR), ' ')
-            ELSE concat('T', CAST(c_custkey % 1000 AS VARCHAR)) END AS ticker,
+SELECT CASE WHEN c_custkey % 6 = 0 THEN concat('t', CAST(c_custkey - c_custkey % 4 AS VARCHAR), ' ')
+            ELSE concat('T', CAST(c_custkey - c_custkey % 4 AS VARCHAR)) END AS ticker,
        c_name AS company_name,
        CASE c_custkey % 11 WHEN 0 THEN '' WHEN 1 THEN lower(c_mktsegment) ELSE c_mktsegment END AS exchange_code,
        concat('Exchange ', c_mktsegment, ' ', CAST(c_custkey AS VARCHAR)) AS exchange_name,
@@ -33,7 +33,7 @@ OLD = {
     "dim_data_source": "SELECT CAST(3 AS BIGINT) AS source_id, 'SOURCE F 1' AS source_name, 'manual' AS source_type, '' AS provider, '' AS note FROM region WHERE r_regionkey = 0",
     "dim_firm": """SELECT c_custkey + 1 AS firm_id, concat('T', CAST(c_custkey AS VARCHAR)) AS ticker, c_name AS company_name,
         CAST(7 AS BIGINT) AS exchange_id, CAST(1 AS BIGINT) AS industry_l2_id, 1990 AS founded_year, 2000 AS listed_year,
-        'active' AS status FROM customer WHERE c_custkey % 5 = 0 AND c_custkey < 1000""",
+        'active' AS status FROM customer WHERE c_custkey % 5 = 0""",
 }
 _OLD_FROM = {"dim_exchange": "region", "dim_industry_l2": "nation", "dim_data_source": "region", "dim_firm": "customer"}
 # Configuration of one snapshot per source and year; source 5 is unknown, source 4 has no tag.
@@ -58,7 +58,7 @@ FROM ({}) s
 """
 # A yearly batch: one row per order, some firm-years several times; the last row counts.
 BATCH = """
-SELECT CASE WHEN o_custkey % 200 = 0 THEN 'test' ELSE concat('t', lpad(CAST(o_custkey % 200 AS VARCHAR), 9, '0')) END AS ticker,
+SELECT CASE WHEN o_custkey % 200 = 0 THEN 'test' ELSE concat('t', lpad(CAST(o_custkey AS VARCHAR), 9, '0')) END AS ticker,
        CAST(year(o_orderdate) AS VARCHAR) AS fiscal_year,
        CASE WHEN o_orderkey % 5 = 0 THEN '' ELSE concat(CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR), '.125') END AS net_sales,
        CAST(o_orderkey AS VARCHAR) AS total_assets, concat('0,', CAST(o_orderkey % 10 AS VARCHAR)) AS growth_ratio,

@@ -195,8 +195,9 @@ def findings(frame: DataFrame, rules: list[Rule]) -> DataFrame:
     hits = (
         frame.withColumns(_needs(frame, rules))
         .withColumn("_mask", F.expr(mask))
-        .withColumn("_rule", F.explode(F.array(*[F.lit(i) for i in range(len(rules))])))
-        .filter("(shiftright(_mask, _rule) & 1) = 1")
+        .withColumn("_rule", F.explode(F.filter(
+            F.array(*[F.lit(i) for i in range(len(rules))]),
+            lambda i: F.expr("_mask").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), i)) != 0)))
     )
 
     def by_rule(choose) -> Column:

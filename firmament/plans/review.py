@@ -12,7 +12,7 @@ from firmament.operators.keys import (
 from firmament.operators.side_by_side import side_by_side
 from firmament.operators.upsert import absent_rows
 from firmament.operators.versions import first_rows
-from firmament.sources.sinks import overwrite, overwrite_partitions
+from firmament.sources.sinks import append, overwrite
 from firmament.sources.tables import ROW, with_row_order
 
 
@@ -46,9 +46,11 @@ def split_for_review(consolidated: DataFrame, groups: DataFrame, existing: DataF
 
 
 def write_split(split: Split, path: str) -> None:
-    """One partition per group; groups without new rows keep what they have."""
-    changed = split.appended.select("group").distinct()
-    overwrite_partitions(split.rows.join(changed, "group", "left_semi"), path, ("group",))
+    """Add the new rows to their group's partition; what reviewers have is not touched.
+
+    New rows may have more or fewer columns than stored ones, so read the table with ``mergeSchema``.
+    """
+    append(split.appended, path, ("group",))
     overwrite(split.empty_groups, f"{path.rstrip('/')}_empty")
 
 
@@ -88,12 +90,14 @@ def merge_master(manual: DataFrame | None, extra: DataFrame | None, extracted: D
     """One row per key of any source; each cell from the first source that has it filled.
 
     Order: manual, extra, extracted. Key columns are named as in the first source and shared by
-    all. A key that a source has twice stops the job. All sources meet in one shuffle.
+    all. A source without rows counts as absent, with its columns; if all are, so is the result, with the
+    columns of the first. A key that a source has twice stops the job. All sources meet in one shuffle.
     """
-    sources = {n: df for n, df in (("manual", manual), ("extra", extra), ("extracted", extracted))
-               if df is not None}
-    if not sources:
+    given = {n: df for n, df in (("manual", manual), ("extra", extra), ("extracted", extracted))
+             if df is not None}
+    if not given:
         raise ValueError("nothing to merge")
+    sources = {n: df for n, df in given.items() if not df.isEmpty()} or dict(list(given.items())[:1])
     key = key_columns(next(iter(sources.values())))
     parts, columns = [], {}
     for name, df in sources.items():

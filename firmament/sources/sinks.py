@@ -25,8 +25,10 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]
     )
 
 
-def append(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    df.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str, order_by: tuple[str, ...], single_file: bool = False) -> None:

@@ -386,6 +386,11 @@ def test_split_protects_edits(table, spark, tmp_path):
     assert review.split_for_review(later, groups, second.rows).appended.isEmpty()
     review.write_split(first, str(tmp_path / "split"))
     assert spark.read.parquet(str(tmp_path / "split")).count() == 3
+    kept = {f.name for f in (tmp_path / "split").rglob("part-*")}
+    review.write_split(second, str(tmp_path / "split"))
+    assert kept < {f.name for f in (tmp_path / "split").rglob("part-*")}
+    stored = spark.read.option("mergeSchema", "true").parquet(str(tmp_path / "split"))
+    assert rows(stored.filter("fiscal_year = 2021").select("ticker", "v", "w")) == [("AAA", "9", "new")] and stored.count() == 4
 
 
 def test_collect_keeps_whole_rows_of_the_best_source(table):
@@ -408,6 +413,9 @@ def test_merge_fills_cell_by_cell(table):
     assert rows(got) == [("A", 2020, "e", "m", "o"), ("B", 2020, "", "e", "k"), ("C", 2020, "o", "", "")]
     assert rows(review.merge_master(manual, extra, ocr, fill_from_extracted=False))[2] == ("C", 2020, "", "", "")
     assert rows(review.merge_master(None, extra)) == [("A", 2020, "e", "e", " "), ("B", 2020, "", "e", "k")]
+    none = table([], "company string, year string, odd string")  # the first day of a cycle: nobody has edited anything yet
+    assert rows(review.merge_master(none, extra)) == rows(review.merge_master(None, extra))
+    assert review.merge_master(none, none).columns == ["company", "year", "odd"]
     with pytest.raises(Exception, match="key twice"):
         review.merge_master(manual.union(manual), extra).collect()
     with pytest.raises(keys.RejectedBatch):
