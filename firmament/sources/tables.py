@@ -72,14 +72,3 @@ def read_csv_documents(spark: SparkSession, paths: str | list[str],
         stem(source).alias("source_file"),
         document_path(F.col("_metadata.file_path")).alias("source_path"),
     )
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
-              partition_column: str | None = None, lower: int | None = None,
-              upper: int | None = None, partitions: int = 1) -> DataFrame:
-    """A table of a running warehouse database; options come from the caller, never from code."""
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**properties)
-    if partition_column:
-        reader = reader.options(partitionColumn=partition_column, lowerBound=lower,
-                                upperBound=upper, numPartitions=partitions)
-    return reader.load()
