@@ -214,6 +214,17 @@ _CLASH = f"""SELECT source_id, fiscal_year, snapshot_date, upper(version_tag) AS
     WHERE version_tag IS NOT NULL GROUP BY ALL HAVING count(*) > 1 AND max(fresh) = 1"""
 _CLASH = _CLASH.replace("GROUP BY ALL", "GROUP BY source_id, fiscal_year, snapshot_date, upper(version_tag)")
 
+
+def counters_sql(tables: tuple[str, ...], more: str = "") -> str:
+    """Rows a batch inserts into and updates in each table; ``more`` columns may use both counts and ``{t}``."""
+    return with_tables(" UNION ALL ".join(f"""
+        SELECT '{t}' AS table_name, count(*) FILTER (WHERE f.firm_id IS NULL) AS inserted,
+               count(*) FILTER (WHERE f.firm_id IS NOT NULL) AS updated{more.format(t=t)}
+        FROM (SELECT * FROM last WHERE rn = 1) b LEFT JOIN {t} f ON f.firm_id = b.firm_id
+            AND f.fiscal_year = b.fiscal_year AND f.snapshot_id = b.snapshot_id""" for t in tables),
+        "snapshot", "dim_firm", *tables, batch=BATCH, newest=_NEWEST, last=_LAST)
+
+
 ORACLES = {
     "load_dims": _dims("""
         SELECT 'source' AS dim, 3 + row_number() OVER (ORDER BY _row) AS id, source_name AS name FROM sources
@@ -249,13 +260,7 @@ ORACLES = {
                CASE WHEN f.unit_scale IS NULL THEN '2026-01-01' ELSE '2020-01-01' END AS created_at
         FROM fact_financial_year f FULL JOIN (SELECT * FROM last WHERE rn = 1) b USING (firm_id, fiscal_year, snapshot_id)""",
         "snapshot", "dim_firm", "fact_financial_year", batch=BATCH, newest=_NEWEST, last=_LAST),
-    "load_counters": with_tables(" UNION ALL ".join(f"""
-        SELECT '{t}' AS table_name, count(*) FILTER (WHERE f.firm_id IS NULL) AS inserted,
-               count(*) FILTER (WHERE f.firm_id IS NOT NULL) AS updated
-        FROM (SELECT * FROM last WHERE rn = 1) b LEFT JOIN {t} f ON f.firm_id = b.firm_id
-            AND f.fiscal_year = b.fiscal_year AND f.snapshot_id = b.snapshot_id"""
-        for t in ("fact_financial_year", "fact_innovation_year")),
-        "snapshot", "dim_firm", "fact_financial_year", "fact_innovation_year", batch=BATCH, newest=_NEWEST, last=_LAST),
+    "load_counters": counters_sql(("fact_financial_year", "fact_innovation_year")),
     "load_problems": with_tables("""
         SELECT DISTINCT 'unknown ticker' AS problem, upper(trim(ticker)) AS value FROM batch WHERE upper(trim(ticker)) NOT IN
             (SELECT ticker FROM dim_firm WHERE firm_id % 3 <> 0)
