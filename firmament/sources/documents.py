@@ -47,10 +47,15 @@ def list_pdfs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return _listing(spark, paths, "*.[pP][dD][fF]").select("path", "length")
 
 
+def csv_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """All CSV files below ``paths``, part files one by one."""
+    return _listing(spark, paths, "*.csv").select("path", "length")
+
+
 def list_csvs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """All CSV documents below ``paths``, one row each. Spark leaves files of no bytes out of listings."""
     return (
-        _listing(spark, paths, "*.csv")
+        csv_files(spark, paths)
         .groupBy(document_path(F.col("path")).alias("path"))
         .agg(F.sum("length").alias("length"))
     )

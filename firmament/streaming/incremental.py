@@ -4,7 +4,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from firmament import schemas
-from firmament.sources.extractions import CSV_OPTIONS, with_file_order, with_source
+from firmament.sources.extractions import CSV_OPTIONS, damaged_documents, with_file_order, with_source, without_documents
+from firmament.sources.sinks import overwrite
 
 
 def ingest_new_extractions(spark: SparkSession, folder: str, target: str, checkpoint: str,
@@ -13,6 +14,7 @@ def ingest_new_extractions(spark: SparkSession, folder: str, target: str, checkp
 
     The checkpoint remembers the documents, so nothing is compared with the target. Each batch has
     a partition of its own that it overwrites, so a batch that is run again leaves no repeats.
+    Damaged documents add no row; ``target``-rejects names them, to be landed again under another name.
     ``checkpoint`` must be a folder all nodes can reach.
     """
     cells = (
@@ -22,8 +24,18 @@ def ingest_new_extractions(spark: SparkSession, folder: str, target: str, checkp
         .csv(folder)
     )
 
+    target = target.rstrip("/")
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        with_file_order(batch).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
+        session, staged, rejects = batch.sparkSession, f"{target}-staged", f"{target}-rejects/batch={batch_id}"
+        overwrite(with_file_order(batch), staged)
+        rows = session.read.parquet(staged)
+        # At most ``files_per_batch`` names.
+        names = [r.source_file for r in rows.select("source_file").distinct().toLocalIterator()]
+        if names:
+            overwrite(damaged_documents(session, names), rejects)
+            rows = without_documents(rows, session.read.parquet(rejects))
+        overwrite(rows, f"{target}/batch={batch_id}")
 
     return (
         with_source(cells)

@@ -328,6 +328,25 @@ def test_parts_of_a_document_are_read_in_order(spark, tmp_path):
     assert consolidation.consolidate(long).first().k == 0.0
 
 
+def test_damaged_documents_are_rejected_whole(spark, tmp_path):
+    folder, rejects = tmp_path / "in", str(tmp_path / "rejects")
+    line = "AAA,{},sales,l,{},VND,,{},0.5\n"
+    folder.mkdir()
+    (folder / "mark_2020.csv").write_bytes(b"\xef\xbb\xbf" + line.format(2020, 1, "snippet").encode() + b"AAA,2020,tax,l,2,,,,1")
+    (folder / "latin_2021.csv").write_bytes((line.format(2021, 1, "plain") + line.format(2021, 2, "caf\u00e9")).encode("latin-1"))
+    rows = spark.range(20_000).repartition(2).selectExpr("'AAA'", "'2022'", "concat('k', id)", "'l'", "CAST(id AS STRING)", "''", "''", "'s'", "'1'")
+    rows.write.csv(str(folder / "torn_2022.csv"))
+    part = sorted((folder / "torn_2022.csv").glob("part-*.csv"))[1]
+    data = bytearray(part.read_bytes())
+    data[-100] ^= 1  # the checksum beside the file tells
+    part.write_bytes(data)
+    damaged = {r.source_file.rsplit("/", 1)[1]: r.reason for r in extractions.damaged_documents(spark, str(folder)).collect()}
+    assert damaged == {"latin_2021.csv": "not UTF-8", "torn_2022.csv": "breaks off"}
+    kept = extractions.read_whole_documents(spark, str(folder), rejects)
+    assert {r.source_file.rsplit("/", 1)[1] for r in kept.select("source_file").distinct().collect()} == {"mark_2020.csv"}
+    assert spark.read.parquet(rejects).count() == 2
+
+
 def test_paths(table, spark, tmp_path):
     df = table([("gs://bucket/ABC/sub/r_2021_2022.pdf",), ("s3://b/X.csv/part-0001.csv",)], "path string")
     got = df.select(documents.ticker_of_uri(F.col("path")), documents.report_year(documents.document_path(F.col("path"))),
