@@ -11,9 +11,16 @@ def _keyed(lookup: DataFrame, key: str, columns: list[str]) -> DataFrame:
 
 def with_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str,
                 columns: list[str], how: str = "left") -> DataFrame:
-    """Add ``columns`` of ``lookup`` where the natural keys agree."""
+    """Add ``columns`` of ``lookup`` where the natural keys agree.
+
+    Rows without a key match nothing. A left join keeps them, so each gets a stand-in by the hash of
+    its cells, behind a sign no key has after stripping, and they are dealt over all tasks instead of one.
+    """
+    natural = natural_key(F.col(key))
+    if how == "left":
+        natural = F.coalesce(natural, F.concat(F.lit("\t"), F.xxhash64(*df.columns).cast("string")))
     return (
-        df.withColumn("_key", natural_key(F.col(key)))
+        df.withColumn("_key", natural)
         .join(_keyed(lookup, lookup_key, columns), "_key", how)
         .drop("_key")
     )
