@@ -7,6 +7,20 @@ from catalogue.panel import PANEL_TABLES, QC_CTES, QC_SELECT, qc_frame
 from firmament import schemas
 from firmament.plans import quality as q
 
+# Fixed values, written out here so that a wrong list in the engine shows.
+RATIOS = ["managerial_inside_own", "state_own", "institutional_own", "foreign_own"]
+NOT_NEGATIVE = [
+    "net_sales", "total_assets", "intangible_assets_net", "total_liabilities", "cash_and_equivalents", "long_term_debt",
+    "current_assets", "current_liabilities", "inventory", "net_ppe", "wip_goods_purchase", "merchandise_purchase_year",
+    "firm_age", "employees_count",
+]
+NOT_POSITIVE = [
+    "selling_expenses", "general_admin_expenses", "manufacturing_overhead", "raw_material_consumption",
+    "outside_manufacturing_expenses", "production_cost", "rnd_expenses", "capex", "dividend_cash_paid",
+]
+FLAGS = ["product_innovation", "process_innovation"]
+WHOLE = ["shares_outstanding", "employees_count", "firm_age", *FLAGS]
+
 
 def qc_age_progression_gap(spark: SparkSession, sf: str) -> DataFrame:
     return q.findings(q.with_previous_year(qc_frame(spark, sf)), q.year_rules())
@@ -44,8 +58,7 @@ def _text(column: str) -> str:
 
 
 def _one(column: str) -> str:
-    whole = column in schemas.WHOLE_NUMBER_VARIABLES or column in q.DUMMIES
-    return f"CAST({column} AS VARCHAR)" if whole else _text(column)
+    return f"CAST({column} AS VARCHAR)" if column in WHOLE else _text(column)
 
 
 def _say(template: str, *args: str) -> str:
@@ -82,16 +95,16 @@ def _year_rules() -> list[str]:
 
 def _range_rules() -> list[str]:
     out = [_rule(f"{c} < 0 OR {c} > 1", [c], "RANGE_ERROR", _say(q.MSG_RANGE, _one(c)), _one(c))
-           for c in q.RATIO_COLUMNS]
+           for c in RATIOS]
     out.append(_rule("shares_outstanding <= 0", ["shares_outstanding"], "INVALID_VALUE",
                      f"'{q.MSG_SHARES}'", "shares_outstanding"))
     out += [_rule(f"{c} < 0", [c], "NEGATIVE_VALUE", _say(q.MSG_NEGATIVE, f"'{c}'"), _one(c))
-            for c in q.NON_NEGATIVE]
+            for c in NOT_NEGATIVE]
     out += [_rule(f"{c} > 0", [c], "POSITIVE_VALUE", _say(q.MSG_POSITIVE, f"'{c}'"), _one(c))
-            for c in q.NON_POSITIVE]
+            for c in NOT_POSITIVE]
     out.append(_rule("growth_ratio < -0.95 OR growth_ratio > 5.0", ["growth_ratio"], "OUTLIER",
                      _say(q.MSG_OUTLIER, _one("growth_ratio")), _one("growth_ratio")))
-    for c in q.DUMMIES:
+    for c in FLAGS:
         out.append(_rule(f"{c} IS NULL", [c], "MISSING_VALUE", _say(q.MSG_NULL_DUMMY, f"'{c}'")))
         out.append(_rule(f"{c} NOT IN (0, 1)", [c], "INVALID_DUMMY", _say(q.MSG_BAD_DUMMY, f"'{c}'", c), c))
     return out
