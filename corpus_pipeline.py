@@ -25,7 +25,7 @@ def _without(docs: DataFrame, gone: DataFrame, key, name: str) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a language: no text, no letter, or n-grams that no language explains better than even chance."""
+    """Drops what ``language_id`` calls ``und``: no text, no letter, or nothing to learn from."""
     return with_language(docs)
 
 

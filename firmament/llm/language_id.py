@@ -153,8 +153,8 @@ def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   penalty: float = 8.0) -> DataFrame:
     """The documents, all columns as they were, without those that have no language by ``language_id``.
 
-    Rejected are ``und`` and texts whose n-grams no language set explains better than even chance. The rows pass through one
-    task each, so nothing is joined or shuffled.
+    Rejected are the ``und`` alone, so short texts stay whatever their gain. The rows pass through one task each, so nothing
+    is joined or shuffled.
     """
     bounded_batches(docs.sparkSession)
     languages, logs = learn(docs, id_col, text_col, lang_col, rows)
@@ -165,8 +165,7 @@ def with_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         for batch in batches:
             given = pa.RecordBatch.from_arrays([batch.column(at)] * 3, names=["id", "held_out", "text"])
             for found in predict(iter([given])):
-                gains = zip(found.column(2).to_pylist(), found.column(5).to_pylist(), strict=True)
-                yield batch.filter(pa.array([lead != UNKNOWN and gain > 0 for lead, gain in gains], pa.bool_()))
+                yield batch.filter(pa.array([lead != UNKNOWN for lead in found.column(2).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -174,6 +174,14 @@ def test_nothing_to_learn_from(spark, empty):
     assert {r.lang_pred for r in language_id.language_id(unknown).collect()} == {"und"}
 
 
+def test_only_texts_without_language_are_dropped(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    odd = [(-1, "Avec."), (-2, "A."), (-3, "A.\nAll rights reserved."), (-4, "the 4644464446444644464446444644464446444644 key"), (-5, "12 34"), (-6, None), (None, "Avec.")]
+    docs = docs.unionByName(spark.createDataFrame([(*r, None) for r in odd], docs.schema))
+    want = {r.doc_id for r in language_id.language_id(docs).where("lang_pred <> 'und'").collect()}
+    assert {r.doc_id for r in language_id.with_language(docs).collect()} == want and {-1, -2, -3, -4, None} <= want
+
+
 def test_shares_find_a_known_mixture():
     rng = np.random.default_rng(0)
     likelihood = rng.dirichlet(np.ones(500), 3).T
