@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import base64
+import json
+import os
+import re
 import zlib
 
 import numpy as np
@@ -15,10 +18,11 @@ from pyspark.sql import functions as F
 from firmament.llm.common import bounded_batches, materialised, table
 
 _ENCODERS: dict[str, tiktoken.Encoding] = {}
+_ADDED: dict[str, dict[str, int]] = {}
 
 
 def encoder(ranks_file: str) -> tiktoken.Encoding:
-    """Byte-level BPE of a ranks file, kept per worker; special tokens' strings are ordinary text."""
+    """Byte-level BPE of a ranks file, kept per worker, for text between added tokens."""
     if ranks_file not in _ENCODERS:
         with open(public_tokenizers.path(ranks_file), "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -26,10 +30,39 @@ def encoder(ranks_file: str) -> tiktoken.Encoding:
     return _ENCODERS[ranks_file]
 
 
+def added_tokens(ranks_file: str) -> dict[str, int]:
+    """Ids of the tokens that the tokenizer's JSON adds to the vocabulary, kept per worker; none for ranks without a JSON."""
+    if ranks_file not in _ADDED:
+        path = public_tokenizers.path(ranks_file.removesuffix(".tiktoken") + ".json")
+        added = []
+        if os.path.exists(path):
+            with open(path, encoding="utf-8") as file:
+                added = json.load(file)["added_tokens"]
+        if any(t[option] for t in added for option in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"{path} has added tokens that match otherwise than by their plain text")
+        _ADDED[ranks_file] = {t["content"]: t["id"] for t in added}
+    return _ADDED[ranks_file]
+
+
+def token_ids(ranks_file: str):
+    """Function from a text to its ids: added tokens are cut out first, what lies between them is encoded piece by piece."""
+    encode, added = encoder(ranks_file).encode_ordinary, added_tokens(ranks_file)
+    if not added:
+        return encode
+    find = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")")
+
+    def ids(text: str) -> list[int]:
+        parts = find.split(text)
+        if len(parts) == 1:
+            return encode(text)
+        return [i for k, part in enumerate(parts) for i in ([added[part]] if k % 2 else encode(part))]
+    return ids
+
+
 def pieces_of(window: int, ranks_file: str, end_id: int):
     """Task function: a row per piece of each text, cut into full windows from its start."""
     def run(batches):
-        encode = encoder(ranks_file).encode_ordinary
+        encode = token_ids(ranks_file)
         for batch in batches:
             rows, starts, lengths, crcs, totals = [], [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
@@ -125,7 +158,7 @@ def pack(docs: DataFrame, window: int = 1024, ranks_file: str = "byte_bpe_50k.ti
     """Pack all documents into sequences of at most ``window`` tokens.
 
     Returns one row per piece: ``id_col, start, length, ids_crc32, doc_tokens, sequence_id, offset``. A document is its
-    token ids and ``end_id``; a null or empty text is ``end_id`` alone. Overlong documents are first cut into full
+    token ids (added tokens of the tokenizer's JSON are one token wherever their string stands) and ``end_id``; a null or empty text is ``end_id`` alone. Overlong documents are first cut into full
     windows, each a sequence of its own; the rest of each document is placed by best-fit decreasing. Null ids and rows
     that repeat an id are packed like any other; an empty table gives no rows. Sequence ids start at 0 without gaps.
 

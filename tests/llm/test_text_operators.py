@@ -207,6 +207,20 @@ def test_ids_are_those_of_the_tokenizers_library():
         assert encode(text) == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_those_of_the_tokenizers_library(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["end <|endoftext|> next", "<|endoftext|>", "a<|endoftext|><|endoftext|>  \n", "<|endoftext|", "<|<|endoftext|>|> x", "<|ENDOFTEXT|>", "  plain  text "]
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [437, 220, 50256, 1306]
+    want = set()
+    for i, text in enumerate(texts):
+        own = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 0], "<u4")
+        want.add((i, len(own), zlib.crc32(own.tobytes())))
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {(r.doc_id, r.doc_tokens, r.ids_crc32) for r in got.collect()} == want
+
+
 # Exact dedup
 
 def test_exact_dedup(docs, corpus):
