@@ -14,31 +14,44 @@ from firmament.llm.simhash import simhash_groups
 
 
 def _without(docs: DataFrame, gone: DataFrame, key, name: str) -> DataFrame:
-    """Documents whose ``key`` is not in ``gone.key``; null keys stay.
+    """Documents whose ``key`` is not in ``gone.key``, which has no nulls.
 
     The rejects grow with the input, so they are never broadcast: both sides are dealt by key, at every size alike, and only
     the rejects' keys are hashed, which spares sorting the texts.
     """
-    gone = materialised(gone.select("key").where(F.col("key").isNotNull()).distinct(), name)
+    gone = materialised(gone.select("key").distinct(), name)
     columns = docs.columns
     return docs.withColumn("_key", key).join(gone.withColumnRenamed("key", "_key").hint("shuffle_hash"), "_key", "left_anti").select(*columns)
 
 
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The documents with a number ``_row`` of each row, written once so that it stays: null and repeated ids name no single row."""
+    return materialised(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what ``language_id`` calls ``und``: no text, no letter, or nothing to learn from."""
     return with_language(docs)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts, the one with the largest id stays."""
-    rejected = exact_dedup(docs).where(~F.col("kept"))
-    return _without(docs, rejected.select(F.col("doc_id").alias("key")), F.col("doc_id"), "exact-copies")
+    """Of rows with equal texts, exactly one stays: that with the largest id, of several the last; null ids come before all others."""
+    numbered = _numbered(docs, "exact-rows")
+    rejected = exact_dedup(numbered.withColumn("_id", F.struct("doc_id", "_row")), id_col="_id").where(~F.col("kept"))
+    return _without(numbered, rejected.select(F.col("_id._row").alias("key")), F.col("_row"), "exact-copies").drop("_row")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of linked fingerprints, the document with the smallest id stays."""
-    rejected = simhash_groups(docs).where(F.col("doc_id") != F.col("component_id"))
-    return _without(docs, rejected.select(F.col("doc_id").alias("key")), F.col("doc_id"), "near-copies")
+    """Of rows with linked fingerprints, exactly one stays: that with the smallest id, of several the first; null ids come last.
+
+    Rows are linked by their numbers, so those without id link and are linked like any other.
+    """
+    numbered = _numbered(docs, "near-rows")
+    groups = simhash_groups(numbered, id_col="_row").select("_row", "component_id").join(numbered.select("_row", "doc_id"), "_row")
+    groups = materialised(groups.select("_row", "component_id", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("place")), "near-groups")
+    stays = groups.groupBy("component_id").agg(F.min("place")["_row"].alias("key"))
+    rejected = groups.join(stays, F.col("_row") == F.col("key"), "left_anti")
+    return _without(numbered, rejected.select(F.col("_row").alias("key")), F.col("_row"), "near-copies").drop("_row")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

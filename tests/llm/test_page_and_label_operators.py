@@ -275,6 +275,19 @@ def test_stages_follow_their_operators(spark):
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == {r.doc_id for r in kept.select("doc_id").collect()}
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark, tmp_path):
+    from tests.llm.conftest import DOCS, prose
+    rng = random.Random(8)
+    x, y, z, w, v, u, near = (prose(rng, 80, 5000) for _ in range(7))
+    apart = lambda t: t.replace(" ", "  ", 1)  # noqa: E731  another text of the same fingerprint
+    given = [(None, x), (None, x.upper()), (7, x), (None, y), (None, y), (5, z), (5, z), (5, w), (9, w), (5, v),
+             (None, near), (None, apart(near)), (3, near + " "), (8, u), (8, apart(u)), (8, u)]
+    spark.createDataFrame([(d, t, "en", None, None) for d, t in given], DOCS).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = Counter(r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).where("start = 0").collect())
+    assert got == Counter([7, None, 5, 9, 5, 3, 8])
+
+
 def test_pipeline_of_nothing(spark, tmp_path, empty):
     empty.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
