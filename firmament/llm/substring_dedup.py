@@ -83,29 +83,44 @@ def _windows(power: np.ndarray, factor: np.uint64, width: int, n: int) -> np.nda
     return out
 
 
-def chunks_of(batches, width: int):
-    """Chunks of whole texts of about ``AT_ONCE`` bytes: ids, text hashes, windows per text, window hashes."""
+def chunks_of(batches, width: int, key: np.dtype):
+    """Chunks of whole texts of about ``AT_ONCE`` bytes: document keys, windows per text, window hashes."""
     ids, held, size = [], [], 0
     for batch, texts in byte_texts(batches):
         for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
             if text:
-                ids.append(NO_ID if doc_id is None else doc_id)
+                ids.append(doc_id)
                 held.append(text)
                 size += len(text)
                 if size >= AT_ONCE:
-                    yield _chunk(ids, held, width)
+                    yield keys_of(ids, held, key), *window_hashes(held, width)
                     ids, held, size = [], [], 0
     if held:
-        yield _chunk(ids, held, width)
-
-
-def _chunk(ids: list[int], texts: list[bytes], width: int):
-    marks = np.array([xxhash.xxh3_64_intdigest(t) >> 32 for t in texts], np.uint32)
-    return np.array(ids, np.int64), marks, *window_hashes(texts, width)
+        yield keys_of(ids, held, key), *window_hashes(held, width)
 
 
 #: Place of documents without id: behind all others.
 NO_ID = (1 << 63) - 1
+#: Key of a document, in the order of the corpus: the id where ids tell all rows apart, else also whether there is none and 128 bits of its text.
+UNIQUE = np.dtype([("id", "<i8")])
+MARKED = np.dtype([("id", "<i8"), ("none", "u1"), ("mark", "<u8"), ("more", "<u8")])
+
+
+def keys_of(ids: list, texts: list, key: np.dtype) -> np.ndarray:
+    out = np.empty(len(ids), key)
+    out["id"] = [NO_ID if i is None else i for i in ids]
+    if key == MARKED:
+        out["none"] = [i is None for i in ids]
+        out["mark"] = [xxhash.xxh3_64_intdigest(t or b"") for t in texts]
+        out["more"] = [xxhash.xxh64_intdigest(t or b"") for t in texts]
+    return out
+
+
+def apart(rows: np.ndarray, fields: tuple) -> np.ndarray:
+    """Which rows differ from the one before them in any of the fields; the first does."""
+    out = np.ones(len(rows), bool)
+    out[1:] = np.any([rows[f][1:] != rows[f][:-1] for f in fields], axis=0)
+    return out
 
 
 def bucket(hashes: np.ndarray, counters: int) -> np.ndarray:
@@ -128,7 +143,7 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
 def sketch_parts(width: int, counters: int):
     """Task function: the task's sketch, counters saturating at 2: per row and chunk those at 1 and those at 2."""
     def run(batches):
-        for _, _, _, hashes in chunks_of(batches, width):
+        for _, _, hashes in chunks_of(batches, width, UNIQUE):
             for row in range(DEPTH):
                 at = np.sort(bucket(hashes[row], counters))
                 first = np.concatenate([[True], at[1:] != at[:-1]])
@@ -163,22 +178,32 @@ def merged_chunk(key, parts):
                     schema=pa.schema([("row", pa.int32()), ("chunk", pa.int64()), ("repeated", pa.binary())]))
 
 
-#: A window at a place: 96 bits of its words, the document's id and text hash, the start.
-ENTRY = np.dtype([("a", "<u8"), ("b", "<u4"), ("id", "<i8"), ("mark", "<u4"), ("start", "<u4")])
-PLACE = np.dtype([("id", "<i8"), ("mark", "<u4"), ("start", "<u4")])
+def place_of(key: np.dtype) -> np.dtype:
+    """A place: the document's key, the start."""
+    return np.dtype([*key.descr, ("start", "<u4")])
+
+
+def entry_of(key: np.dtype) -> np.dtype:
+    """A window at a place: 96 bits of its words, the place."""
+    return np.dtype([("a", "<u8"), ("b", "<u4"), *place_of(key).descr])
+
+
 OUT = pa.schema([("slot", pa.int64()), ("removed", pa.bool_()), ("entries", pa.binary())])
 
 
 def by_column(entries: np.ndarray) -> bytes:
-    return b"".join(np.ascontiguousarray(entries[f]).tobytes() for f in entries.dtype.names)
+    """Fields one after the other, each by its first bytes, second bytes and so on: upper bytes of small numbers are alike and compress."""
+    return b"".join(np.ascontiguousarray(entries[f]).view(np.uint8).reshape(len(entries), -1).T.tobytes() for f in entries.dtype.names)
 
 
 def of_columns(data: bytes, kind: np.dtype) -> np.ndarray:
     n, offset = len(data) // kind.itemsize, 0
     entries = np.empty(n, kind)
     for field in kind.names:
-        entries[field] = np.frombuffer(data, kind[field], n, offset)
-        offset += n * kind[field].itemsize
+        width = kind[field].itemsize
+        planes = np.frombuffer(data, np.uint8, n * width, offset).reshape(width, n)
+        entries[field] = np.ascontiguousarray(planes.T).reshape(-1).view(kind[field])
+        offset += n * width
     return entries
 
 
@@ -189,28 +214,31 @@ def dealt(entries: np.ndarray, slot: np.ndarray, removed: bool):
         yield int(slot[a]), removed, by_column(entries[a:b])
 
 
-def removed_rows(entries: np.ndarray, slots: int):
+def removed_rows(entries: np.ndarray, slots: int, key: np.dtype):
     """Rows of removed places, dealt by document."""
-    places = np.empty(len(entries), PLACE)
-    for field in PLACE.names:
+    places = np.empty(len(entries), place_of(key))
+    for field in places.dtype.names:
         places[field] = entries[field]
-    slot = bucket(mixed(places["id"].view(np.uint64)), slots).astype(np.int64)
-    order = np.lexsort((places["start"], places["mark"], places["id"], slot))
+    mixture = places["id"].astype(np.uint64)
+    if key == MARKED:
+        mixture = mixed(mixture) ^ places["mark"]
+    slot = bucket(mixed(mixture), slots).astype(np.int64)
+    order = np.lexsort((*[places[f] for f in reversed(places.dtype.names)], slot))
     return dealt(places[order], slot[order], True)
 
 
 def in_order(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entries by window and place in the corpus, and which of them are their window's first."""
-    entries = entries[np.lexsort((entries["start"], entries["mark"], entries["id"], entries["b"], entries["a"]))]
-    first = np.ones(len(entries), bool)
-    first[1:] = (entries["a"][1:] != entries["a"][:-1]) | (entries["b"][1:] != entries["b"][:-1])
+    names = entries.dtype.names
+    entries = entries[np.lexsort([entries[f] for f in reversed(names)])]
+    first = apart(entries, ("a", "b"))
     # Equal rows are one document: a tie for the first place is first too.
     lead = np.maximum.accumulate(np.where(first, np.arange(len(entries)), 0))
-    tied = np.all([entries[f] == entries[f][lead] for f in ("id", "mark", "start")], axis=0) if len(entries) else first
+    tied = np.all([entries[f] == entries[f][lead] for f in names[2:]], axis=0) if len(entries) else first
     return entries, first | tied
 
 
-def candidate_windows(width: int, counters: int, slots: int, bitmaps: list[bytes]):
+def candidate_windows(width: int, counters: int, slots: int, bitmaps: list[bytes], key: np.dtype):
     """Task function: windows that every sketch row estimates repeated.
 
     Of a window's places in one chunk only the first can be its first in the corpus. That one goes to the window's slot;
@@ -218,50 +246,67 @@ def candidate_windows(width: int, counters: int, slots: int, bitmaps: list[bytes
     """
     def run(batches):
         repeated = [np.frombuffer(zlib.decompress(b), np.uint8) for b in bitmaps]
-        for ids, marks, sizes, hashes in chunks_of(batches, width):
+        for keys, sizes, hashes in chunks_of(batches, width, key):
             keep = np.ones(hashes.shape[1], bool)
             for row in range(DEPTH):
                 at = bucket(hashes[row], counters)
                 keep &= (repeated[row][at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
             at = np.flatnonzero(keep)
-            doc = np.repeat(np.arange(len(ids)), sizes)[at]
-            entries = np.empty(len(at), ENTRY)
+            doc = np.repeat(np.arange(len(keys)), sizes)[at]
+            entries = np.empty(len(at), entry_of(key))
             entries["a"], entries["b"] = hashes[0, at], hashes[1, at]
-            entries["id"], entries["mark"] = ids[doc], marks[doc]
+            for field in key.names:
+                entries[field] = keys[field][doc]
             entries["start"] = at - np.concatenate([[0], np.cumsum(sizes)])[doc]
             entries, first = in_order(entries)
             sent = entries[first]
-            rows = [*dealt(sent, bucket(sent["a"], slots).astype(np.int64), False), *removed_rows(entries[~first], slots)]
+            rows = [*dealt(sent, bucket(sent["a"], slots).astype(np.int64), False), *removed_rows(entries[~first], slots, key)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), OUT, strict=True)], schema=OUT)
     return run
 
 
-def later_windows(slots: int):
+def later_windows(slots: int, key: np.dtype):
     """Group function: places of one slot that aren't their window's first, dealt by document; removals pass through."""
     def run(parts):
         known, data = parts.column("removed").to_pylist(), parts.column("entries").to_pylist()
         rows = [(parts.column("slot")[0].as_py(), True, d) for d, r in zip(data, known, strict=True) if r]
-        sent = [of_columns(d, ENTRY) for d, r in zip(data, known, strict=True) if not r]
+        sent = [of_columns(d, entry_of(key)) for d, r in zip(data, known, strict=True) if not r]
         if sent:
             entries, first = in_order(np.concatenate(sent))
-            rows.extend(removed_rows(entries[~first], slots))
+            rows.extend(removed_rows(entries[~first], slots, key))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), OUT, strict=True)] if rows else [[], [], []], schema=OUT)
     return run
 
 
-REMOVED = pa.schema([("id", pa.int64()), ("parts", pa.list_(pa.struct([("mark", pa.int64()), ("starts", pa.binary())])))])
+#: A document's key as columns, unsigned numbers in the bits of signed ones; ids that tell all rows apart leave the others constant.
+KEY = "place long, none boolean, mark long, more long"
+REMOVED = pa.schema([("place", pa.int64()), ("none", pa.bool_()), ("mark", pa.int64()), ("more", pa.int64()), ("starts", pa.binary())])
+
+
+def key_columns(keys: np.ndarray) -> list[pa.Array]:
+    if keys.dtype.names[:len(MARKED.names)] == MARKED.names:
+        none, mark, more = keys["none"] == 1, keys["mark"], keys["more"]
+    else:
+        none, mark, more = np.zeros(len(keys), bool), np.zeros(len(keys), np.uint64), np.zeros(len(keys), np.uint64)
+    return [pa.array(np.ascontiguousarray(keys["id"])), pa.array(none), *[pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (mark, more)]]
+
 
+def removed_by_document(key: np.dtype):
+    """Group function: a row per document of one slot, with its removed starts."""
+    def run(parts):
+        places = np.unique(np.concatenate([of_columns(d, place_of(key)) for d in parts.column("entries").to_pylist()]))
+        cuts = np.flatnonzero(apart(places, key.names))
+        starts = [np.ascontiguousarray(own["start"]).tobytes() for own in np.split(places, cuts[1:])]
+        return pa.table([*key_columns(places[cuts]), pa.array(starts, pa.binary())], schema=REMOVED)
+    return run
 
-def removed_by_document(parts):
-    """Group function: the removed starts of each document of one slot, by the hash of its text."""
-    places = np.unique(np.concatenate([of_columns(d, PLACE) for d in parts.column("entries").to_pylist()]))
-    ids, lists = [], []
-    for own in np.split(places, np.flatnonzero(np.diff(places["id"])) + 1):
-        ids.append(int(own["id"][0]))
-        lists.append([{"mark": int(x["mark"][0]), "starts": np.ascontiguousarray(x["start"]).tobytes()}
-                      for x in np.split(own, np.flatnonzero(np.diff(own["mark"].astype(np.int64))) + 1)])
-    return pa.table([pa.array(ids, pa.int64()), pa.array(lists, REMOVED.field(1).type)], schema=REMOVED)
+
+def with_keys(batches):
+    """Task function: ids and texts with the columns of their marked keys."""
+    for batch, texts in byte_texts(batches):
+        keys = keys_of(batch.column(0).to_pylist(), texts, MARKED)
+        yield pa.RecordBatch.from_arrays([*batch.columns, *key_columns(keys)], names=["id", "text", *REMOVED.names[:4]])
 
 
 def without_removed(width: int):
@@ -269,14 +314,12 @@ def without_removed(width: int):
     def run(batches):
         for batch, texts in byte_texts(batches):
             totals, removed, digests, kept = [], [], [], []
-            for text, parts in zip(texts, batch.column(2).to_pylist(), strict=True):
+            for text, starts in zip(texts, batch.column(2).to_pylist(), strict=True):
                 words = text.split() if text else []
-                mark = xxhash.xxh3_64_intdigest(text) >> 32 if parts and text else 0
-                starts = [np.frombuffer(p["starts"], "<u4") for p in parts or () if p["mark"] == mark]
                 gone = 0
                 if starts:
                     edges = np.zeros(len(words) + 1, np.int64)
-                    at = starts[0].astype(np.int64)
+                    at = np.frombuffer(starts, "<u4").astype(np.int64)
                     edges[at] += 1
                     edges[at + width] -= 1
                     covered = np.cumsum(edges[:-1]) > 0
@@ -301,7 +344,7 @@ def substring_dedup(docs: DataFrame, width: int = 20, id_col: str = "doc_id", te
 
     Returns one row per document: ``id_col, n_words, n_removed, kept_sha256, kept``. Earlier is a smaller id, or the same
     document and a smaller start. Ids are whole numbers; documents without id come last. Rows that repeat an id are told
-    apart by their text (and ordered by its hash); rows equal in both are one document and lose the same words. Null
+    apart by 128 bits of their text (and ordered by them), as those without id are; rows equal in both are one document and lose the same words. Null
     and empty texts have no words. An empty table gives no rows.
 
     First pass: each task counts its windows in a count-min sketch of two rows whose counters stop at 2; the tasks'
@@ -315,6 +358,8 @@ def substring_dedup(docs: DataFrame, width: int = 20, id_col: str = "doc_id", te
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    repeated = texts.groupBy("id").count().where((F.col("count") > 1) | F.col("id").isNull()).limit(1).count()
+    key = MARKED if repeated else UNIQUE
     counters = int(min(most_counters, max(1 << 16, size * counters_per_byte)))
     slots = max(16, size // slot_bytes)
 
@@ -327,11 +372,14 @@ def substring_dedup(docs: DataFrame, width: int = 20, id_col: str = "doc_id", te
                for row in range(DEPTH)]
 
     rows = "slot long, removed boolean, entries binary"
-    found = texts.mapInArrow(candidate_windows(width, counters, slots, bitmaps), rows)
-    removed = found.groupBy("slot").applyInArrow(later_windows(slots), rows)
-    removed = removed.groupBy("slot").applyInArrow(removed_by_document, "id long, parts array<struct<mark:long,starts:binary>>")
-    joined = texts.withColumn("place", F.coalesce("id", F.lit(NO_ID))).join(removed.withColumnRenamed("id", "place"), "place", "left")
-    kept = joined.select("id", "text", "parts").mapInArrow(
+    found = texts.mapInArrow(candidate_windows(width, counters, slots, bitmaps, key), rows)
+    removed = found.groupBy("slot").applyInArrow(later_windows(slots, key), rows)
+    removed = removed.groupBy("slot").applyInArrow(removed_by_document(key), f"{KEY}, starts binary")
+    if key == MARKED:
+        joined = texts.mapInArrow(with_keys, f"id long, text string, {KEY}").join(removed, ["place", "none", "mark", "more"], "left")
+    else:
+        joined = texts.withColumn("place", F.col("id")).join(removed, "place", "left")
+    kept = joined.select("id", "text", "starts").mapInArrow(
         without_removed(width), "id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return kept.withColumnRenamed("id", id_col)
 

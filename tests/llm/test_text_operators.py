@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -93,6 +94,26 @@ def test_substring_dedup(docs, corpus, monkeypatch, most, at_once):
     assert got == want and sum(r[2] for r in want) > 300
 
 
+def test_documents_without_own_id_are_told_apart(spark, monkeypatch):
+    # The first hash of the text says nothing, as if it collided, and an id has the place of those without.
+    monkeypatch.setattr(substring_dedup.xxhash, "xxh3_64_intdigest", lambda data: 7)
+    rng = random.Random(6)
+    shared = " ".join(f"s{i}" for i in range(30))
+    texts = [f"{i} {' '.join(f'u{rng.randrange(10**6)}' for _ in range(i % 9))} {shared}" for i in range(40)]
+    ids = [None] * 30 + [4] * 9 + [substring_dedup.NO_ID]
+    table = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").coalesce(1)
+    texts_of = lambda batches: substring_dedup.chunks_of(batches, 20, substring_dedup.MARKED)
+    keys = np.concatenate([k for k, _, _ in texts_of(iter(table.toArrow().to_batches()))])
+    assert len(np.unique(keys)) == 40
+    rows_of = [*substring_dedup.removed_rows(np.array([(0, 0, *k.tolist(), 5) for k in keys], substring_dedup.entry_of(substring_dedup.MARKED)), 1, substring_dedup.MARKED)]
+    found = substring_dedup.removed_by_document(substring_dedup.MARKED)(pa.table([[r[2] for r in rows_of]], names=["entries"]))
+    assert found.num_rows == 40
+    assert rows(substring_dedup.substring_dedup(table).select("doc_id", "n_removed")).count((None, 30)) in (29, 30)
+    many = np.zeros(1000, substring_dedup.entry_of(substring_dedup.MARKED))
+    many["id"], many["none"], many["mark"] = substring_dedup.NO_ID, 1, rng.sample(range(1 << 62), 1000)
+    assert len([*substring_dedup.removed_rows(many, 16, substring_dedup.MARKED)]) == 16
+
+
 def test_substring_dedup_of_nothing(empty):
     assert substring_dedup.substring_dedup(empty).count() == 0
 
