@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from firmament.llm.common import ascii_lower, materialised, table
 
-#: Depth of the tree. Segments below it do not branch: they join the node above, so no page is left out.
+#: Depth of ``template_tree``.
 DEPTH = 4
 STEPS = [f"s{d}" for d in range(1, DEPTH + 1)]
 
@@ -52,7 +52,9 @@ def shape_of(segment: Column) -> Column:
 def template_tree(
     forms: DataFrame, min_share: float = 0.01, weight: float = 10.0, most_bad: float = 0.5, similar: float = 1.96,
 ) -> DataFrame:
-    """Verdict of each form of path: ``host, s1..s4, template, bad_share, verdict``.
+    """Verdict of each form of path of four steps at most: ``host, s1..s4, template, bad_share, verdict``.
+
+    ``url_filter`` judges by ``branch_tree``, which has no such depth.
 
     ``forms`` has one row per host and form (``host, s1..s4, pages, labelled, bad``): how many pages, how many of them
     are labelled and how many of those bad. Steps:
@@ -94,6 +96,64 @@ def template_tree(
         F.when(F.col("share") > most_bad, "block").otherwise("allow").alias("verdict"))
 
 
+def branch_tree(
+    forms: DataFrame, min_share: float = 0.01, weight: float = 10.0, most_bad: float = 0.5, similar: float = 1.96,
+) -> DataFrame:
+    """Verdict of each form of path: ``host, form, template, bad_share, verdict``.
+
+    ``forms`` has one row per host and form (``host, form, pages, labelled, bad``; a form is its segments joined by ``/``). From
+    the host down, level by level as long as a node has several forms:
+
+    1. Below each node a segment with less than ``min_share`` of the node's pages becomes the wildcard ``*``.
+    2. Children of a node are ordered by bad share; a child is one branch with the one before it unless their shares
+       differ by more than ``similar`` standard errors. A branch is one node for the levels below it.
+    3. A branch's bad share is smoothed towards its parent's by ``weight`` pages, down from the share of all labelled
+       pages (0 where nothing is labelled). A branch with all the labels of its parent has its parent's share, so that they count once.
+
+    A form is judged at the node of its last segment; above ``most_bad`` it is blocked. ``template`` names the form's own segments.
+    """
+    total = forms.agg(F.sum("labelled").alias("n"), F.sum("bad").alias("k")).first()
+    overall = total.k / total.n if total.n else 0.0
+    host = Window.partitionBy("host")
+    smoothed = (F.sum("bad").over(host) + weight * overall) / (F.sum("labelled").over(host) + weight)
+    steps = F.when(F.col("form") == "", F.array().cast("array<string>")).otherwise(F.split("form", "/"))
+    level = materialised(forms.select(
+        "host", "form", "pages", "labelled", "bad", steps.alias("steps"), F.col("host").alias("template"), F.lit("").alias("node"), smoothed.alias("share"),
+        F.sum("labelled").over(host).alias("known"), F.sum("pages").over(host).alias("node_pages"), F.count(F.lit(1)).over(host).alias("node_forms")), "url-level")
+    done, d = [], 0
+    while True:
+        over = (F.size("steps") <= d) | (F.col("node_forms") == 1)
+        rest = F.slice("steps", d + 1, F.greatest(F.size("steps") - d, F.lit(0)))
+        done.append(level.where(over).select("host", "form", F.concat_ws("/", "template", rest).alias("template"), "share"))
+        going = level.where(~over)
+        if going.isEmpty():
+            break
+        step = F.get("steps", F.lit(d))
+        pages = F.sum("pages").over(Window.partitionBy("host", "node", step))
+        going = going.withColumn("step", F.when(pages < min_share * F.col("node_pages"), F.lit("*")).otherwise(step))
+        names = ["host", "node"]
+        children = going.groupBy(*names, "step").agg(
+            F.sum("labelled").alias("n"), F.sum("bad").alias("k"), F.first("share").alias("above"), F.first("known").alias("known"))
+        own = lambda k, n: F.when(n == F.col("known"), F.col("above")).otherwise((k + weight * F.col("above")) / (n + weight))
+        children = children.withColumn("own", own(F.col("k"), F.col("n")))
+        children = children.withColumn("variance", F.col("own") * (1 - F.col("own")) / (F.col("n") + weight))
+        order = Window.partitionBy(*names).orderBy("own", "step")
+        apart = F.col("own") - F.lag("own").over(order) > similar * F.sqrt(F.col("variance") + F.lag("variance").over(order))
+        children = children.withColumn("apart", F.coalesce(apart.cast("int"), F.lit(0)))
+        children = children.withColumn("branch", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        branch = Window.partitionBy(*names, "branch")
+        n, k = F.sum("n").over(branch), F.sum("k").over(branch)
+        children = children.select(*names, "step", "branch", own(k, n).alias("share"), n.alias("known"))
+        level = going.drop("share", "known", "node_pages", "node_forms").join(children, [*names, "step"])
+        level = level.withColumn("template", F.concat_ws("/", "template", "step")).withColumn("node", F.concat_ws(".", "node", "branch"))
+        node = Window.partitionBy(*names)
+        level = materialised(level.drop("step", "branch").withColumns(
+            {"node_pages": F.sum("pages").over(node), "node_forms": F.count(F.lit(1)).over(node)}), "url-level")
+        d += 1
+    return reduce(DataFrame.unionByName, done).select("host", "form", "template", F.col("share").alias("bad_share"), F.when(
+        F.col("share") > most_bad, "block").otherwise("allow").alias("verdict"))
+
+
 def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join on ``keys``, nulls equal (a path that ends above a level has null there)."""
     renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
@@ -106,7 +166,7 @@ def url_filter(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str,
     """Judge every url: ``id_col, host, path, rule, verdict, template, bad_share``.
 
     The longest fitting rule decides; a page that no rule fits gets the verdict of its path's template (``settings``: see
-    ``template_tree``). ``labelled`` (``id_col, bad``) marks pages as bad (1) or good (0); null marks and ids are no label,
+    ``branch_tree``). ``labelled`` (``id_col, bad``) marks pages as bad (1) or good (0); null marks and ids are no label,
     and of several marks of one page the worst counts. A null url, or one without ``://``, has an empty host and path,
     which is a node like any other. Rows that repeat an id each get a row; an empty table gives none.
 
@@ -116,15 +176,14 @@ def url_filter(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str,
     url = F.col(url_col)
     split = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    split = split.withColumn("segments", segments)
-    split = materialised(split.select("id", "host", "path", *[
-        shape_of(F.get("segments", F.lit(d))).alias(step) for d, step in enumerate(STEPS)]), "url-forms")
+    form = F.array_join(F.transform(F.slice(segments, 1, DEPTH), shape_of), "/")
+    split = materialised(split.select("id", "host", "path", form.alias("form")), "url-forms")
     marks = labelled.where(F.col("bad").isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max("bad").alias("bad"))
-    forms = split.join(marks, "id", "left").groupBy("host", *STEPS).agg(
+    forms = split.join(marks, "id", "left").groupBy("host", "form").agg(
         F.count(F.lit(1)).alias("pages"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-    verdicts = materialised(template_tree(forms, **settings).withColumnRenamed("verdict", "by_template"), "url-verdicts")
+    verdicts = materialised(branch_tree(materialised(forms, "url-counts"), **settings).withColumnRenamed("verdict", "by_template"), "url-verdicts")
     rule = fitting_rule(F.col("host"), F.col("path"), rules)
-    return _same(split, verdicts, ["host", *STEPS]).withColumn("fit", rule).select(
+    return split.join(verdicts, ["host", "form"]).withColumn("fit", rule).select(
         F.col("id").alias(id_col), "host", "path", F.col("fit")["rule"].alias("rule"),
         F.coalesce(F.col("fit")["verdict"], F.col("by_template")).alias("verdict"), "template", "bad_share")
 

@@ -107,6 +107,30 @@ def test_tree(spark):
         assert r.bad_share == pytest.approx(share) and r.verdict == verdict
 
 
+def judged(spark, given, **settings):
+    """Shares and verdicts by url: given are (url, pages, of them labelled, of those bad)."""
+    listed = [(url, i < labelled, i < bad) for url, n, labelled, bad in given for i in range(n)]
+    pages = spark.createDataFrame([(i, u, "h", "clash", 1) for i, (u, *_) in enumerate(listed)], PAGES)
+    marks = spark.createDataFrame([(i, int(bad)) for i, (_, known, bad) in enumerate(listed) if known], "page_id long, bad int")
+    return {r.host + r.path: (r.bad_share, r.verdict) for r in url_filter.url_filter(pages, marks, **settings).collect()}
+
+
+def test_labels_count_once_down_a_path(spark):
+    got = judged(spark, [("http://a.com/de/1", 6, 2, 2), ("http://b.com/x", 30, 30, 3), ("http://b.com/y/z", 30, 30, 3)])
+    overall = 8 / 62
+    assert got["a.com/de/1"] == (pytest.approx((2 + 10 * overall) / 12), "allow")
+    b = (6 + 10 * overall) / 70
+    # x and y are one node with all labels of the host; below it z has half of them.
+    assert got["b.com/x"][0] == pytest.approx(b) and got["b.com/y/z"][0] == pytest.approx((3 + 10 * b) / 40)
+
+
+def test_similar_branches_are_one_node(spark):
+    got = judged(spark, [(f"http://a.com/{s}/{end}", 6, 6, 6 * (end == "spam")) for s in "pqrs" for end in ("spam", "good")])
+    assert len({v for u, v in got.items() if u.endswith("spam")}) == 1
+    # The pooled 24 labels of a page kind decide, where each six alone would leave 0.69.
+    assert got["a.com/p/spam"] == (pytest.approx((24 + 10 * 0.5) / 34), "block") and got["a.com/p/good"][1] == "allow"
+
+
 def test_no_pages(spark):
     none = spark.createDataFrame([], PAGES)
     assert url_filter.url_filter(none, spark.createDataFrame([], "page_id long, bad int"), url_filter.RULES).count() == 0
