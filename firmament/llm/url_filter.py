@@ -176,7 +176,7 @@ def url_filter(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str,
     url = F.col(url_col)
     split = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    form = F.array_join(F.transform(F.slice(segments, 1, DEPTH), shape_of), "/")
+    form = F.array_join(F.transform(segments, shape_of), "/")
     split = materialised(split.select("id", "host", "path", form.alias("form")), "url-forms")
     marks = labelled.where(F.col("bad").isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max("bad").alias("bad"))
     forms = split.join(marks, "id", "left").groupBy("host", "form").agg(

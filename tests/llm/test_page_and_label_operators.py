@@ -131,6 +131,13 @@ def test_similar_branches_are_one_node(spark):
     assert got["a.com/p/spam"] == (pytest.approx((24 + 10 * 0.5) / 34), "block") and got["a.com/p/good"][1] == "allow"
 
 
+def test_segments_of_any_depth_branch(spark):
+    deep = "http://a.com/" + "/".join("abcdefg")
+    got = judged(spark, [(f"{deep}/spam/1", 40, 40, 40), (f"{deep}/good/1", 40, 40, 0), ("http://a.com/a/b/c/d/e/1", 3, 3, 0)])
+    assert {u.removeprefix("a.com/"): v for u, (_, v) in got.items()} == {
+        "a/b/c/d/e/f/g/spam/1": "block", "a/b/c/d/e/f/g/good/1": "allow", "a/b/c/d/e/1": "allow"}
+
+
 def test_no_pages(spark):
     none = spark.createDataFrame([], PAGES)
     assert url_filter.url_filter(none, spark.createDataFrame([], "page_id long, bad int"), url_filter.RULES).count() == 0
