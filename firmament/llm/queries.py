@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from firmament.llm import (decontamination, exact_dedup, language_id, packing, sharding, simhash, substring_dedup, toxicity,
+from firmament.llm import (collocations, decontamination, exact_dedup, language_id, order_minhash, packing, sharding, simhash, spelling, substring_dedup, toxicity,
                            url_filter, warc)
 
 QUERIES = {
@@ -17,9 +17,13 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_language_id": language_id.op9_language_id,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_collocations": collocations.op11_collocations,
+    "op12_order_minhash": order_minhash.op12_order_minhash,
+    "op13_spelling": spelling.op13_spelling,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES = {
     "op6_exact_dedup": exact_dedup.SQL,
     "op8_warc": warc.SQL,
+    "op11_collocations": collocations.SQL,
 }
