@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,94 +16,145 @@ from firmament.llm.decontamination import FOLD
 
 #: Examples of the index that share one bound per term.
 BLOCK = 128
+#: Blocks that are read first, before the k-th best similarity so far rules others out.
+FIRST_BLOCKS = 4
+#: Scores that a task remembers, by text.
+REMEMBERED = 50_000
 
 
 def terms_of(text: str | None) -> list[bytes]:
     return text.lower().encode().translate(FOLD).split() if text else []
 
 
-def label_terms(batches):
-    """Task function: number of the task's examples of either label that hold each term, with all examples under a null term."""
-    counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
+class Sample(NamedTuple):
+    """Labelled examples: id and label of each, and the terms of the i-th with their counts from ``starts[i]`` to ``starts[i + 1]``."""
+
+    ids: list
+    labels: np.ndarray
+    starts: np.ndarray
+    terms: np.ndarray
+    counts: np.ndarray
+
+    def only(self, chosen: np.ndarray) -> Sample:
+        sizes = np.diff(self.starts)[chosen]
+        at = spans(self.starts[:-1][chosen], sizes)
+        return Sample([self.ids[i] for i in chosen.tolist()], self.labels[chosen], np.concatenate([[0], np.cumsum(sizes)]), self.terms[at], self.counts[at])
+
+    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [(self.terms[a:b], self.counts[a:b]) for a, b in zip(self.starts, self.starts[1:])]
+
+
+def spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all spans, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
+def example_terms(batches):
+    """Task function: id, label, and the distinct terms of each example with their counts."""
     for batch in batches:
-        for toxic, text in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            counts[toxic].update({None, *terms_of(text)})
-    words = sorted(set(counts[0]) | set(counts[1]), key=lambda w: w or b"")
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([None if w is None else w.decode() for w in words], pa.string()),
-         *[pa.array([counts[y][w] for w in words], pa.int64()) for y in (0, 1)]], names=["term", "good", "bad"])
+        for doc_id, toxic, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            counts = sorted(Counter(terms_of(text)).items())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([doc_id], pa.string()), pa.array([toxic], pa.int32()), pa.array([b" ".join(t for t, _ in counts)], pa.binary()),
+                 pa.array([np.array([n for _, n in counts], "<u4").tobytes()], pa.binary())], names=["id", "toxic", "terms", "counts"])
 
 
 def document_counts(vocabulary: dict[bytes, int]):
     """Task function: in how many of the task's texts each term of the vocabulary occurs, with all texts under -1."""
     def run(batches):
-        counts, known = Counter(), vocabulary.keys()
+        held, total = np.zeros(len(vocabulary), np.int64), 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts[-1] += 1
-                counts.update(vocabulary[w] for w in known & set(terms_of(text)))
-        yield pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int32()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
+                total += 1
+                held[[vocabulary[w] for w in set(terms_of(text)) if w in vocabulary]] += 1
+        at = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *at.tolist()], pa.int32()), pa.array([total, *held[at].tolist()], pa.int64())], names=["term", "n"])
     return run
 
 
-def vector(text: str | None, vocabulary: dict[bytes, int], idf: np.ndarray) -> tuple[tuple[int, int], ...]:
-    """The text's vocabulary terms with their counts."""
-    return tuple(sorted(Counter(t for t in map(vocabulary.get, terms_of(text)) if t is not None).items()))
+def relevance(sample: Sample, size: int) -> np.ndarray:
+    """Square root of each term's chi-squared between its presence and the label: 0 where it tells nothing, and no term is cut."""
+    label = np.repeat(sample.labels, np.diff(sample.starts))
+    a, b = (np.bincount(sample.terms[label == y], minlength=size).astype(float) for y in (1, 0))
+    bad = float(sample.labels.sum())
+    good = len(sample.labels) - bad
+    rows = bad + good
+    spread = (a + b) * (rows - a - b) * bad * good
+    return np.sqrt(np.divide(rows * (a * good - b * bad) ** 2, spread, out=np.zeros(size), where=spread > 0))
 
 
-def weights(counts: tuple[tuple[int, int], ...], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms and weights (1 + log tf) * idf, scaled to length 1."""
-    terms, tf = np.array(counts, dtype=np.int64).T
-    w = (1 + np.log(tf)) * idf[terms]
-    return terms, w / np.linalg.norm(w)
+def weights(counts: tuple[tuple[int, int], ...], weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and weights (1 + log tf) * weight of the term, scaled to length 1 (or all 0)."""
+    terms, tf = np.array(counts, dtype=np.int64).reshape(-1, 2).T
+    w = (1 + np.log(tf)) * weight[terms]
+    length = np.linalg.norm(w)
+    return terms, w / length if length > 0 else w
 
 
 class BlockMaxIndex:
-    """Inverted lists in blocks of examples: per block the terms it holds, their weights, and each term's largest weight there.
+    """Inverted lists of examples, cut into segments by block of examples, each with the largest weight it holds.
 
     Examples are ordered by their heaviest term, so that a term is heavy in few blocks and bounds are tight.
     """
 
-    def __init__(self, examples: list[tuple[tuple[int, int], ...]], idf: np.ndarray):
-        rows = [weights(counts, idf) for counts in examples]
-        self.order = np.array(sorted(range(len(rows)), key=lambda i: (rows[i][0][rows[i][1].argmax()], -rows[i][1].max(), i)), np.int64)
+    def __init__(self, examples: list[tuple[tuple[int, int], ...]], weight: np.ndarray):
+        rows = [weights(counts, weight) for counts in examples]
+        heaviest = lambda t, w: (int(t[w.argmax()]), -w.max()) if len(t) else (-1, 0.0)
+        self.order = np.array(sorted(range(len(rows)), key=lambda i: (*heaviest(*rows[i]), i)), np.int64)
         self.blocks = -(-len(rows) // BLOCK)
-        self.bounds = np.zeros((len(idf), self.blocks))
-        self.lists, self.place = [], np.full((self.blocks, len(idf)), -1, np.int32)
-        for b in range(self.blocks):
-            held = [rows[i] for i in self.order[b * BLOCK:(b + 1) * BLOCK]]
-            terms = np.unique(np.concatenate([t for t, _ in held]))
-            self.place[b, terms] = np.arange(len(terms))
-            lists = np.zeros((len(terms) + 1, BLOCK))  # the last list is empty: terms that the block doesn't hold
-            for i, (t, w) in enumerate(held):
-                lists[self.place[b, t], i] = w
-            self.lists.append(lists)
-            self.bounds[terms, b] = lists[:-1].max(axis=1)
-
-    def nearest(self, counts: tuple[tuple[int, int], ...], idf: np.ndarray, k: int) -> list[tuple[float, int]]:
+        sizes = [len(rows[i][0]) for i in self.order]
+        terms = np.concatenate([rows[i][0] for i in self.order]) if rows else np.empty(0, np.int64)
+        held = np.concatenate([rows[i][1] for i in self.order]) if rows else np.empty(0)
+        place = np.repeat(np.arange(len(rows)), sizes)
+        some = held > 0
+        order = np.argsort(terms[some], kind="stable")
+        terms, self.place, self.held = terms[some][order], place[some][order], held[some][order]
+        block = self.place // BLOCK
+        new = np.ones(len(terms), bool)
+        new[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
+        self.start = np.flatnonzero(new)
+        self.size = np.diff(np.append(self.start, len(terms)))
+        self.block = block[self.start]
+        self.bound = np.maximum.reduceat(self.held, self.start) if len(terms) else np.empty(0)
+        self.first = np.searchsorted(terms[self.start], np.arange(len(weight) + 1))
+
+    def nearest(self, counts: tuple[tuple[int, int], ...], weight: np.ndarray, k: int) -> list[tuple[float, int]]:
         """The ``k`` examples of largest cosine above 0, best first (ties: the earlier example).
 
-        Blocks are read in order of the sum of their terms' bounds, until no unread block can reach the k-th best.
+        A block cannot hold more than the sum of its segments' bounds. The blocks of the largest bounds are read first, then all others
+        that can still reach the k-th best so far.
         """
-        if not counts or not self.blocks:
+        if not len(counts) or not self.blocks:
             return []
-        terms, w = weights(counts, idf)
-        bound = w @ self.bounds[terms]
-        sims, ids, least = np.empty(0), np.empty(0, np.int64), 0.0
-        for block in np.argsort(-bound, kind="stable").tolist():
-            if bound[block] <= 1e-12 or bound[block] < least - 1e-9:
+        terms, w = weights(counts, weight)
+        sizes = self.first[terms + 1] - self.first[terms]
+        segment, by_segment = spans(self.first[terms], sizes), np.repeat(w, sizes)
+        block = self.block[segment]
+        reach = np.bincount(block, by_segment * self.bound[segment], self.blocks)
+        unread, least = reach > 1e-12, 0.0
+        sims, ids = np.empty(0), np.empty(0, np.int64)
+        while True:
+            able = np.flatnonzero(unread & (reach >= least - 1e-9))
+            if not len(able):
                 break
-            found = np.round(w @ self.lists[block][self.place[block, terms]], 12)
+            if not len(sims):
+                able = able[np.argsort(-reach[able], kind="stable")[:FIRST_BLOCKS]]
+            unread[able] = False
+            chosen = np.zeros(self.blocks, bool)
+            chosen[able] = True
+            some = chosen[block]
+            at = spans(self.start[segment[some]], self.size[segment[some]])
+            found = np.round(np.bincount(self.place[at], np.repeat(by_segment[some], self.size[segment[some]]) * self.held[at], len(self.order)), 12)
             at = np.flatnonzero(found >= max(least, 1e-12))
-            if len(at):
-                sims, ids = np.concatenate([sims, found[at]]), np.concatenate([ids, self.order[block * BLOCK + at]])
-                if len(sims) > k:
-                    best = np.lexsort((ids, -sims))[:k]
-                    sims, ids = sims[best], ids[best]
-                if len(sims) == k:
-                    least = float(sims.min())
-        best = np.lexsort((ids, -sims))
-        return list(zip(sims[best].tolist(), ids[best].tolist()))
+            sims, ids = np.concatenate([sims, found[at]]), np.concatenate([ids, self.order[at]])
+            best = np.lexsort((ids, -sims))[:k]
+            sims, ids = sims[best], ids[best]
+            if len(sims) == k:
+                least = float(sims[-1])
+            elif not len(sims):
+                break
+        return list(zip(sims.tolist(), ids.tolist()))
 
 
 def vote(near: list[tuple[float, int]], labels: np.ndarray, prior: float, pull: float) -> float:
@@ -110,81 +163,116 @@ def vote(near: list[tuple[float, int]], labels: np.ndarray, prior: float, pull:
     return float((sum(s * labels[i] for s, i in near) + pull * prior) / (total + pull))
 
 
-def scores(vocabulary, idf, examples, names, labels, prior, k: int, pull: float):
-    """Task function: score and evidence of each text. Texts with the same terms and counts are searched once per task."""
+def pairs(terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    return np.stack([terms, counts], axis=1)
+
+
+def fold_votes(sample: Sample, idf: np.ndarray, folds: int, k: int, pull: float):
+    """Task function: for each fold of the examples, their votes from the others, which alone weigh the terms."""
     def run(batches):
-        index, seen = BlockMaxIndex(examples, idf), {}
+        for batch in batches:
+            for fold in batch.column(0).to_pylist():
+                own = np.arange(len(sample.ids)) % folds == fold
+                known, asked = sample.only(np.flatnonzero(~own)), sample.only(np.flatnonzero(own))
+                if len(known.ids) and len(asked.ids):
+                    weight = idf * relevance(known, len(idf))
+                    index, prior = BlockMaxIndex([pairs(*v) for v in known.vectors()], weight), float(known.labels.mean())
+                    votes = [vote(index.nearest(pairs(*v), weight, k), known.labels, prior, pull) for v in asked.vectors()]
+                    yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(asked.labels, pa.int32())], names=["vote", "toxic"])
+    return run
+
+
+def logit(p):
+    p = np.clip(p, 1e-6, 1 - 1e-6)
+    return np.log(p / (1 - p))
+
+
+def calibration(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the logistic curve from votes to the share of toxic examples, by Newton's steps; (1, 0) without both labels."""
+    if len(set(labels.tolist())) < 2:
+        return 1.0, 0.0
+    x, fit = np.stack([logit(votes), np.ones(len(votes))], axis=1), np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ fit))
+        slope = x.T @ (labels - p) - 1e-3 * (fit - [1.0, 0.0])
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), slope)
+        fit = fit + np.clip(step, -2, 2)
+        if np.abs(step).max() < 1e-9:
+            break
+    return (float(fit[0]), float(fit[1])) if fit[0] > 0 else (1.0, 0.0)
+
+
+def scores(vocabulary: dict[bytes, int], weight: np.ndarray, sample: Sample, curve: tuple[float, float], k: int, pull: float):
+    """Task function: score and evidence of each text. Equal texts are searched once per task."""
+    def run(batches):
+        index, seen = BlockMaxIndex([pairs(*v) for v in sample.vectors()], weight), {}
+        labels = sample.labels
+        prior = float(labels.mean()) if len(labels) else 0.0
         for batch in batches:
             found, evidence = [], []
             for text in batch.column(2).to_pylist():
-                counts = vector(text, vocabulary, idf)
-                if counts not in seen:
-                    if len(seen) > 50_000:
+                key = xxhash.xxh3_128_digest((text or "").encode())
+                if key not in seen:
+                    if len(seen) >= REMEMBERED:
                         seen.clear()
-                    near = index.nearest(counts, idf, k)
-                    seen[counts] = vote(near, labels, prior, pull), [{"id": names[i], "similarity": s, "toxic": int(labels[i])} for s, i in near[:3]]
-                score, shown = seen[counts]
+                    counts = [(vocabulary[t], n) for t, n in Counter(terms_of(text)).items() if t in vocabulary]
+                    near = index.nearest(counts, weight, k)
+                    score = vote(near, labels, prior, pull)
+                    if len(labels):
+                        score = float(1 / (1 + np.exp(-(curve[0] * logit(score) + curve[1]))))
+                    seen[key] = score, [{"id": sample.ids[i], "similarity": s, "toxic": int(labels[i])} for s, i in near[:3]]
+                score, shown = seen[key]
                 found.append(score)
                 evidence.append(shown)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.float64()), pa.array([int(x >= 0.5) for x in found], pa.int32()),
-                 pa.array(evidence, pa.list_(pa.struct([("id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])))],
+                 pa.array(evidence, pa.list_(pa.struct([("id", pa.string()), ("similarity", pa.float64()), ("toxic", pa.int32())])))],
                 names=["id", "held_out", "score", "predicted", "evidence"])
     return run
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-             examples: int = 8_192, terms: int = 1_000, least_chi2: float = 30.0, k: int = 15, pull: float = 0.5) -> DataFrame:
+             examples: int = 8_192, folds: int = 5, k: int = 15, pull: float = 0.5) -> DataFrame:
     """Toxicity of each document: ``id_col, held_out, score, predicted, evidence``.
 
-    Learns from labelled rows that aren't held out: at most ``examples`` of them, in order of their id's hash (the
-    documented bound of the sample). Their terms whose presence differs between the labels (chi-squared of at least
-    ``least_chi2``, at most the first ``terms``) span the vectors; inverse document frequencies are counted over all documents. Each
-    document's ``k`` nearest examples by exact cosine vote with their similarity, shrunk towards the share of toxic
-    examples, which is also the score of texts without any such term, null and empty texts included. ``evidence`` shows the
-    three nearest. Null labels and labels of unknown documents teach nothing; of several labels the highest counts.
-    Without labels every score is 0. Rows that repeat an id each get a row.
+    Learns from labelled rows that aren't held out: at most ``examples`` of them, in order of their id's hash (the documented bound
+    of the sample, which all that is broadcast or collected follows). All their terms span the vectors: (1 + log tf) times the inverse document
+    frequency, counted over all documents, times the square root of the term's chi-squared with the label, which no term has to
+    reach. Each document's ``k`` nearest examples by exact cosine vote with their similarity, shrunk towards the share of toxic examples
+    by ``pull`` votes; a logistic curve makes the vote a probability. It is fitted to the examples' own votes in ``folds`` folds, where
+    neither weights nor neighbours come from a fold itself. ``evidence`` shows the three nearest (ids as text).
+
+    A text without any term of the examples, null and empty texts included, has the vote of the share of toxic examples. Null labels
+    and labels of unknown documents teach nothing; of several labels of one id the highest counts, and each of its rows is an example.
+    Without labels every score is 0. Ids may be of any type. Rows that repeat an id each get a row; other columns are not looked at.
     """
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
     marks = labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~is_held_out(F.col(id_col)))
     marks = marks.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col)).cast("int").alias("toxic"))
     marks = materialised(marks.orderBy(F.xxhash64("id"), "id").limit(examples), "toxicity-labels")
     texts = docs.select(F.col(id_col).alias("id"), is_held_out(F.col(id_col)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    known = materialised(texts.join(F.broadcast(marks), "id").select("id", "toxic", "text"), "toxicity-examples")
-
-    counted = known.mapInArrow(label_terms, "term string, good long, bad long").groupBy("term").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    counted = materialised(counted, "toxicity-terms")
-    totals = counted.where(F.col("term").isNull()).first()
-    good, bad = (totals.good, totals.bad) if totals else (0, 0)
-    rows = good + bad
-    a, b = F.col("bad"), F.col("good")
-    chi2 = rows * F.pow(a * (good - b) - b * (bad - a), F.lit(2)) / ((a + b) * (rows - a - b) * float(max(1, bad) * max(1, good)))
-    chosen = counted.where(F.col("term").isNotNull() & (a + b < rows)).withColumn("chi2", chi2).where(F.col("chi2") >= least_chi2)
-    vocabulary = {r.term.encode(): i for i, r in enumerate(chosen.orderBy(F.desc("chi2"), "term").limit(terms).collect())}
-
-    held = {r.term: r.n for r in texts.select("text").mapInArrow(document_counts(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    total = held.get(-1, 0)
-    idf = np.array([np.log((1 + total) / (1 + held.get(i, 0))) + 1 for i in range(len(vocabulary))])
-    sample = sorted(known.mapInArrow(_vectors(vocabulary, idf), "id long, toxic int, terms array<int>, counts array<int>").collect(), key=lambda r: r.id)
-    vectors = [tuple(zip(r.terms, r.counts, strict=True)) for r in sample]
-    truth = np.array([r.toxic for r in sample], np.int64)
+    known = texts.join(F.broadcast(marks), "id").select(F.col("id").cast("string").alias("id"), "toxic", "text")
+    known = known.mapInArrow(example_terms, "id string, toxic int, terms binary, counts binary")
+    rows = known.orderBy(F.xxhash64("id", "terms", "counts"), "id").limit(examples).collect()
+    named = [bytes(r.terms).split() for r in rows]
+    vocabulary = {t: i for i, t in enumerate(sorted({t for terms in named for t in terms}))}
+    sample = Sample([r.id for r in rows], np.array([r.toxic for r in rows], np.int64), np.cumsum([0, *map(len, named)]),
+                    np.array([vocabulary[t] for terms in named for t in terms], np.int64),
+                    np.concatenate([np.empty(0, np.int64), *[np.frombuffer(r.counts, "<u4").astype(np.int64) for r in rows]]))
+
+    held = texts.select("text").mapInArrow(document_counts(vocabulary), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    counted = dict(zip(held.column("term").to_pylist(), held.column("n").to_pylist(), strict=True))
+    total = counted.get(-1, 0)
+    idf = np.array([np.log((1 + total) / (1 + counted.get(i, 0))) + 1 for i in range(len(vocabulary))])
+    votes = spark.range(0, folds, 1, folds).mapInArrow(fold_votes(sample, idf, folds, k, pull), "vote double, toxic int").collect()
+    curve = calibration(np.array([r.vote for r in votes]), np.array([r.toxic for r in votes]))
     kind = texts.schema["id"].dataType.simpleString()
     return texts.mapInArrow(
-        scores(vocabulary, idf, vectors, [r.id for r in sample], truth, bad / rows if rows else 0.0, k, pull),
-        f"id {kind}, held_out boolean, score double, predicted int, evidence array<struct<id:long,similarity:double,toxic:int>>",
+        scores(vocabulary, idf * relevance(sample, len(idf)), sample, curve, k, pull),
+        f"id {kind}, held_out boolean, score double, predicted int, evidence array<struct<id:string,similarity:double,toxic:int>>",
     ).withColumnRenamed("id", id_col)
 
 
-def _vectors(vocabulary: dict[bytes, int], idf: np.ndarray):
-    """Task function: vectors of the examples that hold any term."""
-    def run(batches):
-        for batch in batches:
-            rows = [(i, y, v) for i, y, text in zip(*[c.to_pylist() for c in batch.columns], strict=True) if (v := vector(text, vocabulary, idf))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()),
-                 *[pa.array([[x[j] for x in r[2]] for r in rows], pa.list_(pa.int32())) for j in (0, 1)]], names=["id", "toxic", "terms", "counts"])
-    return run
-
-
 def op10_toxicity(spark, folder: str) -> DataFrame:
     return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
