@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 _PART_FILE = r"(?<=\.csv)/part-[^/]*$"
 
 
+def file_path() -> Column:
+    """Path of the scanned file of a row, as listings spell it: Spark's own column has blanks and signs encoded as in an address."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def document_path(path: Column) -> Column:
     """Path of the document a scanned file belongs to."""
     return F.regexp_replace(path, _PART_FILE, "")
@@ -31,12 +36,13 @@ def ticker_of_uri(path: Column) -> Column:
     return F.nullif(F.regexp_extract(path, r"^[A-Za-z0-9+.-]+://[^/]*/([^/]+)", 1), F.lit(""))
 
 
-def _listing(spark: SparkSession, paths: str | list[str], pattern: str) -> DataFrame:
+def _listing(spark: SparkSession, paths: str | list[str], pattern: str, **options: str) -> DataFrame:
     # Only path and length are kept, so file contents are never read.
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", pattern)
+        .options(**options)
         .load(paths)
         .select("path", "length", "modificationTime")
     )
@@ -47,15 +53,22 @@ def list_pdfs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return _listing(spark, paths, "*.[pP][dD][fF]").select("path", "length")
 
 
-def csv_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """All CSV files below ``paths``, part files one by one."""
-    return _listing(spark, paths, "*.csv").select("path", "length")
+def csv_files(spark: SparkSession, paths: str | list[str], **options: str) -> DataFrame:
+    """All CSV files below ``paths``, part files one by one: ``path, length, modificationTime``."""
+    return _listing(spark, paths, "*.csv", **options)
+
+
+def modified_since(files: DataFrame) -> dict[str, str]:
+    """Reader option that leaves older files than all of ``files`` out of a listing; runs one aggregate of ``modificationTime``."""
+    before = F.min("modificationTime") - F.expr("INTERVAL 1 SECOND")
+    found = files.agg(F.date_format(before, "yyyy-MM-dd'T'HH:mm:ss").alias("since")).first().since
+    return {"modifiedAfter": found} if found else {}
 
 
-def list_csvs(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def list_csvs(spark: SparkSession, paths: str | list[str], **options: str) -> DataFrame:
     """All CSV documents below ``paths``, one row each. Spark leaves files of no bytes out of listings."""
     return (
-        csv_files(spark, paths)
+        csv_files(spark, paths, **options)
         .groupBy(document_path(F.col("path")).alias("path"))
         .agg(F.sum("length").alias("length"))
     )

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from firmament import schemas
-from firmament.sources.documents import document_name, document_path, stem
+from firmament.sources.documents import document_name, document_path, file_path, stem
 
 ROW = "_row"
 
@@ -55,7 +55,7 @@ def read_findings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_csv_documents(spark: SparkSession, paths: str | list[str],
-                       columns: tuple[str, ...]) -> DataFrame:
+                       columns: tuple[str, ...], **options: str) -> DataFrame:
     """Headered CSV documents as text with empty cells filled, tagged with the table name each gets."""
     cells = (
         spark.read.schema(", ".join(f"`{c}` string" for c in columns))
@@ -64,11 +64,12 @@ def read_csv_documents(spark: SparkSession, paths: str | list[str],
         .option("escape", '"')
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.csv")
+        .options(**options)
         .csv(paths)
     )
-    source = document_name(F.col("_metadata.file_path"))
+    source = document_name(file_path())
     return cells.select(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns],
         stem(source).alias("source_file"),
-        document_path(F.col("_metadata.file_path")).alias("source_path"),
+        document_path(file_path()).alias("source_path"),
     )

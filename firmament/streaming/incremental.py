@@ -1,45 +1,58 @@
 """Pick up extraction documents that came in since the last run."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from firmament import schemas
-from firmament.sources.extractions import CSV_OPTIONS, damaged_documents, with_file_order, with_source, without_documents
+from firmament.sources.documents import document_path, modified_since
+from firmament.sources.extractions import damaged_documents, read_extraction_csvs, without_documents
 from firmament.sources.sinks import overwrite
 
+LISTING = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def ingest_new_extractions(spark: SparkSession, folder: str, target: str, checkpoint: str,
                            files_per_batch: int = 10_000) -> StreamingQuery:
     """Add the rows of documents not seen before to ``target``, then stop.
 
-    The checkpoint remembers the documents, so nothing is compared with the target. Each batch has
-    a partition of its own that it overwrites, so a batch that is run again leaves no repeats.
-    Damaged documents add no row; ``target``-rejects names them, to be landed again under another name.
-    ``checkpoint`` must be a folder all nodes can reach.
+    What streams is the listing of files, without their contents; the checkpoint remembers it, so nothing is compared with the
+    target. A batch is stored as listed, its files are scanned beside that table, and every document of it ends either in
+    ``target`` or in ``target``-rejects: damaged, or without any row. ``target``-ledger has one row for each document of a
+    batch: its bytes, its rows, and the reason if it was rejected. Rejected documents are to be landed again under another name.
+
+    Each batch has a partition of its own in all three that it overwrites, so a batch that is run again leaves no repeats.
+    ``checkpoint`` must be a folder all nodes can reach. Files of no bytes do not show in Spark's listings.
     """
-    cells = (
-        spark.readStream.schema(schemas.EXTRACTION_CSV)
-        .options(**CSV_OPTIONS)
+    listing = (
+        spark.readStream.format("binaryFile").schema(LISTING)
+        .option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv")
         .option("maxFilesPerTrigger", files_per_batch)
-        .csv(folder)
+        .load(folder)
+        .select("path", "modificationTime", "length")
     )
-
     target = target.rstrip("/")
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        session, staged, rejects = batch.sparkSession, f"{target}-staged", f"{target}-rejects/batch={batch_id}"
-        overwrite(with_file_order(batch), staged)
+        session = batch.sparkSession
+        at = {name: f"{target}-{name}/batch={batch_id}" for name in ("listing", "rejects", "ledger")}
+        overwrite(batch.withColumn("source_file", document_path(F.col("path"))), at["listing"])
+        files = session.read.parquet(at["listing"])
+        since = modified_since(files)
+        if not since:  # no file in this batch
+            return
+        staged = f"{target}-staged"
+        overwrite(read_extraction_csvs(session, folder, files, **since), staged)
         rows = session.read.parquet(staged)
-        # At most ``files_per_batch`` names.
-        names = [r.source_file for r in rows.select("source_file").distinct().toLocalIterator()]
-        if names:
-            overwrite(damaged_documents(session, names), rejects)
-            rows = without_documents(rows, session.read.parquet(rejects))
-        overwrite(rows, f"{target}/batch={batch_id}")
+        found = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("rows"))
+        documents = files.groupBy("source_file").agg(F.sum("length").alias("bytes")).join(found, "source_file", "left")
+        checked = documents.join(damaged_documents(session, folder, files, **since), "source_file", "left")
+        checked = checked.withColumn("reason", F.coalesce("reason", F.when(F.col("rows").isNull(), "no rows")))
+        overwrite(checked.select("source_file", "bytes", F.coalesce("rows", F.lit(0)).alias("rows"), "reason"), at["ledger"])
+        ledger = session.read.parquet(at["ledger"])
+        overwrite(ledger.where("reason IS NOT NULL").select("source_file", "reason"), at["rejects"])
+        overwrite(without_documents(rows, session.read.parquet(at["rejects"])), f"{target}/batch={batch_id}")
 
     return (
-        with_source(cells)
-        .writeStream.foreachBatch(store)
+        listing.writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

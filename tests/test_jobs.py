@@ -1,6 +1,8 @@
 """Jobs on small tables: repeats change nothing, order does not matter, checks refuse, hot keys hold."""
 
 import datetime
+import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,9 +11,10 @@ from firmament import schemas
 from firmament.operators import identifiers, keys
 from firmament.operators.upsert import absent_rows, action_counts, insert_if_absent, upsert
 from firmament.operators.versions import BY_DATE, BY_ID, latest_rows
-from firmament.plans import consolidation, corrections, dimensions, export, facts, panel, prices, review, snapshots
+from firmament.plans import consolidation, corrections, dimensions, export, facts, panel, per_file, prices, review, snapshots
 from firmament.plans.standardise import standardise_panel
-from firmament.sources import documents, extractions, sinks, tables
+from firmament.sources import documents, extractions, quotes, sinks, tables
+from firmament.streaming.incremental import ingest_new_extractions
 
 
 def rows(df, *order):
@@ -530,3 +533,107 @@ def test_jobs_stay_in_the_jvm(spark):
     for name in ("latest_panel", "standardise_panel", "consolidate_append", "merge_master", "load_facts_upsert"):
         plan = spark_entry.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "CartesianProduct" not in plan, name
+
+
+# -- quotes, splits and the ledger ------------------------------------------------------------------
+
+def quoted_text(rng, records):
+    """CSV text with line breaks, commas and doubled quotes inside quotes, and stray quotes outside."""
+    def field():
+        if rng.random() < 0.5:
+            return rng.choice(["a", "", '5" pipe', 'x"y"', "12"])
+        return '"' + "".join(rng.choice(["a", ",", "\n", '""', "b", '""""']) for _ in range(rng.randrange(6))) + '"'
+    return "\n".join(",".join(field() for _ in range(3)) for _ in range(records)) + "\n"
+
+
+@pytest.fixture
+def small_splits(spark):
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_records_of_split_files(spark, tmp_path, small_splits):
+    """Many tasks on one file read the records that one reader of the whole file finds, in its order."""
+    rng, schema = random.Random(1), "a string, b string, c string, d string"
+    for i in range(12):
+        (tmp_path / f"f{i}.csv").write_text(quoted_text(rng, rng.choice([1, 3, 40, 300])))
+    (tmp_path / "long.csv").write_text('x,"' + "no quote for many splits,\n" * 400 + '",z\n1,2,3')
+    name = F.element_at(F.split("path", "/"), -1).alias("name")
+    found = quotes.read_records(spark, str(tmp_path)).where("record <> ''").select(name, "at", F.from_csv("record", schema, {"escape": '"'}).alias("r"))
+    got = [tuple(r) for r in found.select("name", "r.*").orderBy("name", "at").collect()]
+    whole = spark.read.schema(schema).options(multiLine="true", escape='"').csv(str(tmp_path)).select(
+        F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name"), "*", F.monotonically_increasing_id().alias("id"))
+    assert got == [tuple(r)[:-1] for r in whole.orderBy("name", "id").collect()]
+    tasks = quotes.read_lines(spark, str(tmp_path / "long.csv")).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 2
+
+
+def test_quotes_that_are_never_closed(spark, tmp_path, small_splits):
+    bodies = {"closed": 'a,"b\n\n""c"\n' * 200, "open": 'a,"b",c\n' * 500 + '1,"\n' + "x,y,z\n" * 500, "late": 'a,b\n"', "stray": 'a,5" pipe\n' * 99,
+              "even": 'a,"b\nc\n"d"\n', "doubled": 'a,"b""\nc""\n"\n', "none": "a,b\n"}
+    for name, body in bodies.items():
+        (tmp_path / f"{name}.csv").write_text(body)
+    found = quotes.unclosed_files(quotes.read_lines(spark, str(tmp_path)))
+    assert {r.path.rsplit("/", 1)[1] for r in found.collect()} == {"open.csv", "late.csv"}
+    assert {r.source_file.rsplit("/", 1)[1]: r.reason for r in extractions.damaged_documents(spark, str(tmp_path)).collect()} == {
+        "open.csv": "quote not closed", "late.csv": "quote not closed"}
+
+
+def test_large_documents_are_read_by_splits(spark, tmp_path, small_splits):
+    """Documents above the size for whole reading, one of them in parts, give the same cells in the same order."""
+    folder = tmp_path / "in"
+    (folder / "B_2020.csv").mkdir(parents=True)
+    for name, n in (("A_2020.csv", 300), ("B_2020.csv/part-00000.csv", 200), ("B_2020.csv/part-00001.csv", 90), ("C_2020.csv", 2)):
+        (folder / name).write_text("".join(f'{name[0]},2020,k,"l\n{i}",{i},,,"a ""b""\n",1\n' for i in range(n)))
+    found = {}
+    for size in (1 << 30, 1000, 0):
+        rows = extractions.read_whole_documents(spark, str(folder), str(tmp_path / f"rejects{size}"), whole_file_bytes=size)
+        found[size] = [(r.source_file, r.ticker, r.value) for r in rows.orderBy("source_file", "seq").collect()]
+    assert found[0] == found[1000] == found[1 << 30] and len(found[0]) == 592
+
+
+def test_stream_accounts_for_every_document(spark, tmp_path):
+    """Each document that was seen ends among the stored or the rejected ones, also if no row can be read, batch by batch."""
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    line = "AAA,{},sales,l,{},VND,,s,0.5\n"
+
+    def land(bodies):
+        for name, body in bodies.items():
+            (folder / name).write_bytes(body)
+        ingest_new_extractions(spark, str(folder), target, str(tmp_path / "checkpoint"), files_per_batch=2).awaitTermination()
+        ledger = {r.source_file.rsplit("/", 1)[1]: (r.rows, r.reason) for r in spark.read.parquet(f"{target}-ledger").collect()}
+        stored = {r.source_file.rsplit("/", 1)[1]: r.n for r in spark.read.parquet(target).groupBy("source_file").agg(F.count("*").alias("n")).collect()}
+        return ledger, stored
+
+    first = {"one_2020.csv": line.format(2020, 1).encode() * 3, "blank_2020.csv": b"\n\n", "open_2020.csv": b'a,"b\n', "a bü_2020.csv": line.format(2020, 2).encode()}
+    ledger, stored = land(first)
+    assert ledger == {"one_2020.csv": (3, None), "blank_2020.csv": (0, "no rows"), "open_2020.csv": (1, "quote not closed"), "a bü_2020.csv": (1, None)}
+    assert stored == {"one_2020.csv": 3, "a bü_2020.csv": 1}
+    ledger, stored = land({"two_2021.csv": line.format(2021, 1).encode(), "latin_2021.csv": line.format(2021, "café").encode("latin-1")})
+    assert len(ledger) == 6 and ledger["latin_2021.csv"][1] == "not UTF-8" and stored == {"one_2020.csv": 3, "a bü_2020.csv": 1, "two_2021.csv": 1}
+
+
+def test_new_documents_are_listed_in_tables(spark, tmp_path, table):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    header = ",".join(schemas.EXTRACTION_CSV.names) + "\n"
+    for name in ("old_2020.csv", "new_2020.csv", "a b_2021.csv"):
+        (folder / name).write_text(header + f"{name[0]},2020,k,l,1,,,s,1\n")
+    (folder / "bad_2020.csv").write_text(header + 'AAA,2020,k,"l\n')
+    os.utime(folder / "old_2020.csv", (1_000_000_000, 1_000_000_000))
+    loaded = table([("old_2020",)], "source_file string")
+    cells = per_file.load_new_documents(spark, str(folder), loaded, str(tmp_path / "listing"), rejects=str(tmp_path / "rejects"))
+    assert {r.source_file for r in cells.collect()} == {"new_2020", "a b_2021"}
+    assert {r.source_file.rsplit("/", 1)[1] for r in spark.read.parquet(str(tmp_path / "rejects")).collect()} == {"bad_2020.csv"}
+    assert spark.read.parquet(str(tmp_path / "listing")).count() == 3
+    none = per_file.load_new_documents(spark, str(folder), loaded, str(tmp_path / "later"), modifiedAfter="2999-01-01T00:00:00")
+    assert none.isEmpty()
+    (folder / "x").mkdir()
+    (folder / "x" / "new_2020.csv").write_text(header)
+    with pytest.raises(keys.RejectedBatch, match="one base name"):
+        per_file.load_new_documents(spark, str(folder), loaded, str(tmp_path / "again"))
