@@ -35,7 +35,7 @@ OLD = {
         CAST(7 AS BIGINT) AS exchange_id, CAST(1 AS BIGINT) AS industry_l2_id, 1990 AS founded_year, 2000 AS listed_year,
         'active' AS status FROM customer WHERE c_custkey % 5 = 0""",
 }
-_OLD_FROM = {"dim_exchange": "region", "dim_industry_l2": "nation", "dim_data_source": "region", "dim_firm": "customer"}
+OLD_FROM = {"dim_exchange": "region", "dim_industry_l2": "nation", "dim_data_source": "region", "dim_firm": "customer"}
 # Configuration of one snapshot per source and year; source 5 is unknown, source 4 has no tag.
 VERSIONS = """
 SELECT concat('s', CAST(pr AS VARCHAR)) AS source_name, concat(CAST(y AS VARCHAR), '.0') AS fiscal_year,
@@ -70,7 +70,7 @@ FROM orders
 
 def _dimensions(spark: SparkSession, sf: str) -> dimensions.NewDimensions:
     t = TestTables(spark, sf)
-    old = {name: t.sql(sql, _OLD_FROM[name]) for name, sql in OLD.items()}
+    old = {name: t.sql(sql, OLD_FROM[name]) for name, sql in OLD.items()}
     return dimensions.load_dimensions(t.sql(COMPANIES, "customer"), t.sql(SOURCES, "orders"), old)
 
 
@@ -193,13 +193,13 @@ _DIMS = {
 }
 
 
-def _dims(select: str) -> str:
+def dims_sql(select: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({sql})" for n, sql in _DIMS.items()) + " " + select
 
 
-_NEWEST = """SELECT fiscal_year AS y, snapshot_id FROM (SELECT *, row_number() OVER (PARTITION BY fiscal_year
+NEWEST = """SELECT fiscal_year AS y, snapshot_id FROM (SELECT *, row_number() OVER (PARTITION BY fiscal_year
     ORDER BY snapshot_date DESC, snapshot_id DESC) AS rn FROM snapshot WHERE source_id = 2 AND upper(version_tag) = 'V2') WHERE rn = 1"""
-_LAST = f"""SELECT d.firm_id, CAST(b.fiscal_year AS INT) AS fiscal_year, n.snapshot_id,
+LAST = f"""SELECT d.firm_id, CAST(b.fiscal_year AS INT) AS fiscal_year, n.snapshot_id,
         CAST({sheet_number_sql('b.net_sales')} AS DECIMAL(20,2)) AS net_sales,
         CAST({sheet_number_sql('b.total_assets')} AS DECIMAL(20,2)) AS total_assets,
         CAST({sheet_number_sql('b.growth_ratio')} AS DECIMAL(10,6)) AS growth_ratio,
@@ -222,26 +222,26 @@ def counters_sql(tables: tuple[str, ...], more: str = "") -> str:
                count(*) FILTER (WHERE f.firm_id IS NOT NULL) AS updated{more.format(t=t)}
         FROM (SELECT * FROM last WHERE rn = 1) b LEFT JOIN {t} f ON f.firm_id = b.firm_id
             AND f.fiscal_year = b.fiscal_year AND f.snapshot_id = b.snapshot_id""" for t in tables),
-        "snapshot", "dim_firm", *tables, batch=BATCH, newest=_NEWEST, last=_LAST)
+        "snapshot", "dim_firm", *tables, batch=BATCH, newest=NEWEST, last=LAST)
 
 
 ORACLES = {
-    "load_dims": _dims("""
+    "load_dims": dims_sql("""
         SELECT 'source' AS dim, 3 + row_number() OVER (ORDER BY _row) AS id, source_name AS name FROM sources
             WHERE upper(source_name) <> 'SOURCE F 1'
         UNION ALL SELECT 'exchange', exchange_id, concat(exchange_code, '/', exchange_name) FROM exchanges
         UNION ALL SELECT 'industry', industry_l2_id, industry_l2_name FROM industries"""),
-    "load_firms": _dims("""
+    "load_firms": dims_sql("""
         SELECT (SELECT max(firm_id) FROM old_dim_firm) + row_number() OVER (ORDER BY _row) AS firm_id, ticker, company_name,
                exchange_id, industry_l2_id, CAST(CAST(founded_year AS DOUBLE) AS INT) AS founded_year,
                CAST(listed_year AS INT) AS listed_year, 'active' AS status
         FROM (SELECT *, row_number() OVER (PARTITION BY upper(trim(ticker)) ORDER BY _row) AS first FROM placed
               WHERE exchange_id IS NOT NULL AND industry_l2_id IS NOT NULL) WHERE first = 1"""),
-    "rejected_firms": _dims("""
+    "rejected_firms": dims_sql("""
         SELECT ticker, exchange_code, industry_l2_name,
                CASE WHEN exchange_id IS NULL THEN 'unknown exchange' ELSE 'unknown industry' END AS reason
         FROM placed WHERE exchange_id IS NULL OR industry_l2_id IS NULL"""),
-    "insert_if_absent": _dims("SELECT exchange_code, exchange_name FROM exchanges"),
+    "insert_if_absent": dims_sql("SELECT exchange_code, exchange_name FROM exchanges"),
     "create_snapshots": with_tables(f"""
         SELECT (SELECT max(snapshot_id) FROM snapshot) + row_number() OVER (ORDER BY _row) AS snapshot_id,
                DATE '2026-03-01' AS snapshot_date, CAST(period_from AS DATE) AS period_from,
@@ -259,7 +259,7 @@ ORACLES = {
                CASE WHEN b.rn IS NULL THEN f.net_income END AS net_income,
                CASE WHEN f.unit_scale IS NULL THEN '2026-01-01' ELSE '2020-01-01' END AS created_at
         FROM fact_financial_year f FULL JOIN (SELECT * FROM last WHERE rn = 1) b USING (firm_id, fiscal_year, snapshot_id)""",
-        "snapshot", "dim_firm", "fact_financial_year", batch=BATCH, newest=_NEWEST, last=_LAST),
+        "snapshot", "dim_firm", "fact_financial_year", batch=BATCH, newest=NEWEST, last=LAST),
     "load_counters": counters_sql(("fact_financial_year", "fact_innovation_year")),
     "load_problems": with_tables("""
         SELECT DISTINCT 'unknown ticker' AS problem, upper(trim(ticker)) AS value FROM batch WHERE upper(trim(ticker)) NOT IN

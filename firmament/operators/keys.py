@@ -23,15 +23,21 @@ _KEY_NAMES = KeyColumns(("company", "ticker"), ("year", "fiscal_year"))
 _NO_COLUMNS = KeyColumns("ticker", "fiscal_year")
 
 
-def key_columns(df: DataFrame) -> KeyColumns:
-    """Names of the key columns of a review sheet, as they are written there (edge blanks aside)."""
+def key_columns(df: DataFrame, empty: bool = False) -> KeyColumns:
+    """Names of the key columns of a review sheet, as they are written there (edge blanks aside).
+
+    A sheet without rows has the default names whatever its columns. Looking for a row would run the plan behind ``df``, so
+    the caller tells; the jobs here pass over sheets without rows before they ask.
+    """
+    if empty:
+        return _NO_COLUMNS
     written = {c.strip(): c for c in df.columns}
 
     def best(names: tuple[str, ...]) -> str:
         present = sorted(set(names) & set(written), key=names.index)
         return written[present[0]] if present else names[0]
 
-    return KeyColumns(*map(best, _KEY_NAMES)) if written else _NO_COLUMNS
+    return KeyColumns(*map(best, _KEY_NAMES))
 
 
 def require_columns(df: DataFrame, columns: tuple[str, ...]) -> None:

@@ -2,7 +2,7 @@
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from firmament import schemas
 from firmament.functions.text import empty_to_null, natural_key
@@ -33,7 +33,7 @@ def load_dimensions(companies: DataFrame, sources: DataFrame,
                     existing: dict[str, DataFrame]) -> NewDimensions:
     """New rows per dimension; the first spelling of a natural key wins and stored rows stay.
 
-    ``existing`` holds the stored tables by name. Numbering runs one small aggregate per table.
+    ``existing`` holds the stored tables by name. Numbering writes the new rows of each table once, in order, to the shared folder.
     """
     require_columns(companies, schemas.COMPANY_SHEET)
     require_columns(sources, schemas.SOURCE_SHEET)
@@ -99,3 +99,13 @@ def store_dimensions(new: NewDimensions, paths: dict[str, str], staging: str) ->
     for table, key in keys.items():
         batch.stage(table, getattr(new, table), paths[table], (key,))
     batch.publish()
+
+
+#: The dimension tables as they are stored.
+TABLES = {"dim_data_source": schemas.DIM_SOURCE, "dim_exchange": schemas.DIM_EXCHANGE, "dim_industry_l2": schemas.DIM_INDUSTRY,
+          "dim_firm": schemas.DIM_FIRM}
+
+
+def stored_dimensions(spark: SparkSession, paths: dict[str, str], staging: str) -> dict[str, DataFrame]:
+    """The dimension tables as they are before or after the load staged in ``staging``, never some of each."""
+    return StagedBatch.tables(spark, staging, paths, {t: TABLES[t] for t in paths})

@@ -9,7 +9,7 @@ from firmament.operators.keys import RejectedBatch, require_empty
 from firmament.operators.lookups import unknown_keys, with_lookup
 from firmament.operators.upsert import Upsert, action_counts, upsert
 from firmament.plans.snapshots import newest_by_year
-from firmament.sources.sinks import StagedBatch, overwrite
+from firmament.sources.sinks import StagedBatch, overwrite, read_table
 from firmament.sources.tables import ROW, with_row_order
 
 
@@ -42,15 +42,19 @@ def load_problems(panel: DataFrame, firms: DataFrame, sources: DataFrame, snapsh
     return tickers.unionByName(years).unionByName(source)
 
 
-def fact_rows(resolved: DataFrame, table: str, currency_code: str = "VND", unit_scale: int = 1,
-              price_reference: str = "close_year_end", evidence_source_id: int = 6) -> DataFrame:
-    """Rows of one fact table in storage types, with its constant columns and the row order."""
-    if price_reference not in schemas.PRICE_REFERENCES:
-        raise RejectedBatch(f"price reference {price_reference!r} is not one of {schemas.PRICE_REFERENCES}")
-    constants = {
-        "currency_code": F.lit(currency_code), "unit_scale": F.lit(unit_scale),
-        "price_reference": F.lit(price_reference), "evidence_source_id": F.lit(evidence_source_id),
-    }
+#: Columns that a load fills alike in all rows, unless it is told otherwise.
+FACT_CONSTANTS = {"currency_code": "VND", "unit_scale": 1, "price_reference": "close_year_end", "evidence_source_id": 6}
+
+
+def fact_rows(resolved: DataFrame, table: str, **constants: str | int) -> DataFrame:
+    """Rows of one fact table in storage types, with its constant columns (``FACT_CONSTANTS`` or ``constants``) and the row order."""
+    unknown = set(constants) - set(FACT_CONSTANTS)
+    if unknown:
+        raise TypeError(f"no such constants: {sorted(unknown)}")
+    filled = FACT_CONSTANTS | constants
+    if filled["price_reference"] not in schemas.PRICE_REFERENCES:
+        raise RejectedBatch(f"price reference {filled['price_reference']!r} is not one of {schemas.PRICE_REFERENCES}")
+    constants = {c: F.lit(v) for c, v in filled.items()}
     columns = [
         constants[c].cast(t).alias(c) if c in constants else stored_as(F.col(c), t).alias(c)
         for c, t in schemas.FACT_COLUMNS[table].items() if c not in schemas.KEPT_ON_UPDATE
@@ -73,8 +77,8 @@ def load_facts(spark: SparkSession, panel: DataFrame, tables: dict[str, DataFram
 
     ``tables`` holds dim_firm, dim_data_source and fact_data_snapshot. The standardised batch is
     written once, checked there and read by all six loads, each with its own columns; the counts are
-    taken from what was staged. Only touched year partitions are rewritten. A publish that was cut off
-    is taken up by ``StagedBatch.resume``.
+    taken from what was staged. Only touched year partitions are rewritten; a table without a folder yet is
+    begun. A publish that was cut off is taken up by ``StagedBatch.resume``, and ``stored_facts`` reads all old or all new.
     """
     batch = StagedBatch(spark, staging)
     overwrite(with_row_order(panel), f"{staging}/batch")
@@ -87,7 +91,7 @@ def load_facts(spark: SparkSession, panel: DataFrame, tables: dict[str, DataFram
     resolved = spark.read.parquet(f"{staging}/resolved")
     changes = {}
     for table, path in fact_paths.items():
-        stored = spark.read.schema(schemas.fact_schema(table)).parquet(path)
+        stored = read_table(spark, path, schemas.fact_schema(table))
         done = upsert_fact(stored, fact_rows(resolved, table, **constants),
                            F.lit(loaded_at).cast("timestamp"), touched_only=True)
         changes[table] = batch.stage(table, done.marked, path).filter("_action IS NOT NULL")
@@ -95,3 +99,8 @@ def load_facts(spark: SparkSession, panel: DataFrame, tables: dict[str, DataFram
     overwrite(counts, f"{staging}/counts")
     batch.publish()
     return spark.read.parquet(f"{staging}/counts")
+
+
+def stored_facts(spark: SparkSession, fact_paths: dict[str, str], staging: str) -> dict[str, DataFrame]:
+    """The fact tables as they are before or after the load staged in ``staging``, never some of each."""
+    return StagedBatch.tables(spark, staging, fact_paths, {t: schemas.fact_schema(t) for t in fact_paths})

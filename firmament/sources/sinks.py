@@ -44,9 +44,9 @@ def export_csv(df: DataFrame, path: str, order_by: tuple[str, ...], single_file:
 
 
 def write_sheet_csv(df: DataFrame, path: str) -> None:
-    """A delivery table as text, blanks instead of NULLs."""
-    text_cells(df).write.mode("overwrite").option("header", "true").option("escape", '"').option(
-        "emptyValue", "").csv(path)
+    """A delivery table as text, blanks instead of NULLs; blanks at the ends of a cell stay."""
+    text_cells(df).write.mode("overwrite").option("header", "true").option("escape", '"').option("emptyValue", "").option(
+        "ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -59,6 +59,11 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table; one that was never written is empty."""
+    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+
+
 class StagedBatch:
     """Load of several tables that is staged whole before any of them changes, and can be taken up again.
 
@@ -66,7 +71,7 @@ class StagedBatch:
     touching them; an error up to here leaves everything as it was. ``publish`` first seals the batch with a manifest
     of its tables, in one write. From then on the batch is complete on disk: any process can ``resume`` a publish that
     was cut off, and running it again ends the same. Readers who must not see some tables new and some old
-    wait for ``is_published``.
+    resolve them by ``tables``: all old up to the seal, and all new from then on, however far the publish has come.
 
     A table is published by replacing the partitions its staged rows have, or, where it has a ``key``, by adding the
     rows whose key is not stored.
@@ -109,13 +114,46 @@ class StagedBatch:
             columns = T.StructType.fromJson(json.loads(t.columns))
             staged = spark.read.schema(columns).parquet(f"{staging}/tables/{t.table_name}").drop("_action")
             if t.key:
-                stored = spark.read.parquet(t.live_path).select(*t.key).distinct()
+                stored = read_table(spark, t.live_path, columns).select(*t.key).distinct()
                 append(staged.join(stored, t.key, "left_anti"), t.live_path)
             else:
                 staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
                     *t.partition_by).parquet(t.live_path)
         overwrite(manifest.select("table_name"), f"{staging}/published")
 
+    @staticmethod
+    def tables(spark: SparkSession, staging: str, live: dict[str, str], schemas: dict[str, T.StructType]) -> dict[str, DataFrame]:
+        """The tables with all of the batch or with nothing of it, whatever its publish has reached.
+
+        The state is looked up once for all of them. Before the seal and after the publish they are the live folders. In
+        between, what is staged stands for the partitions or keys it has, and the live folder only for the others: those files a
+        publish never touches. Partition values are listed, so the scans leave out what is being replaced.
+        """
+        staging = staging.rstrip("/")
+        manifest = {}
+        if _exists(spark, f"{staging}/manifest") and not StagedBatch.is_published(spark, staging):
+            manifest = {t.table_name: t for t in spark.read.parquet(f"{staging}/manifest").collect()}
+        out = {}
+        for name, path in live.items():
+            stored, t = read_table(spark, path, schemas[name]), manifest.get(name)
+            if t is not None:
+                staged = spark.read.schema(T.StructType.fromJson(json.loads(t.columns))).parquet(f"{staging}/tables/{name}").drop("_action")
+                if t.key:
+                    stored = stored.join(staged.select(*t.key), t.key, "left_anti")
+                else:
+                    # One value for each partition of the table, such as its years.
+                    values = staged.select(*t.partition_by).distinct().collect()
+                    replaced = F.lit(False)
+                    for v in values:
+                        same = F.lit(True)
+                        for c in t.partition_by:
+                            same = same & F.col(c).eqNullSafe(F.lit(v[c]))
+                        replaced = replaced | same
+                    stored = stored.where(~replaced)
+                stored = stored.unionByName(staged, allowMissingColumns=True)
+            out[name] = stored
+        return out
+
     @staticmethod
     def is_published(spark: SparkSession, staging: str) -> bool:
         return _exists(spark, f"{staging.rstrip('/')}/published")

@@ -5,7 +5,7 @@ import os
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from firmament import schemas
 from firmament.operators import identifiers, keys
@@ -173,17 +173,34 @@ def test_cut_off_publish_is_resumed(spark, table, tmp_path):
     assert rows(staged.filter("_action IS NOT NULL").select("v")) == [(5,)]
     with pytest.raises(keys.RejectedBatch, match="no sealed batch"):
         sinks.StagedBatch.resume(spark, staging)
-    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
-        batch.publish()  # ends after the first table: the second is not there
+    types = {"a": "id bigint, v string", "b": "id bigint", "c": "v int, fiscal_year int"}
+
+    def seen():
+        found = sinks.StagedBatch.tables(spark, staging, live, {n: T.StructType.fromDDL(t) for n, t in types.items() if n in live})
+        return {n: rows(df.select(*sorted(df.columns))) for n, df in found.items()}
+
+    old = {"a": [(1, "old")], "b": [], "c": [(2020, 1), (2021, 2)]}
+    new = {"a": [(1, "old"), (2, "new")], "b": [(7,)], "c": [(2020, 5), (2021, 2), (2022, 6)]}
+    assert seen() == old
+    (tmp_path / "b").write_text("no table")
+    live.pop("b")
+    with pytest.raises(Exception, match="CANNOT_READ"):
+        batch.publish()  # ends after the first table: the second cannot be read
     assert not sinks.StagedBatch.is_published(spark, staging)
+    # A part is published, and readers have all of the batch.
+    assert rows(spark.read.parquet(live["a"])) == new["a"] and rows(spark.read.parquet(live["c"]).select("fiscal_year", "v")) == old["c"]
+    assert seen() == {n: r for n, r in new.items() if n != "b"}
     with pytest.raises(keys.RejectedBatch, match="sealed"):
         sinks.StagedBatch(spark, staging)
-    sinks.overwrite(table([], "id bigint"), live["b"])
+    (tmp_path / "b").unlink()
+    live["b"] = str(tmp_path / "b")
+    assert seen() == new
     for _ in range(2):
         sinks.StagedBatch.resume(spark, staging)
         assert rows(spark.read.parquet(live["a"])) == [(1, "old"), (2, "new")]
         assert rows(spark.read.parquet(live["b"])) == [(7,)]
         assert rows(spark.read.parquet(live["c"]).select("fiscal_year", "v")) == [(2020, 5), (2021, 2), (2022, 6)]
+        assert seen() == new
     assert sinks.StagedBatch.is_published(spark, staging)
 
 
@@ -206,10 +223,9 @@ def test_snapshot_batch_is_refused_whole(spark, table, tmp_path):
 
 @pytest.fixture
 def load(spark, table, tmp_path):
-    """Runs a fact load of master sheet rows and returns a reader of the stored tables."""
+    """Runs a fact load of master sheet rows and returns a reader of the stored tables; one of them has no folder before its first load."""
     paths = {n: str(tmp_path / n) for n in ("fact_financial_year", "fact_innovation_year")}
-    for n, p in paths.items():
-        sinks.overwrite(spark.createDataFrame([], schemas.fact_schema(n)), p, ("fiscal_year",))
+    sinks.overwrite(spark.createDataFrame([], schemas.fact_schema("fact_financial_year")), paths["fact_financial_year"], ("fiscal_year",))
     dims = {"dim_firm": table([(1, "AAA"), (2, "BBB")], "firm_id bigint, ticker string"),
             "dim_data_source": table([(6, "Src")], "source_id bigint, source_name string"),
             "fact_data_snapshot": table([(10, datetime.date(2025, 1, 1), 2020, 6, "v1"), (11, datetime.date(2025, 2, 1), 2020, 6, "v1"),
@@ -392,6 +408,7 @@ def test_key_columns():
     assert keys.key_columns(Named("ticker", "fiscal_year")) == ("ticker", "fiscal_year")
     assert keys.key_columns(Named()) == ("ticker", "fiscal_year")
     assert keys.key_columns(Named("x")) == ("company", "year")
+    assert keys.key_columns(Named("company", "year"), empty=True) == ("ticker", "fiscal_year")
 
 
 def test_split_protects_edits(table, spark, tmp_path):
