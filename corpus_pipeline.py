@@ -13,6 +13,12 @@ from firmament.llm.packing import pack
 from firmament.llm.simhash import simhash_groups
 
 
+def _free(docs: DataFrame, *names: str) -> list[str]:
+    """Names that no column of the documents has, in any letter case."""
+    taken = {c.lower() for c in docs.columns}
+    return [next(n for n in (name + "_" * i for i in range(len(taken) + 1)) if n.lower() not in taken) for name in names]
+
+
 def _without(docs: DataFrame, gone: DataFrame, key, name: str) -> DataFrame:
     """Documents whose ``key`` is not in ``gone.key``, which has no nulls.
 
@@ -20,13 +26,14 @@ def _without(docs: DataFrame, gone: DataFrame, key, name: str) -> DataFrame:
     the rejects' keys are hashed, which spares sorting the texts.
     """
     gone = materialised(gone.select("key").distinct(), name)
-    columns = docs.columns
-    return docs.withColumn("_key", key).join(gone.withColumnRenamed("key", "_key").hint("shuffle_hash"), "_key", "left_anti").select(*columns)
+    (at,) = _free(docs, "_key")
+    return docs.withColumn(at, key).join(gone.withColumnRenamed("key", at).hint("shuffle_hash"), at, "left_anti").select(*docs.columns)
 
 
-def _numbered(docs: DataFrame, name: str) -> DataFrame:
-    """The documents with a number ``_row`` of each row, written once so that it stays: null and repeated ids name no single row."""
-    return materialised(docs.withColumn("_row", F.monotonically_increasing_id()), name)
+def _numbered(docs: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """The documents with a number of each row, written once so that it stays, and that column: null and repeated ids name no single row."""
+    (row,) = _free(docs, "_row")
+    return materialised(docs.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +43,10 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of rows with equal texts, exactly one stays: that with the largest id, of several the last; null ids come before all others."""
-    numbered = _numbered(docs, "exact-rows")
-    rejected = exact_dedup(numbered.withColumn("_id", F.struct("doc_id", "_row")), id_col="_id").where(~F.col("kept"))
-    return _without(numbered, rejected.select(F.col("_id._row").alias("key")), F.col("_row"), "exact-copies").drop("_row")
+    numbered, row = _numbered(docs, "exact-rows")
+    texts = numbered.select(F.struct(F.col("doc_id"), F.col(row).alias("row")).alias("place"), "text")
+    rejected = exact_dedup(texts, id_col="place").where(~F.col("kept"))
+    return _without(numbered, rejected.select(F.col("place.row").alias("key")), F.col(row), "exact-copies").drop(row)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,12 +54,13 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Rows are linked by their numbers, so those without id link and are linked like any other.
     """
-    numbered = _numbered(docs, "near-rows")
-    groups = simhash_groups(numbered, id_col="_row").select("_row", "component_id").join(numbered.select("_row", "doc_id"), "_row")
-    groups = materialised(groups.select("_row", "component_id", F.struct(F.col("doc_id").isNull(), "doc_id", "_row").alias("place")), "near-groups")
-    stays = groups.groupBy("component_id").agg(F.min("place")["_row"].alias("key"))
-    rejected = groups.join(stays, F.col("_row") == F.col("key"), "left_anti")
-    return _without(numbered, rejected.select(F.col("_row").alias("key")), F.col("_row"), "near-copies").drop("_row")
+    numbered, row = _numbered(docs, "near-rows")
+    texts = numbered.select(F.col(row).alias("row"), "doc_id", "text")
+    groups = simhash_groups(texts.select("row", "text"), id_col="row").select("row", "component_id").join(texts.select("row", "doc_id"), "row")
+    groups = materialised(groups.select("row", "component_id", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("place")), "near-groups")
+    stays = groups.groupBy("component_id").agg(F.min("place")["row"].alias("key"))
+    rejected = groups.join(stays, F.col("row") == F.col("key"), "left_anti")
+    return _without(numbered, rejected.select(F.col("row").alias("key")), F.col(row), "near-copies").drop(row)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
