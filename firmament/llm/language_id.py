@@ -44,19 +44,21 @@ def counts_by_language(batches):
 
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = 20_000,
-          smoothing: float = 0.5) -> tuple[list[str], np.ndarray]:
-    """Languages and log-likelihoods of the features in each, from documents that aren't held out and have a language.
+          smoothing: float = 0.5, most_languages: int = 256) -> tuple[list[str], np.ndarray]:
+    """Languages and log-likelihoods of the features in each, from documents that aren't held out and have an id and a language.
 
+    The ``most_languages`` with the most such documents are learned (ties: by name), which bounds the model.
     At most about ``rows`` documents per language, chosen by the hash of their id and text, are read (the documented bound of
     the sample; copies of one text are drawn one by one). Their counts, not their texts, reach the driver: ``FEATURES`` per language.
     """
-    known = docs.where(~is_held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    sizes = {r[0]: r["count"] for r in known.groupBy(lang_col).count().collect()}
+    known = docs.where(F.col(id_col).isNotNull() & ~is_held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    known = known.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    sizes = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()}
     if not sizes:
         return [], np.zeros((0, FEATURES))
     share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, rows / n))])
-    luck = F.pmod(F.xxhash64(id_col, text_col), F.lit(1_000_003)) / 1_000_003
-    sample = known.where(luck < share[F.col(lang_col)]).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    luck = F.pmod(F.xxhash64("id", "text"), F.lit(1_000_003)) / 1_000_003
+    sample = known.where(luck < share[F.col("lang")]).select("lang", "text")
     counted = sample.mapInArrow(counts_by_language, "lang string, feature int, n long").groupBy("lang", "feature").agg(F.sum("n").alias("n"))
     languages = sorted(sizes)
     counts = np.zeros((len(languages), FEATURES))
@@ -136,8 +138,8 @@ def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     ``languages`` is the set selected by penalised likelihood with its shares; ``lang_pred`` has the largest share, which
     is the score. ``gain`` is the mean log-likelihood per n-gram above even chance. Null texts, texts without a letter, and all
-    texts where there is nothing to learn from are ``und`` with score 0 and no gain. Whole texts are read; languages and texts
-    that are null teach nothing; rows that repeat an id each get a row. An empty table gives no rows.
+    texts where there is nothing to learn from are ``und`` with score 0 and no gain. Whole texts are read; rows whose id, language
+    or text is null teach nothing; rows that repeat an id each get a row. An empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     languages, logs = learn(docs, id_col, text_col, lang_col, rows)

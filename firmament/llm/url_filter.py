@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 
 from firmament.llm.common import ascii_lower, materialised, table
 
-#: Depth of ``template_tree``.
-DEPTH = 4
-STEPS = [f"s{d}" for d in range(1, DEPTH + 1)]
-
-
 def host_of(url: Column) -> Column:
     """Host behind the first ``://``, A-Z lower-cased; empty if there is none."""
     return F.coalesce(ascii_lower(F.regexp_extract(url, "(?s)^.*?://([^/?#]*)", 1)), F.lit(""))
@@ -49,89 +44,50 @@ def shape_of(segment: Column) -> Column:
     return F.regexp_replace(ids, "[0-9]+", "{n}")
 
 
-def template_tree(
-    forms: DataFrame, min_share: float = 0.01, weight: float = 10.0, most_bad: float = 0.5, similar: float = 1.96,
-) -> DataFrame:
-    """Verdict of each form of path of four steps at most: ``host, s1..s4, template, bad_share, verdict``.
-
-    ``url_filter`` judges by ``branch_tree``, which has no such depth.
-
-    ``forms`` has one row per host and form (``host, s1..s4, pages, labelled, bad``): how many pages, how many of them
-    are labelled and how many of those bad. Steps:
-
-    1. Below each node a segment with less than ``min_share`` of the node's pages becomes the wildcard ``*``.
-    2. Children of a node are ordered by bad share; a child is one branch with the one before it unless their shares
-       differ by more than ``similar`` standard errors. A branch adds up its children's counts.
-    3. A branch's bad share is smoothed towards its parent's by ``weight`` pages, down from the share of all labelled
-       pages (0 where nothing is labelled). Templates with a share above ``most_bad`` are blocked.
-    """
-    tree, path = forms, ["host"]
-    for d, step in enumerate(STEPS, 1):
-        node, child = Window.partitionBy(*path), Window.partitionBy(*path, step)
-        rare = F.sum("pages").over(child) < min_share * F.sum("pages").over(node)
-        tree = tree.withColumn(f"t{d}", F.when(rare & F.col(step).isNotNull(), F.lit("*")).otherwise(F.col(step)))
-        path = [*path, f"t{d}"]
-    tree = materialised(tree, "url-tree")
-
-    total = tree.agg(F.sum("labelled").alias("n"), F.sum("bad").alias("k")).first()
-    overall = total.k / total.n if total.n else 0.0
-    names, shares = ["host"], tree.groupBy("host").agg(
-        ((F.sum("bad") + weight * overall) / (F.sum("labelled") + weight)).alias("share"))
-    for d in range(1, DEPTH + 1):
-        step = f"t{d}"
-        nodes = tree.groupBy(*names, step).agg(F.sum("labelled").alias("n"), F.sum("bad").alias("k"))
-        nodes = _same(nodes, shares.withColumnRenamed("share", "above"), names)
-        nodes = nodes.withColumn("own", (F.col("k") + weight * F.col("above")) / (F.col("n") + weight))
-        nodes = nodes.withColumn("variance", F.col("own") * (1 - F.col("own")) / (F.col("n") + weight))
-        order = Window.partitionBy(*names).orderBy("own", step)
-        apart = F.col("own") - F.lag("own").over(order) > similar * F.sqrt(F.col("variance") + F.lag("variance").over(order))
-        nodes = nodes.withColumn("apart", F.coalesce(apart.cast("int"), F.lit(0)))
-        nodes = nodes.withColumn("branch", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-        branch = Window.partitionBy(*names, "branch")
-        shares = nodes.select(*names, step, ((F.sum("k").over(branch) + weight * F.col("above"))
-                                             / (F.sum("n").over(branch) + weight)).alias("share"))
-        names = [*names, step]
-    return _same(tree, shares, names).select(
-        "host", *STEPS, F.concat_ws("/", *names).alias("template"), F.col("share").alias("bad_share"),
-        F.when(F.col("share") > most_bad, "block").otherwise("allow").alias("verdict"))
-
-
 def branch_tree(
     forms: DataFrame, min_share: float = 0.01, weight: float = 10.0, most_bad: float = 0.5, similar: float = 1.96,
 ) -> DataFrame:
     """Verdict of each form of path: ``host, form, template, bad_share, verdict``.
 
     ``forms`` has one row per host and form (``host, form, pages, labelled, bad``; a form is its segments joined by ``/``). From
-    the host down, level by level as long as a node has several forms:
+    the host down, node by node as long as a node has several forms:
 
-    1. Below each node a segment with less than ``min_share`` of the node's pages becomes the wildcard ``*``.
-    2. Children of a node are ordered by bad share; a child is one branch with the one before it unless their shares
+    1. Segments that all forms of a node have in common are passed in one step: where there is one child, nothing is told apart.
+    2. Below each node a segment with less than ``min_share`` of the node's pages becomes the wildcard ``*``.
+    3. Children of a node are ordered by bad share; a child is one branch with the one before it unless their shares
        differ by more than ``similar`` standard errors. A branch is one node for the levels below it.
-    3. A branch's bad share is smoothed towards its parent's by ``weight`` pages, down from the share of all labelled
+    4. A branch's bad share is smoothed towards its parent's by ``weight`` pages, down from the share of all labelled
        pages (0 where nothing is labelled). A branch with all the labels of its parent has its parent's share, so that they count once.
 
     A form is judged at the node of its last segment; above ``most_bad`` it is blocked. ``template`` names the form's own segments.
+    Each round is written to the shared folder; there are as many as branchings on one path at most, whatever its length.
     """
     total = forms.agg(F.sum("labelled").alias("n"), F.sum("bad").alias("k")).first()
     overall = total.k / total.n if total.n else 0.0
     host = Window.partitionBy("host")
     smoothed = (F.sum("bad").over(host) + weight * overall) / (F.sum("labelled").over(host) + weight)
-    steps = F.when(F.col("form") == "", F.array().cast("array<string>")).otherwise(F.split("form", "/"))
-    level = materialised(forms.select(
-        "host", "form", "pages", "labelled", "bad", steps.alias("steps"), F.col("host").alias("template"), F.lit("").alias("node"), smoothed.alias("share"),
-        F.sum("labelled").over(host).alias("known"), F.sum("pages").over(host).alias("node_pages"), F.count(F.lit(1)).over(host).alias("node_forms")), "url-level")
-    done, d = [], 0
+    rest = F.when(F.col("form") == "", F.array().cast("array<string>")).otherwise(F.split("form", "/"))
+    level = forms.select(
+        "host", "form", "pages", "labelled", "bad", rest.alias("rest"), F.array("host").alias("template"), F.lit("").alias("node"), smoothed.alias("share"),
+        F.sum("labelled").over(host).alias("known"))
+    names, done = ["host", "node"], []
     while True:
-        over = (F.size("steps") <= d) | (F.col("node_forms") == 1)
-        rest = F.slice("steps", d + 1, F.greatest(F.size("steps") - d, F.lit(0)))
-        done.append(level.where(over).select("host", "form", F.concat_ws("/", "template", rest).alias("template"), "share"))
-        going = level.where(~over)
+        node = Window.partitionBy(*names)
+        # In the order of arrays, what the first and the last have in common all between them have.
+        level = level.withColumns({"first": F.min("rest").over(node), "last": F.max("rest").over(node), "node_pages": F.sum("pages").over(node)})
+        differs = F.array_position(F.transform(F.arrays_zip("first", "last"), lambda x: ~x["first"].eqNullSafe(x["last"])), True)
+        common = F.when(differs > 0, differs - 1).otherwise(F.size("first")).cast("int")
+        level = level.withColumn("common", common).withColumns({
+            "template": F.concat("template", F.slice("rest", F.lit(1), F.col("common"))),
+            "rest": F.slice("rest", F.col("common") + 1, F.size("rest"))}).drop("first", "last", "common")
+        level = materialised(level, "url-level")
+        done.append(level.where(F.size("rest") == 0).select("host", "form", F.array_join("template", "/").alias("template"), "share"))
+        going = level.where(F.size("rest") > 0)
         if going.isEmpty():
             break
-        step = F.get("steps", F.lit(d))
-        pages = F.sum("pages").over(Window.partitionBy("host", "node", step))
+        step = F.element_at("rest", 1)
+        pages = F.sum("pages").over(Window.partitionBy(*names, step))
         going = going.withColumn("step", F.when(pages < min_share * F.col("node_pages"), F.lit("*")).otherwise(step))
-        names = ["host", "node"]
         children = going.groupBy(*names, "step").agg(
             F.sum("labelled").alias("n"), F.sum("bad").alias("k"), F.first("share").alias("above"), F.first("known").alias("known"))
         own = lambda k, n: F.when(n == F.col("known"), F.col("above")).otherwise((k + weight * F.col("above")) / (n + weight))
@@ -144,23 +100,13 @@ def branch_tree(
         branch = Window.partitionBy(*names, "branch")
         n, k = F.sum("n").over(branch), F.sum("k").over(branch)
         children = children.select(*names, "step", "branch", own(k, n).alias("share"), n.alias("known"))
-        level = going.drop("share", "known", "node_pages", "node_forms").join(children, [*names, "step"])
-        level = level.withColumn("template", F.concat_ws("/", "template", "step")).withColumn("node", F.concat_ws(".", "node", "branch"))
-        node = Window.partitionBy(*names)
-        level = materialised(level.drop("step", "branch").withColumns(
-            {"node_pages": F.sum("pages").over(node), "node_forms": F.count(F.lit(1)).over(node)}), "url-level")
-        d += 1
+        level = going.drop("share", "known", "node_pages").join(children, [*names, "step"])
+        level = level.withColumns({"template": F.concat("template", F.array("step")), "node": F.concat_ws(".", "node", "branch"),
+                                   "rest": F.slice("rest", F.lit(2), F.size("rest"))}).drop("step", "branch")
     return reduce(DataFrame.unionByName, done).select("host", "form", "template", F.col("share").alias("bad_share"), F.when(
         F.col("share") > most_bad, "block").otherwise("allow").alias("verdict"))
 
 
-def _same(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner join on ``keys``, nulls equal (a path that ends above a level has null there)."""
-    renamed = right.withColumnsRenamed({k: f"_{k}" for k in keys})
-    equal = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
-    return left.join(renamed, equal).drop(*[f"_{k}" for k in keys])
-
-
 def url_filter(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str]] = (), id_col: str = "page_id",
                url_col: str = "url", **settings) -> DataFrame:
     """Judge every url: ``id_col, host, path, rule, verdict, template, bad_share``.

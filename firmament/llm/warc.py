@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
 from typing import BinaryIO
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
@@ -25,16 +27,47 @@ class DamagedArchive(ValueError):
     """An archive that isn't framed as stated, is cut off, or whose digests don't agree with its content."""
 
 
+#: Names of records: the id with every sign but letters, digits and ``_.-~`` written as its bytes; a page without id has none.
+NAME, NO_NAME = "<urn:page:%s>", "<urn:page>"
+
+
+def name_of(page_id) -> str:
+    return NO_NAME if page_id is None else NAME % quote(str(page_id), safe="")
+
+
+def id_of(name: str) -> str | None:
+    if name == NO_NAME:
+        return None
+    start, end = NAME.split("%s")
+    if not (name.startswith(start) and name.endswith(end)):
+        raise DamagedArchive(f"no page's name: {name[:80]}")
+    return unquote(name[len(start):-len(end)])
+
+
+def field(fields: dict[str, str], name: str) -> str:
+    """A field that a record must have."""
+    if name not in fields:
+        raise DamagedArchive(f"a record without {name}")
+    return fields[name]
+
+
+def length_of(text: str | bytes) -> int:
+    text = text.decode("ascii", "replace") if isinstance(text, bytes) else text
+    if not (text.strip().isascii() and text.strip().isdigit()):
+        raise DamagedArchive(f"no length: {text[:80]!r}")
+    return int(text)
+
+
 def record(page_id, url: str | None, payload: bytes | None, length: int, digest: str, refers_to, date: str) -> bytes:
     """A response with its payload, or a revisit (``payload`` null) with the headers of a response only; not compressed."""
     http = CRLF.join([b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8", b"Content-Length: %d" % length, b"", b""])
     block = http + (payload or b"")
-    named = [("WARC-Type", "response" if payload is not None else "revisit"), ("WARC-Record-ID", f"<urn:page:{page_id}>"),
+    named = [("WARC-Type", "response" if payload is not None else "revisit"), ("WARC-Record-ID", name_of(page_id)),
              ("WARC-Date", date), ("Content-Type", "application/http; msgtype=response")]
     if url is not None:
         named.append(("WARC-Target-URI", "".join(f"%{b:02X}" if b <= 32 or b == 127 else chr(b) for b in url.encode()).encode("latin-1").decode()))
     if payload is None:
-        named += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", f"<urn:page:{refers_to}>")]
+        named += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", name_of(refers_to))]
     named += [("WARC-Payload-Digest", f"sha256:{digest}"), ("WARC-Block-Digest", f"sha256:{hashlib.sha256(block).hexdigest()}"),
               ("Content-Length", str(len(block)))]
     head = CRLF.join([VERSION, *[f"{k}: {v}".encode() for k, v in named], b"", b""])
@@ -77,11 +110,11 @@ def framed(data: bytes) -> tuple[dict[str, str], bytes]:
         raise DamagedArchive("a member doesn't start with a record's version line and fields")
     fields = {}
     for line in lines[1:]:
-        name, colon, value = line.decode().partition(":")
+        name, colon, value = line.decode("utf-8", "replace").partition(":")
         if not colon:
             raise DamagedArchive(f"no field: {name[:80]}")
         fields[name.lower()] = value.strip()
-    size = int(fields["content-length"])
+    size = length_of(field(fields, "content-length"))
     if len(body) != size + 4 or body[size:] != CRLF + CRLF:
         raise DamagedArchive(f"a block of {size} bytes is stated, {len(body) - 4} found")
     return fields, body[:size]
@@ -89,17 +122,24 @@ def framed(data: bytes) -> tuple[dict[str, str], bytes]:
 
 def verified(fields: dict[str, str], block: bytes) -> tuple[bytes | None, int, str]:
     """Payload (null for a revisit), the full payload's length and digest, after checking both digests."""
-    if fields["warc-block-digest"] != f"sha256:{hashlib.sha256(block).hexdigest()}":
-        raise DamagedArchive(f"block digest of {fields['warc-record-id']}")
+    name, kind = field(fields, "warc-record-id"), field(fields, "warc-type")
+    if field(fields, "warc-block-digest") != f"sha256:{hashlib.sha256(block).hexdigest()}":
+        raise DamagedArchive(f"block digest of {name}")
+    if kind not in ("response", "revisit"):
+        raise DamagedArchive(f"{name} is a {kind[:80]}")
     http, gap, payload = block.partition(CRLF + CRLF)
-    length = next((int(v) for k, _, v in (x.partition(b":") for x in http.split(CRLF)) if k.lower() == b"content-length"), None)
-    digest = fields["warc-payload-digest"].removeprefix("sha256:")
+    length = next((length_of(v) for k, _, v in (x.partition(b":") for x in http.split(CRLF)) if k.lower() == b"content-length"), None)
+    stated = re.fullmatch("sha256:([0-9a-f]{64})", field(fields, "warc-payload-digest"))
+    if not stated:
+        raise DamagedArchive(f"no digest in {name}")
+    digest = stated[1]
     if not gap or length is None:
-        raise DamagedArchive(f"no HTTP headers in {fields['warc-record-id']}")
-    if fields["warc-type"] == "revisit":
+        raise DamagedArchive(f"no HTTP headers in {name}")
+    if kind == "revisit":
+        field(fields, "warc-refers-to")
         return None, length, digest
     if len(payload) != length or hashlib.sha256(payload).hexdigest() != digest:
-        raise DamagedArchive(f"payload digest of {fields['warc-record-id']}")
+        raise DamagedArchive(f"payload digest of {name}")
     return payload, length, digest
 
 
@@ -145,8 +185,8 @@ def archive_reader(folder: str):
                 with files.open_input_stream(name, compression=None) as stream:
                     for fields, block in records_of(stream):
                         payload, length, digest = verified(fields, block)
-                        refers_to = fields.get("warc-refers-to", "")[len("<urn:page:"):-1] or None
-                        rows.append((fields["warc-record-id"][len("<urn:page:"):-1], fields.get("warc-target-uri"), length, digest,
+                        refers_to = id_of(fields["warc-refers-to"]) if payload is None else None
+                        rows.append((id_of(fields["warc-record-id"]), fields.get("warc-target-uri"), length, digest,
                                      fields["warc-type"], refers_to, payload))
                         n, size = n + 1, size + len(block)
                         if size > 4 << 20:
@@ -186,12 +226,11 @@ def read_archives(archives: DataFrame, folder: str, id_type: str = "bigint") ->
     """Read listed archives back: ``page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload``.
 
     Each archive is read by one task from start to end with a record in memory at a time; cut-off members, wrong lengths,
-    wrong digests and missing records stop the job. A revisit has no payload of its own; length and digest are the full payload's.
+    wrong digests, absent or malformed fields and missing records stop the job. Ids are read as ``id_type``. A revisit has no payload of its own; length and digest are the full payload's.
     """
     schema = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary"
     rows = archives.select("archive", "records").mapInArrow(archive_reader(folder), schema)
-    number = lambda c: F.when(F.col(c) != "None", F.col(c)).cast(id_type).alias(c)
-    return rows.select(number("page_id"), "url", "payload_bytes", "payload_digest", "record_type", number("refers_to"), "payload")
+    return rows.select(F.col("page_id").cast(id_type), "url", "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(id_type), "payload")
 
 
 def op8_warc(spark, folder: str) -> DataFrame:

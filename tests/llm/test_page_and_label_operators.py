@@ -5,6 +5,8 @@ import io
 import math
 import random
 import re
+import sys
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -48,63 +50,82 @@ def test_hosts_paths_and_rules(spark):
     assert len(got) == len(URLS)
 
 
-def plain_tree(forms, min_share, weight, most_bad, similar):
-    """Verdicts by form, with dictionaries: (host, s1..s4) -> (pages, labelled, bad)."""
-    named = {f: [f[0]] for f in forms}
-    for d in range(1, 5):
-        node, child = Counter(), Counter()
-        for f, (pages, _, _) in forms.items():
-            node[tuple(named[f])] += pages
-            child[tuple(named[f]), f[d]] += pages
-        for f in forms:
-            at = tuple(named[f])
-            named[f] = named[f] + ["*" if f[d] is not None and child[at, f[d]] < min_share * node[at] else f[d]]
+def plain_branches(forms, min_share=0.01, weight=10.0, most_bad=0.5, similar=1.96):
+    """The tree walked one segment at a time, a node a list of forms; ``forms`` maps (host, form) to (pages, labelled, bad)."""
     n, k = sum(v[1] for v in forms.values()), sum(v[2] for v in forms.values())
-    share = defaultdict(lambda: k / n if n else 0.0)
-    for d in range(5):
-        counts = defaultdict(lambda: [0, 0])
-        for f, v in forms.items():
-            counts[tuple(named[f][:d + 1])][0] += v[1]
-            counts[tuple(named[f][:d + 1])][1] += v[2]
-        if d == 0:
-            share = {node: (c[1] + weight * (k / n if n else 0.0)) / (c[0] + weight) for node, c in counts.items()}
-            continue
-        new, children = {}, defaultdict(list)
-        for node, c in counts.items():
-            above = share[node[:-1]]
-            own = (c[1] + weight * above) / (c[0] + weight)
-            children[node[:-1]].append((own, node[-1] is not None, node[-1] or "", own * (1 - own) / (c[0] + weight), node, c))
-        for parent, listed in children.items():
-            listed.sort(key=lambda x: x[:3])
-            branches = [[listed[0]]]
-            for before, one in zip(listed, listed[1:]):
-                if one[0] - before[0] > similar * math.sqrt(one[3] + before[3]):
-                    branches.append([])
-                branches[-1].append(one)
-            for branch in branches:
-                value = (sum(x[5][1] for x in branch) + weight * share[parent]) / (sum(x[5][0] for x in branch) + weight)
-                new.update({x[4]: value for x in branch})
-        share = new
-    return {f: (share[tuple(named[f])], "block" if share[tuple(named[f])] > most_bad else "allow") for f in forms}
-
-
-def test_tree(spark):
-    rng = random.Random(3)
+    out = {}
+
+    def walk(members, depth, share, known):
+        """``members``: (key, segments) of one node, of which all before ``depth`` are behind."""
+        pages = sum(forms[key][0] for key, _ in members)
+        by_segment = defaultdict(list)
+        for key, steps in members:
+            if len(steps) <= depth or len(members) == 1:
+                out[key] = share
+            else:
+                by_segment[steps[depth]].append((key, steps))
+        children = defaultdict(list)
+        for segment, held in by_segment.items():
+            rare = sum(forms[key][0] for key, _ in held) < min_share * pages
+            children["*" if rare else segment] += held
+        def own(labelled, bad):
+            return share if labelled == known else (bad + weight * share) / (labelled + weight)
+        listed = []
+        for step, held in children.items():
+            labelled, bad = (sum(forms[key][i] for key, _ in held) for i in (1, 2))
+            s = own(labelled, bad)
+            listed.append((s, step, s * (1 - s) / (labelled + weight), labelled, bad, held))
+        listed.sort(key=lambda x: x[:2])
+        branches = []
+        for before, one in zip([None, *listed], listed):
+            if before is None or one[0] - before[0] > similar * math.sqrt(one[2] + before[2]):
+                branches.append([])
+            branches[-1].append(one)
+        for branch in branches:
+            labelled, bad = sum(x[3] for x in branch), sum(x[4] for x in branch)
+            walk([m for x in branch for m in x[5]], depth + 1, own(labelled, bad), labelled)
+
+    for host in {h for h, _ in forms}:
+        members = [((h, f), f.split("/") if f else []) for h, f in forms if h == host]
+        labelled, bad = (sum(forms[key][i] for key, _ in members) for i in (1, 2))
+        walk(members, 0, (bad + weight * (k / n if n else 0.0)) / (labelled + weight), labelled)
+    return {key: (share, "block" if share > most_bad else "allow") for key, share in out.items()}
+
+
+def branches_of(spark, forms, **settings):
+    table = spark.createDataFrame([(h, f, *v) for (h, f), v in forms.items()], "host string, form string, pages long, labelled long, bad long")
+    return {(r.host, r.form): (r.bad_share, r.verdict) for r in url_filter.branch_tree(table, **settings).collect()}
+
+
+@pytest.mark.parametrize("seed, min_share, similar", [(3, 0.02, 1.96), (4, 0.0, 0.5), (5, 0.3, 1.0)])
+def test_branches_against_a_plain_walk(spark, seed, min_share, similar):
+    rng = random.Random(seed)
     forms = {}
     for host in ("a.com", "b.org", ""):
-        for _ in range(80):
-            path = [rng.choice(["en", "shop", "{n}", "x", f"r{rng.randrange(60)}"]) for _ in range(rng.randrange(5))]
-            forms[host, *path, *[None] * (4 - len(path))] = [rng.randrange(1, 40), 0, 0]
-    for f, v in forms.items():
-        v[1] = rng.randrange(v[0] + 1)
-        v[2] = sum(rng.random() < (0.9 if "shop" in f else 0.1) for _ in range(v[1]))
-    table = spark.createDataFrame([(*f, *v) for f, v in forms.items()], "host string, s1 string, s2 string, s3 string, s4 string, pages long, labelled long, bad long")
-    got = url_filter.template_tree(table, min_share=0.02).collect()
-    want = plain_tree(forms, 0.02, 10.0, 0.5, 1.96)
-    assert len(got) == len(forms) and {r.verdict for r in got} == {"allow", "block"}
-    for r in got:
-        share, verdict = want[r.host, r.s1, r.s2, r.s3, r.s4]
-        assert r.bad_share == pytest.approx(share) and r.verdict == verdict
+        for _ in range(60):
+            stem = rng.choice([[], ["en"], ["en", "shop"], ["x"] * 7])
+            path = stem + [rng.choice(["en", "shop", "{n}", "x", f"r{rng.randrange(30)}"]) for _ in range(rng.randrange(5))]
+            pages = rng.randrange(1, 40)
+            labelled = rng.choice([0, rng.randrange(pages + 1)])
+            forms[host, "/".join(path)] = (pages, labelled, sum(rng.random() < (0.9 if "shop" in path else 0.1) for _ in range(labelled)))
+    got, want = branches_of(spark, forms, min_share=min_share, similar=similar), plain_branches(forms, min_share, similar=similar)
+    assert set(got) == set(want) and {v for _, v in got.values()} == {"allow", "block"}
+    for key, (share, verdict) in want.items():
+        assert got[key][0] == pytest.approx(share) and got[key][1] == verdict, key
+
+
+def test_long_paths_take_few_rounds(spark):
+    stem = "/".join(f"s{i}" for i in range(1000))
+    forms = {("a.com", f"{stem}/spam/1"): (40, 40, 40), ("a.com", f"{stem}/good/{'x/' * 500}1"): (40, 40, 0), ("a.com", "s0/s1"): (5, 5, 0), ("b.org", stem): (3, 0, 0)}
+    start = time.time()
+    got = branches_of(spark, forms)
+    assert time.time() - start < 20
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(10_000)
+    want = plain_branches(forms)
+    sys.setrecursionlimit(limit)
+    assert {k: v for k, (_, v) in got.items()} == {k: v for k, (_, v) in want.items()}
+    assert got["a.com", f"{stem}/spam/1"][1] == "block" and got["a.com", f"{stem}/good/{'x/' * 500}1"][1] == "allow"
 
 
 def judged(spark, given, **settings):
@@ -175,8 +196,119 @@ def test_reader_names_damage():
             [warc.verified(*r) for r in warc.records_of(io.BytesIO(damaged))]
 
 
+def test_absent_and_malformed_fields_are_damage():
+    digest = hashlib.sha256(b"page").hexdigest()
+    whole = {"response": warc.record("a", "http://h/", b"page", 4, digest, None, "d"), "revisit": warc.record("a", None, None, 4, digest, "b", "d")}
+    for kind, data in whole.items():
+        assert [warc.verified(*r)[1] for r in warc.records_of(io.BytesIO(warc.member(data)))] == [4]
+        head, _, rest = data.partition(b"\r\n\r\n")
+        lines = head.split(b"\r\n")
+        for i, line in enumerate(lines[1:], 1):
+            name = line.split(b":")[0].lower().decode()
+            if name in ("warc-date", "content-type", "warc-target-uri", "warc-profile"):
+                continue
+            for broken in (lines[:i] + lines[i + 1:], lines[:i] + [line.split(b":")[0] + b": -x\xff"] + lines[i + 1:]):
+                with pytest.raises(warc.DamagedArchive):
+                    for f, block in warc.records_of(io.BytesIO(warc.member(b"\r\n".join(broken) + b"\r\n\r\n" + rest))):
+                        warc.verified(f, block)
+                        [warc.id_of(f[n]) for n in ("warc-record-id", "warc-refers-to") if n in f]
+
+
+def test_text_ids_round_trip(spark, tmp_path):
+    ids = ["None", "a>b", "x\r\nWARC-Type: revisit", "é %41", "", None, "z"]
+    pages = spark.createDataFrame([(i, "http://h/", f"{'same page ' * 20}{k % 2}") for k, i in enumerate(ids)], "page_id string, url string, html string")
+    folder = f"file://{tmp_path}"
+    got = warc.read_archives(warc.write_archives(pages, folder), folder, "string").collect()
+    assert sorted((r.page_id for r in got), key=repr) == sorted(ids, key=repr)
+    want = {k: min(i for i in ids[k::2] if i is not None) for k in (0, 1)}
+    for r in got:
+        if r.page_id is not None:
+            first = want[ids.index(r.page_id) % 2]
+            assert r.refers_to == (None if r.page_id == first else first), r
+
+
 # Language ID
 
+def plain_language(documents, penalty=8.0, rounds=30):
+    """Counts byte trigrams in dictionaries and mixes languages in plain loops; only the hash of a trigram is shared."""
+    def grams(text):
+        data = f" {text.lower()} ".encode()
+        return Counter(int(language_id.features(data[i:i + 3])[0]) for i in range(len(data) - 2))
+    taught = defaultdict(Counter)
+    for doc_id, text, lang in documents:
+        if doc_id is not None and text is not None and lang is not None and zlib.crc32(str(doc_id).encode()) % 5:
+            taught[lang] += grams(text)
+    languages = sorted(taught)
+    size = language_id.FEATURES
+    logs = [{} for _ in languages]
+    floor = []
+    for i, lang in enumerate(languages):
+        total = sum(taught[lang].values()) + 0.5 * size
+        floor.append(math.log(0.5 / total))
+        logs[i] = {g: math.log((n + 0.5) / total) for g, n in taught[lang].items()}
+    log = lambda i, g: logs[i].get(g, floor[i])
+
+    def mixed(members, counts, rounds, tolerance):
+        shares, n = [1 / len(members)] * len(members), sum(counts.values())
+        for _ in range(rounds):
+            new = [0.0] * len(members)
+            for g, w in counts.items():
+                joint = [math.exp(log(m, g)) * s for m, s in zip(members, shares)]
+                for j, x in enumerate(joint):
+                    new[j] += w * x / sum(joint) / n
+            moved, shares = max(abs(a - b) for a, b in zip(new, shares)), new
+            if moved < tolerance:
+                break
+        return shares, sum(w * math.log(sum(math.exp(log(m, g)) * s for m, s in zip(members, shares))) for g, w in counts.items())
+
+    out = {}
+    for doc_id, text, _ in documents:
+        if not text or not languages or not any(c.isalpha() for c in text):
+            out[doc_id] = ("und", {})
+            continue
+        counts = grams(text)
+        n = sum(counts.values())
+        single = [sum(w * log(i, g) for g, w in counts.items()) for i in range(len(languages))]
+        best = max(range(len(languages)), key=lambda i: (single[i], -i))
+        chosen, shares, score = [best], [1.0], single[best] - penalty * math.log(n + 1)
+        every, _ = mixed(range(len(languages)), counts, 12, 1e-2)
+        order = [best, *sorted((i for i in range(len(languages)) if i != best), key=lambda i: (-every[i], i))]
+        for k in range(2, len(order) + 1):
+            if every[order[k - 1]] * n < penalty:
+                break
+            new, fit = mixed(order[:k], counts, rounds, 1e-4)
+            if fit - k * penalty * math.log(n + 1) <= score:
+                break
+            chosen, shares, score = order[:k], new, fit - k * penalty * math.log(n + 1)
+        listed = {languages[i]: s for i, s in zip(chosen, shares)}
+        out[doc_id] = (max(sorted(listed), key=listed.get), listed)
+    return out
+
+
+def test_languages_against_a_plain_mixture(spark):
+    """Predictions, sets and shares of every document of a small table, mixtures and null ids among them, against plain loops."""
+    rng = random.Random(6)
+    sounds = {"aa": ["ba", "lo", "mi", "tu", "é"], "bb": ["sch", "ker", "ung", "lich", "ß"], "cc": ["ing", "the", "wor", "ed", "sh"]}
+    speak = lambda lang, n: " ".join("".join(rng.choices(sounds[lang], k=rng.randrange(1, 4))) for _ in range(n))
+    documents = [(i, speak(lang := rng.choice(sorted(sounds)), rng.choice([1, 4, 30])), rng.choice([lang, lang, None])) for i in range(60)]
+    documents += [(100, speak("aa", 40) + " " + speak("bb", 40), None), (101, "12 34", "aa"), (102, None, "bb"), (103, "", None), (104, speak("cc", 90) + speak("aa", 30), None)]
+    unseen = [(None, "zq " * 50, "dd")]  # without an id it teaches nothing
+    table = spark.createDataFrame(documents + unseen, "doc_id long, text string, lang string").repartition(4)
+    got = {r.doc_id: r for r in language_id.language_id(table).collect()}
+    want = plain_language(documents)
+    assert "dd" not in {x.lang for r in got.values() for x in r.languages}
+    for doc_id, (lead, shares) in want.items():
+        assert got[doc_id].lang_pred == lead, doc_id
+        assert {x.lang: pytest.approx(x.share, abs=1e-6) for x in got[doc_id].languages} == shares
+
+
+def test_most_frequent_languages_are_learned(spark):
+    table = spark.createDataFrame([(i, f"word{i % 7} text", f"l{i % 7}") for i in range(80)], "doc_id long, text string, lang string")
+    languages, logs = language_id.learn(table, most_languages=3)
+    sizes = Counter(f"l{i % 7}" for i in range(80) if zlib.crc32(str(i).encode()) % 5)
+    assert languages == sorted(sorted(sizes, key=lambda lang: (-sizes[lang], lang))[:3]) and logs.shape[0] == 3
+
+
 def test_language_of_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = language_id.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
@@ -323,3 +455,34 @@ def test_pipeline_of_nothing(spark, tmp_path, empty):
     empty.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_stages_leave_extra_columns_alone(spark, tmp_path):
+    """Columns named like the stages' own working columns, in any letter case, come out as they went in; packing is compared piece by piece."""
+    from tests.llm.conftest import prose
+    import public_tokenizers
+    from tests.llm.test_text_operators import plain_best_fit
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    rng = random.Random(12)
+    texts = [prose(rng, 60, 5000) for _ in range(8)]
+    given = [(i, t, "en", None, len(t or ""), f"r{i}", f"k{i}", i * 10, f"p{i}", f"c{i}", i) for i, t in enumerate([*texts, texts[0], texts[1].upper(), None, "12 34"])]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _row string, _KEY string, _id long, place string, key string, row int"
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = spark.createDataFrame(given, schema).repartition(3)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, str(tmp_path))
+        assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "_row", "_KEY", "_id", "place", "key", "row"], name
+    left = {r[0]: tuple(r) for r in kept.collect()}
+    assert set(left) == {2, 3, 4, 5, 6, 7, 8, 9} and all(left[r[0]] == r for r in given if r[0] in left)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, kept, str(tmp_path)).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset").collect()
+    want = set()
+    for doc_id, text, *_ in left.values():
+        own = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        want |= {(doc_id, s, len(own[s:s + 1024]), zlib.crc32(own[s:s + 1024].tobytes()), len(own)) for s in range(0, len(own), 1024)}
+    assert {tuple(r)[:5] for r in pieces} == want and len(pieces) == len(want)
+    used = Counter()
+    for r in sorted(pieces, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == used[r.sequence_id]
+        used[r.sequence_id] += r.length
+    assert sorted(1024 - n for n in used.values()) == plain_best_fit([r.length for r in pieces], 1024)
