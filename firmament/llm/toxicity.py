@@ -17,7 +17,11 @@ from firmament.llm.decontamination import FOLD
 #: Examples of the index that share one bound per term.
 BLOCK = 128
 #: Blocks that are read first, before the k-th best similarity so far rules others out.
-FIRST_BLOCKS = 4
+FIRST_BLOCKS = 2
+#: A term that more than one in so many examples holds is common.
+COMMON = 16
+#: Texts that are searched at once.
+AT_ONCE = 64
 #: Scores that a task remembers, by text.
 REMEMBERED = 50_000
 
@@ -95,7 +99,8 @@ def weights(counts: tuple[tuple[int, int], ...], weight: np.ndarray) -> tuple[np
 class BlockMaxIndex:
     """Inverted lists of examples, cut into segments by block of examples, each with the largest weight it holds.
 
-    Examples are ordered by their heaviest term, so that a term is heavy in few blocks and bounds are tight.
+    Examples are ordered by their heaviest term, so that a term is heavy in few blocks and bounds are tight. The lists of terms that
+    more than one in ``COMMON`` examples holds are kept as whole rows, and several texts are multiplied with them at once.
     """
 
     def __init__(self, examples: list[tuple[tuple[int, int], ...]], weight: np.ndarray):
@@ -103,13 +108,19 @@ class BlockMaxIndex:
         heaviest = lambda t, w: (int(t[w.argmax()]), -w.max()) if len(t) else (-1, 0.0)
         self.order = np.array(sorted(range(len(rows)), key=lambda i: (*heaviest(*rows[i]), i)), np.int64)
         self.blocks = -(-len(rows) // BLOCK)
-        sizes = [len(rows[i][0]) for i in self.order]
+        self.room = self.blocks * BLOCK
         terms = np.concatenate([rows[i][0] for i in self.order]) if rows else np.empty(0, np.int64)
         held = np.concatenate([rows[i][1] for i in self.order]) if rows else np.empty(0)
-        place = np.repeat(np.arange(len(rows)), sizes)
+        place = np.repeat(np.arange(len(rows)), [len(rows[i][0]) for i in self.order])
         some = held > 0
-        order = np.argsort(terms[some], kind="stable")
-        terms, self.place, self.held = terms[some][order], place[some][order], held[some][order]
+        terms, place, held = terms[some], place[some], held[some]
+        often = np.bincount(terms, minlength=len(weight)) > max(BLOCK, len(rows) // COMMON)
+        self.row = np.where(often, np.cumsum(often) - 1, -1)
+        self.whole = np.zeros((int(often.sum()), self.room))
+        self.whole[self.row[terms[often[terms]]], place[often[terms]]] = held[often[terms]]
+        order = np.flatnonzero(~often[terms])
+        order = order[np.argsort(terms[order], kind="stable")]
+        terms, self.place, self.held = terms[order], place[order], held[order]
         block = self.place // BLOCK
         new = np.ones(len(terms), bool)
         new[1:] = (terms[1:] != terms[:-1]) | (block[1:] != block[:-1])
@@ -118,36 +129,52 @@ class BlockMaxIndex:
         self.block = block[self.start]
         self.bound = np.maximum.reduceat(self.held, self.start) if len(terms) else np.empty(0)
         self.first = np.searchsorted(terms[self.start], np.arange(len(weight) + 1))
+        self.begin = np.searchsorted(terms, np.arange(len(weight) + 1))
 
-    def nearest(self, counts: tuple[tuple[int, int], ...], weight: np.ndarray, k: int) -> list[tuple[float, int]]:
-        """The ``k`` examples of largest cosine above 0, best first (ties: the earlier example).
+    def nearest(self, queries: list, weight: np.ndarray, k: int) -> list[list[tuple[float, int]]]:
+        """For each query the ``k`` examples of largest cosine above 0, best first (ties: the earlier example).
 
-        A block cannot hold more than the sum of its segments' bounds. The blocks of the largest bounds are read first, then all others
-        that can still reach the k-th best so far.
+        The common terms' part of all cosines comes first. A block cannot hold more than its largest part so far and the bounds of its
+        other segments add up to. The blocks that may hold most are read first, then all others that can still reach the k-th best.
         """
-        if not len(counts) or not self.blocks:
-            return []
-        terms, w = weights(counts, weight)
-        sizes = self.first[terms + 1] - self.first[terms]
-        segment, by_segment = spans(self.first[terms], sizes), np.repeat(w, sizes)
+        if not self.blocks:
+            return [[] for _ in queries]
+        vectors = [weights(counts, weight) for counts in queries]
+        dense = np.zeros((len(queries), len(self.whole)))
+        for i, (terms, w) in enumerate(vectors):
+            row = self.row[terms]
+            dense[i, row[row >= 0]] = w[row >= 0]
+        return [self._best(terms[self.row[terms] < 0], w[self.row[terms] < 0], part, k) if len(terms) else []
+                for (terms, w), part in zip(vectors, dense @ self.whole, strict=True)]
+
+    def _best(self, terms: np.ndarray, w: np.ndarray, part: np.ndarray, k: int) -> list[tuple[float, int]]:
+        a, b = self.first[terms], self.first[terms + 1]
+        segment, by_segment = spans(a, b - a), np.repeat(w, b - a)
         block = self.block[segment]
-        reach = np.bincount(block, by_segment * self.bound[segment], self.blocks)
+        reach = np.bincount(block, by_segment * self.bound[segment], self.blocks) + part.reshape(-1, BLOCK).max(axis=1)
         unread, least = reach > 1e-12, 0.0
         sims, ids = np.empty(0), np.empty(0, np.int64)
         while True:
             able = np.flatnonzero(unread & (reach >= least - 1e-9))
             if not len(able):
                 break
-            if not len(sims):
+            first = not len(sims)
+            if first:
                 able = able[np.argsort(-reach[able], kind="stable")[:FIRST_BLOCKS]]
             unread[able] = False
             chosen = np.zeros(self.blocks, bool)
             chosen[able] = True
-            some = chosen[block]
-            at = spans(self.start[segment[some]], self.size[segment[some]])
-            found = np.round(np.bincount(self.place[at], np.repeat(by_segment[some], self.size[segment[some]]) * self.held[at], len(self.order)), 12)
-            at = np.flatnonzero(found >= max(least, 1e-12))
-            sims, ids = np.concatenate([sims, found[at]]), np.concatenate([ids, self.order[at]])
+            if len(able) * 3 < self.blocks:
+                some = np.flatnonzero(chosen[block])
+                size = self.size[segment[some]]
+                at, times = spans(self.start[segment[some]], size), np.repeat(by_segment[some], size)
+            else:  # most blocks can: whole lists are read
+                a, b = self.begin[terms], self.begin[terms + 1]
+                at, times = spans(a, b - a), np.repeat(w, b - a)
+            found = part + np.bincount(self.place[at], times * self.held[at], self.room)
+            at = np.flatnonzero(found >= max(least - 1e-9, 1e-12))
+            at = at[chosen[at // BLOCK]]
+            sims, ids = np.concatenate([sims, np.round(found[at], 12)]), np.concatenate([ids, self.order[at]])
             best = np.lexsort((ids, -sims))[:k]
             sims, ids = sims[best], ids[best]
             if len(sims) == k:
@@ -167,6 +194,12 @@ def pairs(terms: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.stack([terms, counts], axis=1)
 
 
+def known_terms(text: str | None, vocabulary: dict[bytes, int]) -> np.ndarray:
+    """Terms of the vocabulary in a text, with their counts."""
+    counts = [x for t, n in Counter(terms_of(text)).items() if t in vocabulary for x in (vocabulary[t], n)]
+    return np.array(counts, np.int64).reshape(-1, 2)
+
+
 def fold_votes(sample: Sample, idf: np.ndarray, folds: int, k: int, pull: float):
     """Task function: for each fold of the examples, their votes from the others, which alone weigh the terms."""
     def run(batches):
@@ -177,7 +210,9 @@ def fold_votes(sample: Sample, idf: np.ndarray, folds: int, k: int, pull: float)
                 if len(known.ids) and len(asked.ids):
                     weight = idf * relevance(known, len(idf))
                     index, prior = BlockMaxIndex([pairs(*v) for v in known.vectors()], weight), float(known.labels.mean())
-                    votes = [vote(index.nearest(pairs(*v), weight, k), known.labels, prior, pull) for v in asked.vectors()]
+                    queries = [pairs(*v) for v in asked.vectors()]
+                    votes = [vote(near, known.labels, prior, pull) for i in range(0, len(queries), AT_ONCE)
+                             for near in index.nearest(queries[i:i + AT_ONCE], weight, k)]
                     yield pa.RecordBatch.from_arrays([pa.array(votes, pa.float64()), pa.array(asked.labels, pa.int32())], names=["vote", "toxic"])
     return run
 
@@ -209,21 +244,21 @@ def scores(vocabulary: dict[bytes, int], weight: np.ndarray, sample: Sample, cur
         labels = sample.labels
         prior = float(labels.mean()) if len(labels) else 0.0
         for batch in batches:
-            found, evidence = [], []
-            for text in batch.column(2).to_pylist():
-                key = xxhash.xxh3_128_digest((text or "").encode())
-                if key not in seen:
-                    if len(seen) >= REMEMBERED:
-                        seen.clear()
-                    counts = [(vocabulary[t], n) for t, n in Counter(terms_of(text)).items() if t in vocabulary]
-                    near = index.nearest(counts, weight, k)
+            texts = batch.column(2).to_pylist()
+            keys = [xxhash.xxh3_128_digest((text or "").encode()) for text in texts]
+            if len(seen) >= REMEMBERED:
+                seen.clear()
+            new = {key: text for key, text in zip(keys, texts, strict=True) if key not in seen}
+            names = list(new)
+            for i in range(0, len(names), AT_ONCE):
+                part = names[i:i + AT_ONCE]
+                queries = [known_terms(new[key], vocabulary) for key in part]
+                for key, near in zip(part, index.nearest(queries, weight, k), strict=True):
                     score = vote(near, labels, prior, pull)
                     if len(labels):
                         score = float(1 / (1 + np.exp(-(curve[0] * logit(score) + curve[1]))))
                     seen[key] = score, [{"id": sample.ids[i], "similarity": s, "toxic": int(labels[i])} for s, i in near[:3]]
-                score, shown = seen[key]
-                found.append(score)
-                evidence.append(shown)
+            found, evidence = [seen[key][0] for key in keys], [seen[key][1] for key in keys]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.float64()), pa.array([int(x >= 0.5) for x in found], pa.int32()),
                  pa.array(evidence, pa.list_(pa.struct([("id", pa.string()), ("similarity", pa.float64()), ("toxic", pa.int32())])))],

@@ -361,10 +361,13 @@ def test_long_texts_are_counted_whole():
 
 # Toxicity
 
-def test_nearest_examples_are_exact():
+@pytest.mark.parametrize("terms", [60, 9])
+def test_nearest_examples_are_exact(terms):
+    """With few terms some are common to many examples; one term weighs nothing."""
     rng = random.Random(4)
-    idf = np.array([1 + rng.random() * 4 for _ in range(60)])
-    draw = lambda: tuple(sorted({rng.randrange(60): rng.randrange(1, 5) for _ in range(rng.randrange(1, 6))}.items()))
+    idf = np.array([1 + rng.random() * 4 for _ in range(terms)])
+    idf[1] = 0.0
+    draw = lambda: tuple(sorted({rng.randrange(terms): rng.randrange(1, 5) for _ in range(rng.randrange(1, 6))}.items()))
     examples = [draw() for _ in range(900)] + [((3, 1),)] * 40
     index = toxicity.BlockMaxIndex(examples, idf)
 
@@ -374,9 +377,10 @@ def test_nearest_examples_are_exact():
         return round(sum(w * other.get(t, 0.0) for t, w in zip(ta.tolist(), wa)), 12)
     for query in [draw() for _ in range(60)] + [((3, 2),)]:
         want = sorted(((cosine(query, e), i) for i, e in enumerate(examples)), key=lambda x: (-x[0], x[1]))[:15]
-        got = index.nearest(query, idf, 15)
+        (got,) = index.nearest([query], idf, 15)
         assert [round(s, 9) for s, _ in got] == [round(s, 9) for s, _ in want if s > 0]
-    assert index.nearest((), idf, 5) == [] and toxicity.BlockMaxIndex([], idf).nearest(((1, 1),), idf, 5) == []
+    assert (len(index.whole) > 0) == (terms == 9)
+    assert index.nearest([(), ()], idf, 5) == [[], []] and toxicity.BlockMaxIndex([], idf).nearest([((1, 1),)], idf, 5) == [[]]
 
 
 def test_toxicity_of_held_out_documents(spark):
