@@ -2,8 +2,10 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from catalogue.common import scratch
 from firmament.operators.keys import ordered
 from firmament.plans import review
+from firmament.plans.daily import run_reviews
 from firmament.sources.tables import ROW
 from firmament.standins import TestTables
 
@@ -79,14 +81,30 @@ def merge_master(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def missing_tasks(spark: SparkSession, sf: str) -> DataFrame:
-    groups = TestTables(spark, sf).table("events").select(
+    tasks = review.missing_tasks(_master(spark, sf), owners=review.owners_of_groups(_team_groups(spark, sf)))
+    return ordered(tasks, "assigned_to", "ticker", "fiscal_year", "missing_var")
+
+
+def daily_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole run over tables on disk; the tasks of its master, beside the cells they stand for."""
+    paths = {name: scratch(spark, name) for name in ("manual", "master", "missing")}
+    reviewed = {"team0": ("id0", _sheet(spark, sf, 0, 3)), "team3": ("id3", _sheet(spark, sf, 3, 4))}
+    run_reviews(spark, reviewed, paths, _sheet(spark, sf, 1, 3), _sheet(spark, sf, 2, 3), _team_groups(spark, sf), prefer_order=["team3"])
+    master = spark.read.parquet(paths["master"])
+    names = ["extra", "net_sales", "note", "total_assets"]
+    cells = master.select("ticker", "fiscal_year", F.inline(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).alias("cell")) for c in names])))
+    tasks = spark.read.parquet(paths["missing"]).withColumnRenamed("missing_var", "variable")
+    return cells.join(tasks, ["ticker", "fiscal_year", "variable"], "left").select("ticker", "fiscal_year", "variable", "cell", "assigned_to", "status")
+
+
+def _team_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return TestTables(spark, sf).table("events").select(
         F.concat(F.lit("G"), F.col("user_id") % 4).alias("group"), F.concat(F.lit("T"), "user_id").alias("ticker"),
         F.col("event_id").alias(ROW)).filter("ticker LIKE '%1%'")
-    tasks = review.missing_tasks(_master(spark, sf), owners=review.owners_of_groups(groups))
-    return ordered(tasks, "assigned_to", "ticker", "fiscal_year", "missing_var")
 
 
 QUERIES = {
+    "daily_run": daily_run,
     "split_groups": split_groups,
     "split_empty_groups": split_empty_groups,
     "collect_manual": collect_manual,
@@ -113,18 +131,34 @@ def _cell(column: str, sources: tuple[str, ...]) -> str:
     return f"coalesce({', '.join(_FILLED.format(c=c) for c in raw)}, {raw[-1]}, '') AS {column}"
 
 
-_MASTER = f"""
-WITH m AS ({_keyed(sheet(0, 3))}), e AS ({_keyed(sheet(1, 3))}), x AS ({_keyed(sheet(2, 3))}),
+
+def _merged(manual: str, has_extra: bool = False) -> str:
+    manual_extra = ("m", "e", "x") if has_extra else ("e", "x")
+    return f"""
+WITH m AS ({manual}), e AS ({_keyed(sheet(1, 3))}), x AS ({_keyed(sheet(2, 3))}),
      k AS (SELECT ticker, fiscal_year FROM m UNION SELECT ticker, fiscal_year FROM e
            UNION SELECT ticker, fiscal_year FROM x)
-SELECT k.ticker, k.fiscal_year, {_cell('extra', ('e', 'x'))}, {_cell('net_sales', ('m', 'e', 'x'))},
+SELECT k.ticker, k.fiscal_year, {_cell('extra', manual_extra)}, {_cell('net_sales', ('m', 'e', 'x'))},
        {_cell('note', ('m', 'e', 'x'))}, {_cell('total_assets', ('m', 'e', 'x'))}
 FROM k LEFT JOIN m ON m.ticker = k.ticker AND m.fiscal_year = k.fiscal_year
        LEFT JOIN e ON e.ticker = k.ticker AND e.fiscal_year = k.fiscal_year
        LEFT JOIN x ON x.ticker = k.ticker AND x.fiscal_year = k.fiscal_year
 """
 
+
+_MASTER = _merged(_keyed(sheet(0, 3)))
+_COLLECTED = f"""SELECT * EXCLUDE (rn, rank) FROM (SELECT *, row_number() OVER (PARTITION BY ticker, fiscal_year ORDER BY rank, _row) AS rn FROM (
+    {_keyed(sheet(0, 3), ", '' AS extra, 1 AS rank")} UNION ALL BY NAME {_keyed(sheet(3, 4), ", 0 AS rank")}) c) WHERE rn = 1"""
+
 ORACLES = {
+    "daily_run": f"""
+        SELECT ticker, fiscal_year, variable, cell, CASE WHEN blank THEN coalesce(assigned_to, '') END AS assigned_to,
+               CASE WHEN blank THEN 'todo' END AS status
+        FROM (SELECT *, lower(trim(cell)) IN ('', 'nan', 'none', 'null') AS blank FROM (
+            SELECT ticker, fiscal_year, unnest(['extra', 'net_sales', 'note', 'total_assets']) AS variable,
+                   unnest([extra, net_sales, note, total_assets]) AS cell FROM ({_merged(_COLLECTED, True)}) m)) u
+        LEFT JOIN (SELECT DISTINCT concat('T', user_id) AS ticker, concat('G', user_id % 4) AS assigned_to FROM events
+                   WHERE concat('T', user_id) LIKE '%1%') o USING (ticker)""",
     "split_groups": f"{_SPLIT} SELECT * FROM result",
     "split_empty_groups": f"""{_SPLIT} SELECT DISTINCT g."group" FROM ({GROUPS}) g
         WHERE g."group" NOT IN (SELECT "group" FROM result)""",

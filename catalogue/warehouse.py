@@ -13,9 +13,10 @@ COMPANIES = """
 SELECT CASE WHEN c_custkey % 6 = 0 THEN concat('t', CAST(c_custkey - c_custkey % 4 AS VARCHAR), ' ')
             ELSE concat('T', CAST(c_custkey - c_custkey % 4 AS VARCHAR)) END AS ticker,
        c_name AS company_name,
-       CASE c_custkey % 11 WHEN 0 THEN '' WHEN 1 THEN lower(c_mktsegment) ELSE c_mktsegment END AS exchange_code,
+       CASE c_custkey % 11 WHEN 0 THEN '' WHEN 1 THEN lower(c_mktsegment) WHEN 2 THEN replace(c_mktsegment, 'U', 'Ü') ELSE c_mktsegment END AS exchange_code,
        concat('Exchange ', c_mktsegment, ' ', CAST(c_custkey AS VARCHAR)) AS exchange_name,
-       CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE concat('NATION_', CAST(c_nationkey AS VARCHAR)) END AS industry_l2_name,
+       CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 5 = 2 THEN concat('Nátïon_', CAST(c_nationkey AS VARCHAR))
+            ELSE concat('NATION_', CAST(c_nationkey AS VARCHAR)) END AS industry_l2_name,
        concat(CAST(1950 + c_custkey % 60 AS VARCHAR), '.0') AS founded_year,
        CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(2000 + c_custkey % 20 AS VARCHAR) END AS listed_year,
        c_custkey AS _row
@@ -170,10 +171,15 @@ QUERIES = {
 }
 
 
+def _key(c: str) -> str:
+    """Natural keys agree whatever their case, accents and edge blanks."""
+    return f"upper(strip_accents(trim({c})))"
+
+
 def _absent(rows: str, key: str, old: str) -> str:
     """First row per natural key that the old table lacks."""
-    return f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY upper(trim({key})) ORDER BY _row) AS first
-        FROM {rows} WHERE upper(trim({key})) NOT IN (SELECT upper(trim({key})) FROM {old})) WHERE first = 1"""
+    return f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {_key(key)} ORDER BY _row) AS first
+        FROM {rows} WHERE {_key(key)} NOT IN (SELECT {_key(key)} FROM {old})) WHERE first = 1"""
 
 
 _DIMS = {
@@ -185,10 +191,10 @@ _DIMS = {
     "industries": "SELECT (SELECT max(industry_l2_id) FROM old_dim_industry_l2) + row_number() OVER (ORDER BY _row) AS industry_l2_id, "
     "industry_l2_name FROM (" + _absent("(SELECT * FROM companies WHERE industry_l2_name IS NOT NULL)", "industry_l2_name",
                                         "old_dim_industry_l2") + ")",
-    "placed": """SELECT c.*, e.exchange_id, i.industry_l2_id FROM companies c
+    "placed": f"""SELECT c.*, e.exchange_id, i.industry_l2_id FROM companies c
         LEFT JOIN (SELECT exchange_id, exchange_code FROM old_dim_exchange UNION ALL
-                   SELECT exchange_id, exchange_code FROM exchanges) e ON upper(e.exchange_code) = upper(c.exchange_code)
-        LEFT JOIN (SELECT * FROM old_dim_industry_l2 UNION ALL SELECT * FROM industries) i USING (industry_l2_name)
+                   SELECT exchange_id, exchange_code FROM exchanges) e ON {_key('e.exchange_code')} = {_key('c.exchange_code')}
+        LEFT JOIN (SELECT * FROM old_dim_industry_l2 UNION ALL SELECT * FROM industries) i ON {_key('i.industry_l2_name')} = {_key('c.industry_l2_name')}
         WHERE upper(trim(c.ticker)) NOT IN (SELECT ticker FROM old_dim_firm)""",
 }
 

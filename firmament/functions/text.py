@@ -30,9 +30,16 @@ def normal_ticker(c: Column) -> Column:
     return empty_to_null(F.upper(strip(c.cast("string"))))
 
 
+#: Natural keys are equal whatever their case and accents; letters with strokes are like plain ones in this collation.
+KEY_COLLATION = "UNICODE_CI_AI"
+
+
 def natural_key(c: Column) -> Column:
-    """Form in which natural keys are compared (case and edge blanks do not count)."""
-    return F.upper(strip(c.cast("string")))
+    """Form in which natural keys are compared: case, accents and edge blanks do not count.
+
+    A collated text: joins, groups and comparisons follow the collation, by keys that are worked out once a row.
+    """
+    return F.collate(strip(c.cast("string")), KEY_COLLATION)
 
 
 def is_blank(c: Column) -> Column:

@@ -13,15 +13,19 @@ def with_lookup(df: DataFrame, key: str, lookup: DataFrame, lookup_key: str,
                 columns: list[str], how: str = "left") -> DataFrame:
     """Add ``columns`` of ``lookup`` where the natural keys agree.
 
-    Rows without a key match nothing. A left join keeps them, so each gets a stand-in by the hash of
+    Rows without a key match nothing, and neither do blank ones unless the lookup has a blank key, which one small
+    aggregate tells. An inner join leaves both out. A left join keeps them, so each gets a stand-in by the hash of
     its cells, behind a sign no key has after stripping, and they are dealt over all tasks instead of one.
     """
+    named = _keyed(lookup, lookup_key, columns)
+    has_blank = named.agg(F.coalesce(F.bool_or(F.col("_key") == ""), F.lit(False))).scalar()
     natural = natural_key(F.col(key))
+    natural = F.when((natural != "") | has_blank, natural)
     if how == "left":
         natural = F.coalesce(natural, F.concat(F.lit("\t"), F.xxhash64(*df.columns).cast("string")))
     return (
         df.withColumn("_key", natural)
-        .join(_keyed(lookup, lookup_key, columns), "_key", how)
+        .join(named, "_key", how)
         .drop("_key")
     )
 

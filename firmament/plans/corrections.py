@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from firmament import schemas
 from firmament.functions.numbers import stripped_to_double, text_to_double
-from firmament.functions.text import is_blank, natural_key, normal_ticker, strip
+from firmament.functions.text import is_blank, normal_ticker, strip
 from firmament.operators.identifiers import assign_ids
 from firmament.operators.keys import evaluated
 from firmament.operators.lookups import with_lookup
@@ -176,7 +176,7 @@ def sync_master(master: DataFrame, accepted: DataFrame, columns: list[str] | Non
     if columns is None:
         columns = sorted(r[0] for r in accepted.select("column_name").distinct().collect())
     last = (
-        accepted.groupBy(natural_key(F.col("ticker")).alias("_ticker"), F.col("fiscal_year").alias("_year"))
+        accepted.groupBy(normal_ticker(F.col("ticker")).alias("_ticker"), F.col("fiscal_year").alias("_year"))
         .agg(*[F.max(F.when(F.col("column_name") == c, F.struct(ROW, "new_value"))).alias(f"_fix_{c}")
                for c in columns])
     )

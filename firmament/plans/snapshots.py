@@ -54,9 +54,9 @@ def create_snapshots(versions: DataFrame, sources: DataFrame, existing: DataFram
         .withColumn("_tag", natural_key(F.col("version_tag")))
         .filter("_tag IS NOT NULL")
         .groupBy(*_UNIQUE)
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("_new").alias("_new"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.max("_new").alias("_new"), F.min(F.upper("version_tag")).alias("version_tag"))
         .filter("rows > 1 AND _new = 1")
-        .select("source_id", "fiscal_year", "snapshot_date", F.col("_tag").alias("version_tag"), "rows")
+        .select("source_id", "fiscal_year", "snapshot_date", "version_tag", "rows")
     )
     skipped = found.filter("source_id IS NULL").select(*schemas.VERSION_SHEET)
     return NewSnapshots(known, skipped, clashes, existing)

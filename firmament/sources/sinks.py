@@ -126,8 +126,9 @@ class StagedBatch:
         """The tables with all of the batch or with nothing of it, whatever its publish has reached.
 
         The state is looked up once for all of them. Before the seal and after the publish they are the live folders. In
-        between, what is staged stands for the partitions or keys it has, and the live folder only for the others: those files a
-        publish never touches. Partition values are listed, so the scans leave out what is being replaced.
+        between, the partitions that are staged stand for those of the live folder, whose others a publish never touches; to a table
+        with a key the staged rows are added whose key is not stored, however many of them are there already. Partition values are
+        listed, so the scans leave out what is being replaced.
         """
         staging = staging.rstrip("/")
         manifest = {}
@@ -139,7 +140,7 @@ class StagedBatch:
             if t is not None:
                 staged = spark.read.schema(T.StructType.fromJson(json.loads(t.columns))).parquet(f"{staging}/tables/{name}").drop("_action")
                 if t.key:
-                    stored = stored.join(staged.select(*t.key), t.key, "left_anti")
+                    staged = staged.join(stored.select(*t.key).distinct(), t.key, "left_anti")
                 else:
                     # One value for each partition of the table, such as its years.
                     values = staged.select(*t.partition_by).distinct().collect()

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F, types as T
 
 from firmament import schemas
 from firmament.operators import identifiers, keys
+from firmament.operators.lookups import with_lookup
 from firmament.operators.upsert import absent_rows, action_counts, insert_if_absent, upsert
 from firmament.operators.versions import BY_DATE, BY_ID, latest_rows
 from firmament.plans import consolidation, corrections, dimensions, export, facts, panel, per_file, prices, review, snapshots
+from firmament.plans.daily import run_reviews
 from firmament.plans.standardise import standardise_panel
 from firmament.sources import documents, extractions, quotes, sinks, tables
 from firmament.streaming.incremental import ingest_new_extractions
@@ -184,7 +186,7 @@ def test_cut_off_publish_is_resumed(spark, table, tmp_path):
     assert seen() == old
     (tmp_path / "b").write_text("no table")
     live.pop("b")
-    with pytest.raises(Exception, match="CANNOT_READ"):
+    with pytest.raises(Exception, match="CANNOT_READ|FAILED_READ|not a Parquet"):
         batch.publish()  # ends after the first table: the second cannot be read
     assert not sinks.StagedBatch.is_published(spark, staging)
     # A part is published, and readers have all of the batch.
@@ -654,3 +656,44 @@ def test_new_documents_are_listed_in_tables(spark, tmp_path, table):
     (folder / "x" / "new_2020.csv").write_text(header)
     with pytest.raises(keys.RejectedBatch, match="one base name"):
         per_file.load_new_documents(spark, str(folder), loaded, str(tmp_path / "again"))
+
+
+# -- natural keys and the daily run -----------------------------------------------------------------
+
+def test_natural_keys_know_no_case_accents_or_edge_blanks(table):
+    lookup = table([("Công nghệ", 1), ("Thép", 2)], "name string, id int")
+    left = table([("CONG NGHE ", "a"), ("thep", "b"), ("  ", "c"), (None, "d"), ("Thépp", "e")], "k string, v string")
+    assert rows(with_lookup(left, "k", lookup, "name", ["id"]).select("v", "id")) == [("a", 1), ("b", 2), ("c", None), ("d", None), ("e", None)]
+    assert rows(with_lookup(left, "k", lookup, "name", ["id"], how="inner").select("v", "id")) == [("a", 1), ("b", 2)]
+    blank = lookup.union(table([("", 3)], "name string, id int"))
+    assert ("c", 3) in rows(with_lookup(left, "k", blank, "name", ["id"]).select("v", "id"))
+    assert rows(insert_if_absent(table([("thép", 1), ("Đá", 2), ("đÀ", 3), ("", 4)], "name string, seq int"), lookup, "name", "seq").select("seq")) == [(2,), (4,)]
+
+
+def test_blank_keys_are_dealt_over_all_tasks(spark):
+    """A third of the rows without a usable key: no join bucket holds them all."""
+    left = spark.range(9000).select(F.when(F.col("id") % 3 == 0, "").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("k"), "id")
+    lookup = spark.range(50).select(F.concat(F.lit("K"), "id").alias("name"), F.col("id").alias("n"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = with_lookup(left, "k", lookup, "name", ["n"])
+        blank = joined.where("n IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(blank) == 8 and max(r["count"] for r in blank) < 600
+
+
+def test_daily_run(table, spark, tmp_path):
+    paths = {n: str(tmp_path / n) for n in ("manual", "master", "missing")}
+    one = table([("aaa", "2020", "1", "")], "ticker string, fiscal_year string, x string, y string")
+    two = table([("AAA", "2020", "9", "2"), ("bbb", "2021", "", "")], "ticker string, fiscal_year string, x string, y string")
+    ocr = table([("CCC", "2021", "5", "")], "ticker string, fiscal_year string, x string, y string")
+    groups = table([("g1", "AAA"), ("g2", "BBB")], "group string, ticker string")
+    for _ in range(2):
+        counts = run_reviews(spark, {"t1": ("1", one), "t2": ("2", two)}, paths, extracted=ocr, groups=groups, prefer_order=["t2"])
+        assert rows(counts) == [("manual", 2), ("master", 3), ("missing", 3)]
+    assert rows(spark.read.parquet(paths["master"])) == [("AAA", 2020, "9", "2"), ("BBB", 2021, "", ""), ("CCC", 2021, "5", "")]
+    assert rows(spark.read.parquet(paths["missing"]).select("ticker", "missing_var", "assigned_to")) == [
+        ("BBB", "x", "g2"), ("BBB", "y", "g2"), ("CCC", "y", "")]
