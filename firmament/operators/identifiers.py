@@ -1,10 +1,8 @@
 """Surrogate ids in arrival order, without sending all rows through one task."""
 
-import uuid
-
 from pyspark.sql import DataFrame, Window, functions as F
 
-from firmament.session import shared_folder
+from firmament.session import scratch
 
 # ``monotonically_increasing_id`` counts the rows of a partition in its low 33 bits.
 _PLACE_BITS = 33
@@ -18,7 +16,7 @@ def assign_ids(new_rows: DataFrame, id_column: str, arrival: str, existing: Data
     before it. There are as many ranges as shuffle partitions, which bounds the counts that are broadcast.
     """
     spark = new_rows.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/firmament-ids-{uuid.uuid4().hex}"
+    path = scratch(spark, "ids")
     placed = new_rows.repartitionByRange(F.col(arrival)).sortWithinPartitions(arrival).withColumn(
         "_at", F.monotonically_increasing_id())
     placed.write.parquet(path)

@@ -3,26 +3,29 @@
 from pyspark.sql import Column, DataFrame, functions as F
 
 from firmament import schemas
-from firmament.operators.side_by_side import side_by_side
+from firmament.operators.side_by_side import stacked
 from firmament.operators.versions import with_snapshot_date
 
 
-def _by_date(table: str) -> Column:
-    """Panel variables of a fact row behind its version; NULL when the snapshot is unknown."""
-    row = F.struct("snapshot_date", "snapshot_id", *schemas.PANEL_SOURCE[table])
-    return F.when(F.col("snapshot_date").isNotNull(), row)
-
-
 def _firm_years(facts: dict[str, DataFrame], snapshots: DataFrame,
                 by_id: dict[str, tuple[str, ...]]) -> DataFrame:
-    parts = []
-    for table in schemas.FACT_COLUMNS:
-        payloads = {table: _by_date(table)}
-        if table in by_id:
-            payloads[f"{table}_by_id"] = F.struct("snapshot_id", *by_id[table])
-        # Rows of unknown snapshots have no payload but still put their firm-year on the list.
-        parts.append((with_snapshot_date(facts[table], snapshots, "left"), payloads))
-    return side_by_side(parts, schemas.FIRM_YEAR)
+    """Each fact's newest row beside the others', per firm-year.
+
+    The facts are stacked first, so that snapshots are joined once. A row's version then goes before its payload: its
+    snapshot's date and id, or for ``by_id`` the id alone.
+    """
+    parts = [(df, {table: F.struct(*dict.fromkeys((*schemas.PANEL_SOURCE[table], *by_id.get(table, ()))))})
+             for table, df in ((t, facts[t]) for t in schemas.FACT_COLUMNS)]
+    rows = with_snapshot_date(stacked(parts, (*schemas.FIRM_YEAR, "snapshot_id")), snapshots, "left")
+
+    def newest(table: str, *version: str) -> Column:
+        # Rows of unknown snapshots have no date and no payload, but still put their firm-year on the list.
+        known = F.col(table).isNotNull() & F.col(version[0]).isNotNull()
+        return F.max(F.when(known, F.struct(*version, F.col(table).alias("row"))))["row"]
+
+    return rows.groupBy(*schemas.FIRM_YEAR).agg(
+        *[newest(table, "snapshot_date", "snapshot_id").alias(table) for table in schemas.FACT_COLUMNS],
+        *[newest(table, "snapshot_id").alias(f"{table}_by_id") for table in by_id])
 
 
 def _variables() -> list[Column]:

@@ -283,9 +283,16 @@ def quality_report(frame: DataFrame, flag_missing_age: bool = False) -> DataFram
 
 
 def write_report(report: DataFrame, path: str) -> bool:
-    """Write the report if there is anything in it; tells whether there was. Runs the checks."""
-    from firmament.sources.sinks import export_csv
+    """Write the report if there is anything in it; tells whether there was.
 
+    The checks run once: findings are written to the shared folder, and the report is put in order from there.
+    """
+    from firmament.session import scratch
+    from firmament.sources.sinks import export_csv, overwrite
+
+    found = scratch(report.sparkSession, "findings")
+    overwrite(report, found)
+    report = report.sparkSession.read.schema(report.schema).parquet(found)
     if report.isEmpty():
         return False
     export_csv(report, path, ("ticker", "fiscal_year", "column_name", "error_type"))

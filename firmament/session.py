@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,3 +39,8 @@ def shared_folder(spark: SparkSession) -> str:
         current = tempfile.mkdtemp(prefix="firmament-")
         spark.conf.set("firmament.local.folder", current)
     return current
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared one, for what a job writes and reads again."""
+    return f"{shared_folder(spark).rstrip('/')}/firmament-{name}-{uuid.uuid4().hex}"
