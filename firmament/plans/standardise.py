@@ -22,6 +22,8 @@ def standardise_panel(sheet: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
     sheet = sheet.toDF(*[c.strip() for c in sheet.columns])
     require_columns(sheet, schemas.SHEET_KEY)
     sheet = sheet.withColumnsRenamed({a: c for a, c in schemas.SHEET_ALIASES.items() if a in sheet.columns})
+    # Rows without a key drop out in the end; those whose cells are NULL need not be parsed for it.
+    sheet = sheet.where("ticker IS NOT NULL AND fiscal_year IS NOT NULL")
     types = {f.name: f.dataType for f in sheet.schema}
     numbers = [c for c in ("fiscal_year", *SHEET_VARIABLES) if c in types]
     # Cells of columns that are numbers already are taken as they are.
