@@ -11,13 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from firmament.llm.common import bounded_batches, byte_texts, table
+from firmament.llm.common import bounded_batches, materialised, table
 
 DEPTH = 2
-#: Counters of a sketch row that are merged and kept together.
-CHUNK = 1 << 22
-#: Bytes of text whose windows a task holds at once (whole documents, so a longer one is taken alone).
-AT_ONCE = 6 << 20
+#: Counters of a sketch row that are summed together: these at least, or one of ``CHUNKS`` of all, up to ``MOST``.
+CHUNK, CHUNKS, MOST = 1 << 22, 1 << 10, 1 << 28
+#: Bytes of text of a part, whose windows a task holds at once (whole documents, so that a longer one makes a longer part).
+PART = 3 << 20
 #: Bytes that are hashed at once.
 SLICE = 1 << 20
 _BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
@@ -83,20 +83,15 @@ def _windows(power: np.ndarray, factor: np.uint64, width: int, n: int) -> np.nda
     return out
 
 
-def chunks_of(batches, width: int, key: np.dtype):
-    """Chunks of whole texts of about ``AT_ONCE`` bytes: document keys, windows per text, window hashes."""
-    ids, held, size = [], [], 0
-    for batch, texts in byte_texts(batches):
-        for doc_id, text in zip(batch.column(0).to_pylist(), texts, strict=True):
-            if text:
-                ids.append(doc_id)
-                held.append(text)
-                size += len(text)
-                if size >= AT_ONCE:
-                    yield keys_of(ids, held, key), *window_hashes(held, width)
-                    ids, held, size = [], [], 0
-    if held:
-        yield keys_of(ids, held, key), *window_hashes(held, width)
+def windows_of(texts: pa.Table, width: int, key: np.dtype) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts of one part that are not empty: document keys, row numbers, windows per text, window hashes."""
+    data = texts.column("text").cast(pa.binary()).to_pylist()
+    some = [i for i, t in enumerate(data) if t]
+    held = [data[i] for i in some]
+    ids = texts.column("id").to_pylist()
+    rows = texts.column("row").to_numpy()[some] if some else np.empty(0, np.int64)
+    sizes, hashes = window_hashes(held, width) if held else (np.empty(0, np.int64), np.empty((2, 0), np.uint64))
+    return keys_of([ids[i] for i in some], held, key), rows, sizes, hashes
 
 
 #: Place of documents without id: behind all others.
@@ -140,55 +135,78 @@ def unpacked(data: bytes, n: int) -> np.ndarray:
     return np.cumsum(steps.reshape(-1).view("<u4"), dtype=np.int64)
 
 
-def sketch_parts(width: int, counters: int):
-    """Task function: the task's sketch, counters saturating at 2: per row and chunk those at 1 and those at 2."""
-    def run(batches):
-        for _, _, hashes in chunks_of(batches, width, UNIQUE):
-            for row in range(DEPTH):
-                at = np.sort(bucket(hashes[row], counters))
-                first = np.concatenate([[True], at[1:] != at[:-1]])
-                starts = np.flatnonzero(first)
-                twice = np.diff(np.append(starts, len(at))) > 1
-                at = at[starts].astype(np.int64)
-                cuts = np.flatnonzero(np.diff(at // CHUNK, prepend=-1))
-                chunk, once_n, once_col, twice_n, twice_col = [], [], [], [], []
-                for a, b in zip(cuts, [*cuts[1:], len(at)]):
-                    inside, often = at[a:b] % CHUNK, twice[a:b]
-                    chunk.append(int(at[a] // CHUNK))
-                    once_n.append(int((~often).sum()))
-                    once_col.append(packed(inside[~often]))
-                    twice_n.append(int(often.sum()))
-                    twice_col.append(packed(inside[often]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row] * len(chunk), pa.int32()), pa.array(chunk, pa.int64()), pa.array(once_n, pa.int32()),
-                     pa.array(once_col, pa.binary()), pa.array(twice_n, pa.int32()), pa.array(twice_col, pa.binary())],
-                    names=["row", "chunk", "once_n", "once", "twice_n", "twice"])
+def counted(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted counters: which there are, and how often."""
+    starts = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]])) if len(at) else np.empty(0, np.int64)
+    return at[starts].astype(np.int64), np.diff(np.append(starts, len(at)))
+
+
+SKETCH = pa.schema([("row", pa.int32()), ("chunk", pa.int64()), ("part", pa.int64()), ("once_n", pa.int32()), ("once", pa.binary()),
+                    ("twice_n", pa.int32()), ("twice", pa.binary())])
+REPLY = pa.schema([("part", pa.int64()), ("row", pa.int32()), ("chunk", pa.int64()), ("repeated", pa.binary())])
+
+
+def rows_as(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), schema, strict=True)] if rows else [[]] * len(schema), schema=schema)
+
+
+def sketch(width: int, counters: int, chunk: int):
+    """Group function: a part's sketch, counters saturating at 2: per row and chunk those at 1 and those at 2."""
+    def run(texts):
+        part, out = texts.column("part")[0].as_py(), []
+        hashes = windows_of(texts, width, UNIQUE)[3]
+        for row in range(DEPTH):
+            at, n = counted(np.sort(bucket(hashes[row], counters)))
+            cuts = np.flatnonzero(np.diff(at // chunk, prepend=-1))
+            for a, b in zip(cuts, [*cuts[1:], len(at)]):
+                inside, often = at[a:b] % chunk, n[a:b] > 1
+                out.append((row, int(at[a] // chunk), part, int((~often).sum()), packed(inside[~often]), int(often.sum()), packed(inside[often])))
+        return rows_as(out, SKETCH)
+    return run
+
+
+def summed(chunk: int):
+    """Group function: the parts' counters of one chunk, added up. Each part is told of its counters at 1 which are 2 or more in all."""
+    def run(parts):
+        counts = np.zeros(chunk, np.uint8)
+        for name, times in (("once", 1), ("twice", 2)):
+            for data, n in zip(parts.column(name).to_pylist(), parts.column(f"{name}_n").to_pylist(), strict=True):
+                at = unpacked(data, n)
+                counts[at] = np.minimum(counts[at] + times, 2)
+        row, number = parts.column("row")[0].as_py(), parts.column("chunk")[0].as_py()
+        return rows_as([(part, row, number, np.packbits(counts[unpacked(data, n)] >= 2).tobytes()) for part, data, n in zip(
+            parts.column("part").to_pylist(), parts.column("once").to_pylist(), parts.column("once_n").to_pylist(), strict=True) if n], REPLY)
     return run
 
 
-def merged_chunk(key, parts):
-    """Sum of the tasks' counters for one chunk, as the bitmap of those at 2 or more."""
-    counts = np.zeros(CHUNK, np.uint8)
-    for name, times in (("once", 1), ("twice", 2)):
-        for data, n in zip(parts.column(name).to_pylist(), parts.column(f"{name}_n").to_pylist(), strict=True):
-            at = unpacked(data, n)
-            counts[at] = np.minimum(counts[at] + times, 2)
-    bits = zlib.compress(np.packbits(counts >= 2).tobytes(), 1)
-    return pa.table({"row": [key[0].as_py()], "chunk": [key[1].as_py()], "repeated": [bits]},
-                    schema=pa.schema([("row", pa.int32()), ("chunk", pa.int64()), ("repeated", pa.binary())]))
+def repeated(hashes: np.ndarray, counters: int, chunk: int, replies: list[tuple[int, bytes]]) -> np.ndarray:
+    """Which of a part's windows one sketch row estimates repeated; ``replies`` has (chunk, bits) of that row."""
+    at = bucket(hashes, counters)
+    order = np.argsort(at, kind="stable")
+    there, n = counted(at[order])
+    often = n > 1
+    once = np.flatnonzero(~often)
+    sizes = np.bincount(np.unique(there[once] // chunk, return_inverse=True)[1]) if len(once) else []
+    bits = [np.unpackbits(np.frombuffer(data, np.uint8), count=int(size)) for (_, data), size in zip(sorted(replies), sizes, strict=True)]
+    often[once] = np.concatenate(bits) == 1 if bits else False
+    out = np.empty(len(at), bool)
+    out[order] = np.repeat(often, n)
+    return out
 
 
 def place_of(key: np.dtype) -> np.dtype:
-    """A place: the document's key, the start."""
-    return np.dtype([*key.descr, ("start", "<u4")])
+    """A place: the row, the start."""
+    return np.dtype([("row", "<i8"), ("start", "<u4")])
 
 
 def entry_of(key: np.dtype) -> np.dtype:
-    """A window at a place: 96 bits of its words, the place."""
-    return np.dtype([("a", "<u8"), ("b", "<u4"), *place_of(key).descr])
+    """A window at a place: 96 bits of its words, the document's key, the start, and where its text is."""
+    rest = [("part", "<u4")] if key == UNIQUE else [("part", "<u4"), ("row", "<i8")]
+    return np.dtype([("a", "<u8"), ("b", "<u4"), *key.descr, ("start", "<u4"), *rest])
 
 
-OUT = pa.schema([("slot", pa.int64()), ("removed", pa.bool_()), ("entries", pa.binary())])
+OUT = pa.schema([("slot", pa.int64()), ("part", pa.int64()), ("entries", pa.binary())])
+GONE = pa.schema([("part", pa.int64()), ("entries", pa.binary())])
 
 
 def by_column(entries: np.ndarray) -> bytes:
@@ -207,179 +225,154 @@ def of_columns(data: bytes, kind: np.dtype) -> np.ndarray:
     return entries
 
 
-def dealt(entries: np.ndarray, slot: np.ndarray, removed: bool):
-    """Rows (slot, removed, entries) of entries in the order of their slots."""
+def dealt(entries: np.ndarray, slots: int) -> list[tuple]:
+    """Rows (slot, no part, entries) of windows, by the slot of their hash."""
+    slot = bucket(entries["a"], slots).astype(np.int64)  # entries are in the order of ``a``, and so of slots
+    order = np.argsort(slot, kind="stable")
+    entries, slot = entries[order], slot[order]
     cuts = np.flatnonzero(np.diff(slot, prepend=-1))
-    for a, b in zip(cuts, [*cuts[1:], len(entries)]):
-        yield int(slot[a]), removed, by_column(entries[a:b])
+    return [(int(slot[a]), None, by_column(entries[a:b])) for a, b in zip(cuts, [*cuts[1:], len(entries)])]
 
 
-def removed_rows(entries: np.ndarray, slots: int, key: np.dtype):
-    """Rows of removed places, dealt by document."""
+def removed_rows(entries: np.ndarray, key: np.dtype) -> list[tuple]:
+    """Rows (part, places) of what is removed, by the part of its text."""
     places = np.empty(len(entries), place_of(key))
-    for field in places.dtype.names:
-        places[field] = entries[field]
-    mixture = places["id"].astype(np.uint64)
-    if key == MARKED:
-        mixture = mixed(mixture) ^ places["mark"]
-    slot = bucket(mixed(mixture), slots).astype(np.int64)
-    order = np.lexsort((*[places[f] for f in reversed(places.dtype.names)], slot))
-    return dealt(places[order], slot[order], True)
+    places["row"], places["start"] = entries["id" if key == UNIQUE else "row"], entries["start"]
+    order = np.lexsort((places["start"], places["row"], entries["part"]))
+    places, part = places[order], entries["part"][order].astype(np.int64)
+    cuts = np.flatnonzero(np.diff(part, prepend=-1))
+    return [(int(part[a]), by_column(places[a:b])) for a, b in zip(cuts, [*cuts[1:], len(places)])]
 
 
-def in_order(entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def in_order(entries: np.ndarray, key: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """Entries by window and place in the corpus, and which of them are their window's first."""
-    names = entries.dtype.names
-    entries = entries[np.lexsort([entries[f] for f in reversed(names)])]
+    entries = entries[np.lexsort([entries[f] for f in reversed(("a", "b", *key.names, "start"))])]
     first = apart(entries, ("a", "b"))
     # Equal rows are one document: a tie for the first place is first too.
     lead = np.maximum.accumulate(np.where(first, np.arange(len(entries)), 0))
-    tied = np.all([entries[f] == entries[f][lead] for f in names[2:]], axis=0) if len(entries) else first
+    tied = np.all([entries[f] == entries[f][lead] for f in (*key.names, "start")], axis=0) if len(entries) else first
     return entries, first | tied
 
 
-def candidate_windows(width: int, counters: int, slots: int, bitmaps: list[bytes], key: np.dtype):
-    """Task function: windows that every sketch row estimates repeated.
+def candidates(width: int, counters: int, chunk: int, slots: int, key: np.dtype):
+    """Cogroup function: a part's windows that every sketch row estimates repeated.
 
-    Of a window's places in one chunk only the first can be its first in the corpus. That one goes to the window's slot;
-    the others are removed whatever the rest holds, and go to their document's slot.
+    Of a window's places in one part only the first can be its first in the corpus. That one goes to the window's slot;
+    the others are removed whatever the rest holds.
     """
-    def run(batches):
-        repeated = [np.frombuffer(zlib.decompress(b), np.uint8) for b in bitmaps]
-        for keys, sizes, hashes in chunks_of(batches, width, key):
-            keep = np.ones(hashes.shape[1], bool)
-            for row in range(DEPTH):
-                at = bucket(hashes[row], counters)
-                keep &= (repeated[row][at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8))) & 1 == 1
-            at = np.flatnonzero(keep)
-            doc = np.repeat(np.arange(len(keys)), sizes)[at]
-            entries = np.empty(len(at), entry_of(key))
-            entries["a"], entries["b"] = hashes[0, at], hashes[1, at]
-            for field in key.names:
-                entries[field] = keys[field][doc]
-            entries["start"] = at - np.concatenate([[0], np.cumsum(sizes)])[doc]
-            entries, first = in_order(entries)
-            sent = entries[first]
-            rows = [*dealt(sent, bucket(sent["a"], slots).astype(np.int64), False), *removed_rows(entries[~first], slots, key)]
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), OUT, strict=True)], schema=OUT)
+    def run(texts, replies):
+        if not texts.num_rows:
+            return rows_as([], OUT)
+        part = texts.column("part")[0].as_py()
+        keys, rows, sizes, hashes = windows_of(texts, width, key)
+        told: list[list] = [[] for _ in range(DEPTH)]
+        for row, number, bits in zip(*[replies.column(c).to_pylist() for c in ("row", "chunk", "repeated")], strict=True):
+            told[row].append((number, bits))
+        keep = np.ones(hashes.shape[1], bool)
+        for row in range(DEPTH):
+            keep &= repeated(hashes[row], counters, chunk, told[row])
+        at = np.flatnonzero(keep)
+        doc = np.repeat(np.arange(len(keys)), sizes)[at]
+        entries = np.empty(len(at), entry_of(key))
+        entries["a"], entries["b"], entries["part"] = hashes[0, at], hashes[1, at], part
+        for field in key.names:
+            entries[field] = keys[field][doc]
+        if key == MARKED:
+            entries["row"] = rows[doc]
+        entries["start"] = at - np.concatenate([[0], np.cumsum(sizes)])[doc]
+        entries, first = in_order(entries, key)
+        gone = [(part % slots, *r) for r in removed_rows(entries[~first], key)]
+        return rows_as([*dealt(entries[first], slots), *gone], OUT)
     return run
 
 
-def later_windows(slots: int, key: np.dtype):
-    """Group function: places of one slot that aren't their window's first, dealt by document; removals pass through."""
-    def run(parts):
-        known, data = parts.column("removed").to_pylist(), parts.column("entries").to_pylist()
-        rows = [(parts.column("slot")[0].as_py(), True, d) for d, r in zip(data, known, strict=True) if r]
-        sent = [of_columns(d, entry_of(key)) for d, r in zip(data, known, strict=True) if not r]
+def later_windows(key: np.dtype):
+    """Group function: places of one slot that aren't their window's first, by part; what is removed already passes through."""
+    def run(rows):
+        known, data = rows.column("part").to_pylist(), rows.column("entries").to_pylist()
+        out = [(p, d) for p, d in zip(known, data, strict=True) if p is not None]
+        sent = [of_columns(d, entry_of(key)) for p, d in zip(known, data, strict=True) if p is None]
         if sent:
-            entries, first = in_order(np.concatenate(sent))
-            rows.extend(removed_rows(entries[~first], slots, key))
-        return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows), OUT, strict=True)] if rows else [[], [], []], schema=OUT)
+            entries, first = in_order(np.concatenate(sent), key)
+            out += removed_rows(entries[~first], key)
+        return rows_as(out, GONE)
     return run
 
 
-#: A document's key as columns, unsigned numbers in the bits of signed ones; ids that tell all rows apart leave the others constant.
-KEY = "place long, none boolean, mark long, more long"
-REMOVED = pa.schema([("place", pa.int64()), ("none", pa.bool_()), ("mark", pa.int64()), ("more", pa.int64()), ("starts", pa.binary())])
-
-
-def key_columns(keys: np.ndarray) -> list[pa.Array]:
-    if keys.dtype.names[:len(MARKED.names)] == MARKED.names:
-        none, mark, more = keys["none"] == 1, keys["mark"], keys["more"]
-    else:
-        none, mark, more = np.zeros(len(keys), bool), np.zeros(len(keys), np.uint64), np.zeros(len(keys), np.uint64)
-    return [pa.array(np.ascontiguousarray(keys["id"])), pa.array(none), *[pa.array(np.ascontiguousarray(x).view(np.int64)) for x in (mark, more)]]
-
-
-def removed_by_document(key: np.dtype):
-    """Group function: a row per document of one slot, with its removed starts."""
-    def run(parts):
-        places = np.unique(np.concatenate([of_columns(d, place_of(key)) for d in parts.column("entries").to_pylist()]))
-        cuts = np.flatnonzero(apart(places, key.names))
-        starts = [np.ascontiguousarray(own["start"]).tobytes() for own in np.split(places, cuts[1:])]
-        return pa.table([*key_columns(places[cuts]), pa.array(starts, pa.binary())], schema=REMOVED)
-    return run
-
-
-def with_keys(batches):
-    """Task function: ids and texts with the columns of their marked keys."""
-    for batch, texts in byte_texts(batches):
-        keys = keys_of(batch.column(0).to_pylist(), texts, MARKED)
-        yield pa.RecordBatch.from_arrays([*batch.columns, *key_columns(keys)], names=["id", "text", *REMOVED.names[:4]])
+KEPT = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.string())])
 
 
 def without_removed(width: int):
-    """Task function: removes the words of each text that its removed windows cover."""
-    def run(batches):
-        for batch, texts in byte_texts(batches):
-            totals, removed, digests, kept = [], [], [], []
-            for text, starts in zip(texts, batch.column(2).to_pylist(), strict=True):
-                words = text.split() if text else []
-                gone = 0
-                if starts:
-                    edges = np.zeros(len(words) + 1, np.int64)
-                    at = np.frombuffer(starts, "<u4").astype(np.int64)
-                    edges[at] += 1
-                    edges[at + width] -= 1
-                    covered = np.cumsum(edges[:-1]) > 0
-                    gone = int(covered.sum())
-                    words_left = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
-                else:
-                    words_left = words
-                rest = b" ".join(words_left)
-                totals.append(len(words))
-                removed.append(gone)
-                digests.append(hashlib.sha256(rest).hexdigest())
-                kept.append(rest)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()),
-                 pa.array(kept, pa.binary()).cast(pa.string())], names=["id", "n_words", "n_removed", "kept_sha256", "kept"])
+    """Cogroup function: removes the words of a part's texts that their removed windows cover."""
+    def run(texts, gone):
+        if not texts.num_rows:
+            return KEPT.empty_table()
+        held = [of_columns(d, place_of(UNIQUE)) for d in gone.column("entries").to_pylist()]
+        places = np.concatenate(held) if held else np.empty(0, place_of(UNIQUE))
+        places = places[np.argsort(places["row"], kind="stable")]
+        rows = texts.column("row").to_numpy()
+        first, end = np.searchsorted(places["row"], rows), np.searchsorted(places["row"], rows, "right")
+        totals, removed, digests, kept = [], [], [], []
+        for text, a, b in zip(texts.column("text").cast(pa.binary()).to_pylist(), first.tolist(), end.tolist(), strict=True):
+            words, away = text.split() if text else [], 0
+            if b > a:
+                edges = np.zeros(len(words) + 1, np.int64)
+                at = np.unique(places["start"][a:b]).astype(np.int64)
+                edges[at] += 1
+                edges[at + width] -= 1
+                covered = np.cumsum(edges[:-1]) > 0
+                away = int(covered.sum())
+                rest = b" ".join([w for w, c in zip(words, covered.tolist(), strict=True) if not c])
+            else:
+                rest = b" ".join(words)
+            totals.append(len(words))
+            removed.append(away)
+            digests.append(hashlib.sha256(rest).hexdigest())
+            kept.append(rest)
+        return pa.table([texts.column("id"), pa.array(totals, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string()),
+                         pa.array(kept, pa.binary()).cast(pa.string())], schema=KEPT)
     return run
 
 
 def substring_dedup(docs: DataFrame, width: int = 20, id_col: str = "doc_id", text_col: str = "text", counters_per_byte: float = 0.5,
-                    most_counters: int = 1 << 29, slot_bytes: int = 8 << 20) -> DataFrame:
+                    slot_bytes: int = 8 << 20) -> DataFrame:
     """Remove each word covered by a window of ``width`` words whose word sequence also starts earlier.
 
     Returns one row per document: ``id_col, n_words, n_removed, kept_sha256, kept``. Earlier is a smaller id, or the same
     document and a smaller start. Ids are whole numbers; documents without id come last. Rows that repeat an id are told
-    apart by 128 bits of their text (and ordered by them), as those without id are; rows equal in both are one document and lose the same words. Null
-    and empty texts have no words. An empty table gives no rows.
-
-    First pass: each task counts its windows in a count-min sketch of two rows whose counters stop at 2; the tasks'
-    sketches travel as sparse parts and are summed chunk by chunk. Estimates are never too low. Second pass: windows
-    estimated repeated are grouped exactly, by 96 bits of their words. A task sends one place per window and chunk of its
-    texts, so a passage in a third of all documents is reduced before the shuffle. The sketch has
-    ``counters_per_byte`` counters per byte of text up to ``most_counters`` (1 bit each in the second pass, 64 MB a row); beyond that
-    estimates are higher and more windows are grouped, but none is lost.
+    apart by 128 bits of their text (and ordered by them), as those without id are; rows equal in both are one document and lose the same
+    words. Null and empty texts have no words. An empty table gives no rows; other columns are not looked at.
+
+    The texts are dealt once into parts of about ``PART`` bytes, which every step reads again. First pass: each part counts its windows in a
+    count-min sketch of two rows whose counters stop at 2, ``counters_per_byte`` a byte at any size. The parts' counters travel
+    as sparse lists, are summed chunk by chunk, and each part is told by one bit for each counter it sent once whether it is 2 or
+    more in all; estimates are never too low. Second pass: windows that both rows estimate repeated are grouped
+    exactly, by 96 bits of their words. A part sends one place per window, so a passage in a third of all documents is reduced
+    before the shuffle. Nothing is collected or broadcast, so neither the driver nor a worker holds the sketch.
+
+    Where ids are null or repeated, the texts are first written with row numbers, which deal them evenly.
     """
-    bounded_batches(docs.sparkSession)
     spark = docs.sparkSession
+    bounded_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    repeated = texts.groupBy("id").count().where((F.col("count") > 1) | F.col("id").isNull()).limit(1).count()
-    key = MARKED if repeated else UNIQUE
-    counters = int(min(most_counters, max(1 << 16, size * counters_per_byte)))
+    odd = texts.groupBy("id").count().where((F.col("count") > 1) | F.col("id").isNull()).limit(1).count()
+    if odd:
+        key, texts = MARKED, materialised(texts.withColumn("row", F.monotonically_increasing_id()), "substring-rows")
+    else:
+        key, texts = UNIQUE, texts.withColumn("row", F.col("id"))
+    counters = int(max(1 << 16, size * counters_per_byte))
+    chunk = min(MOST, max(CHUNK, -(-counters // CHUNKS)))
     slots = max(16, size // slot_bytes)
 
-    parts = texts.mapInArrow(sketch_parts(width, counters), "row int, chunk long, once_n int, once binary, twice_n int, twice binary")
-    merged = parts.groupBy("row", "chunk").applyInArrow(merged_chunk, "row int, chunk long, repeated binary").collect()
-    chunks = -(-counters // CHUNK)
-    empty = bytes(CHUNK // 8)
-    known = {(r.row, r.chunk): r.repeated for r in merged}
-    bitmaps = [zlib.compress(b"".join(zlib.decompress(known[row, c]) if (row, c) in known else empty for c in range(chunks)), 1)
-               for row in range(DEPTH)]
-
-    rows = "slot long, removed boolean, entries binary"
-    found = texts.mapInArrow(candidate_windows(width, counters, slots, bitmaps, key), rows)
-    removed = found.groupBy("slot").applyInArrow(later_windows(slots, key), rows)
-    removed = removed.groupBy("slot").applyInArrow(removed_by_document(key), f"{KEY}, starts binary")
-    if key == MARKED:
-        joined = texts.mapInArrow(with_keys, f"id long, text string, {KEY}").join(removed, ["place", "none", "mark", "more"], "left")
-    else:
-        joined = texts.withColumn("place", F.col("id")).join(removed, "place", "left")
-    kept = joined.select("id", "text", "starts").mapInArrow(
+    # All steps take all columns of this, so that Spark deals the texts once and reads that again.
+    parts = texts.select(F.pmod(F.xxhash64("row"), F.lit(max(16, size // PART))).alias("part"), "id", "row", "text").repartition("part")
+    by_part = parts.groupBy("part")
+    sketches = by_part.applyInArrow(sketch(width, counters, chunk), "row int, chunk long, part long, once_n int, once binary, twice_n int, twice binary")
+    replies = sketches.groupBy("row", "chunk").applyInArrow(summed(chunk), "part long, row int, chunk long, repeated binary")
+    found = by_part.cogroup(replies.groupBy("part")).applyInArrow(candidates(width, counters, chunk, slots, key), "slot long, part long, entries binary")
+    gone = found.groupBy("slot").applyInArrow(later_windows(key), "part long, entries binary")
+    kept = by_part.cogroup(gone.groupBy("part")).applyInArrow(
         without_removed(width), "id long, n_words long, n_removed long, kept_sha256 string, kept string")
     return kept.withColumnRenamed("id", id_col)
 

@@ -86,12 +86,54 @@ def plain_substrings(corpus, width=20):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("most", "at_once"), [(1 << 29, 8 << 20), (1 << 10, 2000)])
-def test_substring_dedup(docs, corpus, monkeypatch, most, at_once):
-    monkeypatch.setattr(substring_dedup, "AT_ONCE", at_once)
-    got = rows(substring_dedup.substring_dedup(docs, most_counters=most))
+@pytest.mark.parametrize(("part", "chunk", "per_byte"), [(3 << 20, 1 << 22, 0.5), (2000, 1 << 10, 0.5), (500, 1 << 22, 8.0)])
+def test_substring_dedup(docs, corpus, monkeypatch, part, chunk, per_byte):
+    monkeypatch.setattr(substring_dedup, "PART", part)
+    monkeypatch.setattr(substring_dedup, "CHUNK", chunk)
+    got = rows(substring_dedup.substring_dedup(docs, counters_per_byte=per_byte))
     want = plain_substrings(corpus)
     assert got == want and sum(r[2] for r in want) > 300
+    # Documents with ids that tell all rows apart take the shorter key.
+    unique = list({r[0]: r for r in corpus if r[0] is not None}.values())
+    table = docs.sparkSession.createDataFrame([r[:2] for r in unique], "doc_id long, text string").repartition(4)
+    assert rows(substring_dedup.substring_dedup(table, counters_per_byte=per_byte)) == plain_substrings(unique)
+
+
+def test_sketch_finds_every_repeat_and_few_others(docs, corpus, monkeypatch):
+    """Of the windows of all parts, those that repeat anywhere are estimated repeated, and at full size hardly any other."""
+    texts = [(t or "").encode() for _, t, *_ in corpus]
+    parts = [pa.table({"part": [i] * len(held), "id": list(range(len(held))), "row": list(range(len(held))), "text": [t.decode() for t in held]})
+             for i, held in enumerate([texts[:20], texts[20:50], texts[50:]])]
+    windows = [substring_dedup.windows_of(p, 20, substring_dedup.UNIQUE)[3] for p in parts]
+    times = Counter(h for w in windows for h in zip(*w.tolist()))
+    for counters, most in ((1 << 20, 5), (1 << 8, len(times))):
+        chunk = 1 << 6 if counters < 1 << 10 else 1 << 18
+        sent = pa.concat_tables([substring_dedup.sketch(20, counters, chunk)(p) for p in parts])
+        replies = []
+        for row in range(2):
+            for number in range(counters // chunk):
+                mask = [a == row and b == number for a, b in zip(sent.column("row").to_pylist(), sent.column("chunk").to_pylist())]
+                if any(mask):
+                    replies += substring_dedup.summed(chunk)(sent.filter(pa.array(mask))).to_pylist()
+        wrong = 0
+        for i, w in enumerate(windows):
+            found = np.ones(w.shape[1], bool)
+            for row in range(2):
+                found &= substring_dedup.repeated(w[row], counters, chunk, [(r["chunk"], r["repeated"]) for r in replies if r["part"] == i and r["row"] == row])
+            really = np.array([times[h] > 1 for h in zip(*w.tolist())])
+            assert found[really].all()
+            wrong += int((found & ~really).sum())
+        assert wrong <= most
+
+
+def test_texts_are_dealt_once(spark):
+    """The three steps that read texts share one exchange of them."""
+    table = spark.createDataFrame([(i, f"a b {i} " * 30) for i in range(50)], "doc_id long, text string")
+    df = substring_dedup.substring_dedup(table).drop("kept")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    dealt = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert len(dealt) == 3 and sum("ReusedExchange" in line for line in dealt) == 2
 
 
 def test_documents_without_own_id_are_told_apart(spark, monkeypatch):
@@ -102,16 +144,11 @@ def test_documents_without_own_id_are_told_apart(spark, monkeypatch):
     texts = [f"{i} {' '.join(f'u{rng.randrange(10**6)}' for _ in range(i % 9))} {shared}" for i in range(40)]
     ids = [None] * 30 + [4] * 9 + [substring_dedup.NO_ID]
     table = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").coalesce(1)
-    texts_of = lambda batches: substring_dedup.chunks_of(batches, 20, substring_dedup.MARKED)
-    keys = np.concatenate([k for k, _, _ in texts_of(iter(table.toArrow().to_batches()))])
-    assert len(np.unique(keys)) == 40
-    rows_of = [*substring_dedup.removed_rows(np.array([(0, 0, *k.tolist(), 5) for k in keys], substring_dedup.entry_of(substring_dedup.MARKED)), 1, substring_dedup.MARKED)]
-    found = substring_dedup.removed_by_document(substring_dedup.MARKED)(pa.table([[r[2] for r in rows_of]], names=["entries"]))
-    assert found.num_rows == 40
+    key = substring_dedup.MARKED
+    given = pa.table({"part": [0] * 40, "id": pa.array(ids, pa.int64()), "row": list(range(40)), "text": texts})
+    keys, numbers, _, _ = substring_dedup.windows_of(given, 20, key)
+    assert len(np.unique(keys)) == 40 and numbers.tolist() == list(range(40))
     assert rows(substring_dedup.substring_dedup(table).select("doc_id", "n_removed")).count((None, 30)) in (29, 30)
-    many = np.zeros(1000, substring_dedup.entry_of(substring_dedup.MARKED))
-    many["id"], many["none"], many["mark"] = substring_dedup.NO_ID, 1, rng.sample(range(1 << 62), 1000)
-    assert len([*substring_dedup.removed_rows(many, 16, substring_dedup.MARKED)]) == 16
 
 
 def test_substring_dedup_of_nothing(empty):
