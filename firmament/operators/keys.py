@@ -29,9 +29,9 @@ def key_columns(df: DataFrame, empty: bool = False) -> KeyColumns:
     A sheet without rows has the default names whatever its columns. Looking for a row would run the plan behind ``df``, so
     the caller tells; the jobs here pass over sheets without rows before they ask.
     """
-    if empty:
-        return _NO_COLUMNS
     written = {c.strip(): c for c in df.columns}
+    if empty or not written:
+        return _NO_COLUMNS
 
     def best(names: tuple[str, ...]) -> str:
         present = sorted(set(names) & set(written), key=names.index)
