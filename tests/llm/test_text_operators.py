@@ -178,6 +178,33 @@ def test_shards(docs, corpus):
     assert Counter((r.doc_id, r["size"], r.text_crc32) for r in got) == want
 
 
+@pytest.mark.parametrize(("shards", "nodes"), [(5, 3), (24, 64), (2, 1)])
+def test_shards_against_a_walk_of_single_keys(docs, corpus, shards, nodes):
+    """Every key goes clockwise by itself, from point to point, until a shard has room; only hashes are shared."""
+    spark = docs.sparkSession
+    points = sharding.ring(spark, shards, nodes, 7)
+    crc = lambda t: zlib.crc32((t or "").encode())
+    keys = [(i, len((t or "").encode()) + 8, crc(t)) for i, t, *_ in corpus]
+    placed = spark.createDataFrame(keys, "id long, size long, crc long").selectExpr("xxhash64(7, id, crc) AS place", "id", "crc", "size").collect()
+    waiting = [[] for _ in points]
+    for r in sorted(placed, key=lambda r: (r.place, r.id is not None, r.id or 0, r.crc, r.size)):
+        waiting[next((i for i, (end, _) in enumerate(points) if r.place <= end), 0)].append(r)
+    room = [len(keys) // shards + (s < len(keys) % shards) for s in range(shards)]
+    used, want = [0] * shards, []
+    while any(waiting):
+        onward = [[] for _ in points]
+        for i, (_, shard) in enumerate(points):
+            for r in waiting[i]:
+                if used[shard] < room[shard]:
+                    want.append((r.id, r.size, r.crc, shard, used[shard]))
+                    used[shard] += 1
+                else:
+                    onward[(i + 1) % len(points)].append(r)
+        waiting = onward
+    got = sharding.ring_shards(docs, shards, nodes).select("doc_id", "size", "text_crc32", "shard", "slot")
+    assert rows(got) == sorted(want, key=repr)
+
+
 def test_shards_move_little(spark):
     many = spark.range(20_000).selectExpr("id AS doc_id", "cast(id AS string) AS text")
     before, after = (dict(sharding.ring_shards(many, shards=s).select("doc_id", "shard").collect()) for s in (24, 25))
