@@ -60,8 +60,13 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table; one that was never written is empty."""
-    return spark.read.schema(schema).parquet(path) if _exists(spark, path) else spark.createDataFrame([], schema)
+    """A stored table; one that was never written is empty. No footer is read for it."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 class StagedBatch:
