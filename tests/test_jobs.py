@@ -697,3 +697,19 @@ def test_daily_run(table, spark, tmp_path):
     assert rows(spark.read.parquet(paths["master"])) == [("AAA", 2020, "9", "2"), ("BBB", 2021, "", ""), ("CCC", 2021, "5", "")]
     assert rows(spark.read.parquet(paths["missing"]).select("ticker", "missing_var", "assigned_to")) == [
         ("BBB", "x", "g2"), ("BBB", "y", "g2"), ("CCC", "y", "")]
+
+
+def test_documents_are_written_by_many_tasks(spark, table):
+    from catalogue.common import by_document
+
+    rows = table([(f"d{i % 40}", i) for i in range(400)], "doc string, n int")
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert by_document(rows).rdd.getNumPartitions() == wanted
+    assert by_document(rows.groupBy("doc").count()).rdd.getNumPartitions() == wanted
+
+
+def test_named_files_are_not_listed_again(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,2020,k,,1\n")
+    listed = documents.csv_files(spark, str(tmp_path)).select("path", (F.col("length") + 9).alias("length"))
+    found = extractions.damaged_documents(spark, str(tmp_path), listed).collect()
+    assert [r.reason for r in found] == ["breaks off"]
