@@ -713,3 +713,18 @@ def test_named_files_are_not_listed_again(spark, tmp_path):
     listed = documents.csv_files(spark, str(tmp_path)).select("path", (F.col("length") + 9).alias("length"))
     found = extractions.damaged_documents(spark, str(tmp_path), listed).collect()
     assert [r.reason for r in found] == ["breaks off"]
+
+
+def test_findings_of_many_part_files_keep_their_order(spark, tmp_path):
+    columns = schemas.FINDING.names
+    rows = spark.range(300).repartitionByRange(3, "id").sortWithinPartitions("id").select(
+        *[F.format_string("%05d", "id").alias(c) if i == 0 else F.lit("x" * 9).alias(c) for i, c in enumerate(columns)])
+    rows.write.option("header", "true").csv(str(tmp_path / "f"))
+    # The last part is the largest file, so it is scanned first.
+    late = spark.range(300, 900).coalesce(1).select(*[F.format_string("%05d", "id").alias(c) for c in columns])
+    late.write.option("header", "true").csv(str(tmp_path / "late"))
+    part = next((tmp_path / "late").glob("part-*.csv"))
+    (tmp_path / "f" / "part-00007-late.csv").write_bytes(part.read_bytes())
+    got = tables.read_findings(spark, str(tmp_path / "f")).orderBy("_row").collect()
+    assert [r[columns[0]] for r in got] == [f"{i:05d}" for i in range(900)]
+    assert len({r._row for r in got}) == 900
