@@ -728,3 +728,14 @@ def test_findings_of_many_part_files_keep_their_order(spark, tmp_path):
     got = tables.read_findings(spark, str(tmp_path / "f")).orderBy("_row").collect()
     assert [r[columns[0]] for r in got] == [f"{i:05d}" for i in range(900)]
     assert len({r._row for r in got}) == 900
+
+
+def test_derived_facts_are_dealt_to_named_tasks(spark, tmp_path):
+    from firmament.standins import TestTables
+
+    orders = spark.range(60).selectExpr(
+        "id AS o_orderkey", "id % 7 AS o_custkey", "DATE'2020-01-01' AS o_orderdate", "CAST(id AS DOUBLE) AS o_totalprice", "'1-URGENT' AS o_orderpriority")
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    facts_of = TestTables(spark, str(tmp_path)).facts()
+    assert facts_of["fact_financial_year"].rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert facts_of["fact_financial_year"].count() == 7
