@@ -739,3 +739,53 @@ def test_derived_facts_are_dealt_to_named_tasks(spark, tmp_path):
     facts_of = TestTables(spark, str(tmp_path)).facts()
     assert facts_of["fact_financial_year"].rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert facts_of["fact_financial_year"].count() == 7
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(90):
+        (tmp_path / f"d{i}").mkdir()
+        (tmp_path / f"d{i}" / "a.csv").write_text("x,2020,k,,1\n")
+    name, most = "spark.sql.sources.parallelPartitionDiscovery.parallelism", documents.LISTING_TASKS * spark.sparkContext.defaultParallelism
+    spark.conf.set(name, "10000")
+    context = spark.sparkContext
+    context.setJobGroup("few-listing-tasks", "", False)
+    try:
+        assert documents.csv_files(spark, str(tmp_path)).count() == 90
+        assert spark.conf.get(name) == "10000"
+        tracker = context.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("few-listing-tasks") for s in tracker.getJobInfo(j).stageIds]
+        assert max(info.numTasks for info in map(tracker.getStageInfo, stages) if info) <= most < 90
+        spark.conf.set(name, "3")
+        with documents.few_listing_tasks(spark):
+            assert spark.conf.get(name) == "3"
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.unset(name)
+
+
+def test_a_batch_scans_its_own_files_only(spark, tmp_path, monkeypatch):
+    from firmament.streaming import incremental
+
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    for i, name in enumerate(["f_2020.csv", "g[1]{2}_2020.csv", "h 100%+_2020.csv"]):
+        (folder / name).write_text(f"x,2020,k,,{i}\n")
+    seen = []
+    read = incremental.read_extraction_csvs
+    monkeypatch.setattr(incremental, "read_extraction_csvs", lambda s, paths, *more, **o: seen.append(paths) or read(s, paths, *more, **o))
+    ingest_new_extractions(spark, str(folder), target, str(tmp_path / "checkpoint"), files_per_batch=1).awaitTermination()
+    assert [len(paths) for paths in seen] == [1, 1, 1]
+    stored = spark.read.parquet(target).collect()
+    assert {(r.source_file.rsplit("/", 1)[1], r.value) for r in stored} == {
+        ("f_2020.csv", "0"), ("g[1]{2}_2020.csv", "1"), ("h 100%+_2020.csv", "2")}
+
+
+def test_a_batch_goes_on_if_a_file_is_gone(spark, tmp_path, monkeypatch):
+    from firmament.streaming import incremental
+
+    folder, target = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    (folder / "f_2020.csv").write_text("x,2020,k,,1\n")
+    monkeypatch.setattr(incremental, "literal_path", lambda path: f"{path}-gone")
+    ingest_new_extractions(spark, str(folder), target, str(tmp_path / "checkpoint")).awaitTermination()
+    assert [r.value for r in spark.read.parquet(target).collect()] == ["1"]
