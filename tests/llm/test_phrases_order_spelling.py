@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -74,6 +75,17 @@ def test_collocations_of_many_chunks(spark, spoken, monkeypatch):
     assert slots.count() == len(want)
 
 
+def test_chunk_is_held_in_little_memory():
+    """A chunk's words are numbered text by text: as objects all at once they took many times the bytes of the texts."""
+    texts = [f"{'one two six ten ' * 250}{i}.".encode() for i in range(500)]
+    tracemalloc.start()
+    state = collocations.chunk_of(0, "en", texts, 1, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert state.column("n")[0].as_py() == 500 * 1001
+    assert peak < 10 * sum(map(len, texts))
+
+
 def test_collocations_of_nothing(spark, empty):
     assert rows(collocations.collocations(empty)) == []
     odd = spark.createDataFrame([(1, None, "en"), (2, "", None), (3, "one two", "en"), (4, ". , ;", "en")], "doc_id long, text string, lang string")
