@@ -789,3 +789,14 @@ def test_a_batch_goes_on_if_a_file_is_gone(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(incremental, "literal_path", lambda path: f"{path}-gone")
     ingest_new_extractions(spark, str(folder), target, str(tmp_path / "checkpoint")).awaitTermination()
     assert [r.value for r in spark.read.parquet(target).collect()] == ["1"]
+
+
+def test_lines_are_read_once(spark, tmp_path):
+    """The check opens no document again once it has looked at its lines; what it tells was kept."""
+    for name, text in {"whole": "a,2020,k,v\n", "open": 'a,2020,k,"v\n', "latin": "a,2020,k,\xe9\n"}.items():
+        (tmp_path / f"{name}.csv").write_bytes(text.encode("latin-1"))
+    listed = spark.createDataFrame([(r.path, r.length) for r in documents.csv_files(spark, str(tmp_path)).collect()], "path string, length long")
+    found = extractions.damaged_documents(spark, str(tmp_path), listed)
+    for file in tmp_path.iterdir():
+        file.unlink()
+    assert {r.source_file.rsplit("/", 1)[1]: r.reason for r in found.collect()} == {"open.csv": "quote not closed", "latin.csv": "not UTF-8"}
