@@ -79,14 +79,10 @@ def year_strict(c: Column) -> Column:
 def stored_as(c: Column, dtype: T.DataType) -> Column:
     """Cast for storage; a value that does not fit stops the job, as a strict database would.
 
-    Doubles go to decimals by half-up rounding.
+    Doubles go to decimals by half-up rounding. The cast stands once, as a decimal is costly to make.
     """
-    out = c.try_cast(dtype)
-    return F.when(
-        c.isNotNull() & out.isNull(),
-        F.raise_error(F.concat(F.lit(f"value out of range for {dtype.simpleString()}: "),
-                               c.cast("string"))),
-    ).otherwise(out)
+    out_of_range = F.raise_error(F.concat(F.lit(f"value out of range for {dtype.simpleString()}: "), c.cast("string")))
+    return F.coalesce(c.try_cast(dtype), F.when(c.isNotNull(), out_of_range))
 
 
 def relative_gap(a: Column, b: Column) -> Column:

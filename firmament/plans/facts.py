@@ -20,20 +20,37 @@ def source_id_of(sources: DataFrame, source_name: str) -> Column:
 
 
 def resolve_batch(panel: DataFrame, firms: DataFrame, sources: DataFrame, snapshots: DataFrame,
-                  source_name: str, version_tag: str) -> DataFrame:
-    """Standardised rows with firm id and the snapshot of their year."""
+                  source_name: str, version_tag: str, found: DataFrame | None = None) -> DataFrame:
+    """Standardised rows with firm id and the snapshot of their year. ``found`` are the batch's ``ticker_firms``, where they are stored."""
     targets = newest_by_year(snapshots, source_id_of(sources, source_name), version_tag)
-    keyed = with_lookup(panel, "ticker", firms, "ticker", ["firm_id"], how="inner")
+    if found is None:
+        keyed = with_lookup(panel, "ticker", firms, "ticker", ["firm_id"], how="inner")
+    else:
+        keyed = panel.join(found.filter("_known").drop("_known"), "ticker")
     # One row per fiscal year, a small integer: at most some ten thousand rows of two numbers.
     return keyed.join(F.broadcast(targets), "fiscal_year")
 
 
+def ticker_firms(panel: DataFrame, firms: DataFrame) -> DataFrame:
+    """Each ticker of the batch as it is written there, with ``_known`` and the id of every firm it means.
+
+    The keys of a collation are worked out one at a time in a process, however many tasks it runs, so a stored batch
+    asks for them once a ticker and not once a row.
+    """
+    known = firms.select("ticker", "firm_id", F.lit(True).alias("_known"))
+    return with_lookup(panel.select("ticker").distinct(), "ticker", known.withColumnRenamed("ticker", "_name"), "_name", ["firm_id", "_known"])
+
+
 def load_problems(panel: DataFrame, firms: DataFrame, sources: DataFrame, snapshots: DataFrame,
-                  source_name: str, version_tag: str) -> DataFrame:
-    """Everything that forbids loading the batch: unknown tickers, source, or years without snapshot."""
+                  source_name: str, version_tag: str, unknown: DataFrame | None = None) -> DataFrame:
+    """Everything that forbids loading the batch: unknown tickers, source, or years without snapshot.
+
+    ``unknown`` are the distinct unknown tickers, where they have been found already.
+    """
     targets = newest_by_year(snapshots, source_id_of(sources, source_name), version_tag)
-    tickers = unknown_keys(panel, "ticker", firms, "ticker").select(
-        F.lit("unknown ticker").alias("problem"), F.col("ticker").alias("value"))
+    if unknown is None:
+        unknown = unknown_keys(panel, "ticker", firms, "ticker")
+    tickers = unknown.select(F.lit("unknown ticker").alias("problem"), F.col("ticker").alias("value"))
     years = panel.select("fiscal_year").distinct().join(targets, "fiscal_year", "left_anti").select(
         F.lit("no snapshot for year").alias("problem"), F.col("fiscal_year").cast("string").alias("value"))
     named = sources.filter(natural_key(F.col("source_name")) == natural_key(F.lit(source_name)))
@@ -76,8 +93,8 @@ def load_facts(spark: SparkSession, panel: DataFrame, tables: dict[str, DataFram
     """Check, stage and publish one batch into the six fact tables; returns the counts per table.
 
     ``tables`` holds dim_firm, dim_data_source and fact_data_snapshot. The standardised batch is
-    written once, checked there and read by all six loads, each with its own columns; the counts are
-    taken from what was staged. Only touched year partitions are rewritten; a table without a folder yet is
+    written once, checked there and read by all six loads, each with its own columns; its tickers are looked up
+    once each, and the counts are taken from what was staged. Only touched year partitions are rewritten; a table without a folder yet is
     begun. A publish that was cut off is taken up by ``StagedBatch.resume``, and ``stored_facts`` reads all old or all new.
     """
     batch = StagedBatch(spark, staging)
@@ -85,9 +102,11 @@ def load_facts(spark: SparkSession, panel: DataFrame, tables: dict[str, DataFram
     panel = spark.read.parquet(f"{staging}/batch")
     lookups = (tables["dim_firm"], tables["dim_data_source"], tables["fact_data_snapshot"],
                source_name, version_tag)
-    overwrite(load_problems(panel, *lookups), f"{staging}/problems")
+    overwrite(ticker_firms(panel, tables["dim_firm"]), f"{staging}/tickers")
+    found = spark.read.parquet(f"{staging}/tickers")
+    overwrite(load_problems(panel, *lookups, unknown=found.filter("_known IS NULL")), f"{staging}/problems")
     require_empty(spark.read.parquet(f"{staging}/problems"), f"batch cannot be loaded, all problems are in {staging}/problems")
-    overwrite(resolve_batch(panel, *lookups), f"{staging}/resolved")
+    overwrite(resolve_batch(panel, *lookups, found=found), f"{staging}/resolved")
     resolved = spark.read.parquet(f"{staging}/resolved")
     changes = {}
     for table, path in fact_paths.items():

@@ -273,6 +273,27 @@ def test_load_is_refused_whole(load, sheet, options, message):
     assert stored("fact_financial_year").count() == 1
 
 
+def test_a_stored_batch_asks_once_a_ticker_for_its_firm(spark, table, monkeypatch, tmp_path):
+    """Collation keys are worked out one at a time in a process, so rows are joined by the ticker as it is written."""
+    looked_up = []
+    monkeypatch.setattr(facts, "with_lookup", lambda df, *args, **how: looked_up.append(rows(df)) or with_lookup(df, *args, **how))
+    sheet = table([(t, 2020, i) for i, t in enumerate(["AAA"] * 50 + ["ÁAA"] * 50 + ["BBB"] * 50)], "ticker string, fiscal_year bigint, _row bigint")
+    sheet = standardise_panel(sheet, keep=("_row",))
+    dims = {"dim_firm": table([(1, "aaa"), (2, "BBB"), (3, "bbb "), (None, "CCC")], "firm_id bigint, ticker string"),
+            "dim_data_source": table([(6, "Src")], "source_id bigint, source_name string"),
+            "fact_data_snapshot": table([(11, datetime.date(2025, 2, 1), 2020, 6, "v1")],
+                                        "snapshot_id bigint, snapshot_date date, fiscal_year int, source_id bigint, version_tag string")}
+    name = "fact_firm_year_meta"
+    counts = facts.load_facts(spark, sheet, dims, {name: str(tmp_path / name)}, str(tmp_path / "stage"), "src", "v1", "2026-01-01")
+    assert [len(r) for r in looked_up] == [3]
+    # Other spellings of a firm meet, a name of two firms gives a row to each, and one without id is known.
+    assert rows(counts) == [(name, 3, 0)]
+    kept = spark.read.parquet(str(tmp_path / "stage" / "resolved")).groupBy("firm_id").count()
+    assert rows(kept) == [(1, 100), (2, 50), (3, 50)]
+    assert [(r.ticker, r._known) for r in facts.ticker_firms(table([("CCC",), ("x",), (None,)], "ticker string"), dims["dim_firm"]).orderBy("ticker").collect()] == [
+        (None, None), ("CCC", True), ("x", None)]
+
+
 def test_standardise_needs_its_keys(table):
     with pytest.raises(keys.RejectedBatch, match="fiscal_year"):
         standardise_panel(table([("A",)], "ticker string"))
