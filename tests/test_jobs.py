@@ -274,7 +274,7 @@ def test_load_is_refused_whole(load, sheet, options, message):
 
 
 def test_a_stored_batch_asks_once_a_ticker_for_its_firm(spark, table, monkeypatch, tmp_path):
-    """Collation keys are worked out one at a time in a process, so rows are joined by the ticker as it is written."""
+    """Collation keys are costly, so rows are joined by the ticker as it is written."""
     looked_up = []
     monkeypatch.setattr(facts, "with_lookup", lambda df, *args, **how: looked_up.append(rows(df)) or with_lookup(df, *args, **how))
     sheet = table([(t, 2020, i) for i, t in enumerate(["AAA"] * 50 + ["ÁAA"] * 50 + ["BBB"] * 50)], "ticker string, fiscal_year bigint, _row bigint")
