@@ -821,3 +821,58 @@ def test_lines_are_read_once(spark, tmp_path):
     for file in tmp_path.iterdir():
         file.unlink()
     assert {r.source_file.rsplit("/", 1)[1]: r.reason for r in found.collect()} == {"open.csv": "quote not closed", "latin.csv": "not UTF-8"}
+
+
+def test_documents_are_landed_as_the_csv_writer_writes_them(spark, table, tmp_path):
+    from catalogue.common import by_document, land_documents
+
+    rows = table([(f"d{i % 3}_2020.csv" if i % 7 else None, i, 'a "b", \xe9€' if i % 2 else None, "" if i % 5 else "two\nlines ") for i in range(200)], "doc string, seq int, a string, b string")
+    dealt = by_document(rows).sortWithinPartitions("doc", "seq")
+    for name, options in {"plain": {}, "other": {"header": "true", "escape": '"', "emptyValue": "", "encoding": "ISO-8859-1", "ignoreTrailingWhiteSpace": "false"}}.items():
+        land_documents(dealt, str(tmp_path / name / "landed"), **options)
+        dealt.write.partitionBy("doc").options(**options).csv(str(tmp_path / name / "written"))
+        landed, written = ({f.parent.name: f.read_bytes() for f in (tmp_path / name / at).glob("doc=*/*.csv")} for at in ("landed", "written"))
+        assert landed == written and len(landed) == 4
+        assert not list((tmp_path / name / "landed").glob("*/.*"))  # no checksums, nothing half written
+
+
+def test_paths_are_cut_as_patterns_would(table):
+    paths = ["/a/x.csv/part-00001-u.csv", "x.csv/part-", "/a/x.txt/part-1.csv", "part-7.csv", "/a/part-7", "s3://b/doc=f_2020.csv/part-00012-u.csv", "/a/k=v/", "/a/2021/b.csv",
+             "/a=1/b_12345_2020.csv", "/a/x.csv/part-9/y.csv", "/x.csv/part-12-a.csv/part-3", "", "/", "a b%20+=c_1999", "/2020=x", None]
+    got = table([(p,) for p in paths], "path string").select(
+        documents.document_path(F.col("path")), F.regexp_replace("path", r"(?<=\.csv)/part-[^/]*$", ""),
+        documents.document_name(F.col("path")), F.regexp_extract(F.regexp_replace("path", r"(?<=\.csv)/part-[^/]*$", ""), r"([^/=]*)/*$", 1),
+        documents.report_year(F.col("path")), F.regexp_extract("path", r"(?:^|[/=])[^/=]*?(\d{4})[^/=]*$", 1).try_cast("int")).collect()
+    assert [(r[0], r[2], r[4]) for r in got] == [(r[1], r[3], r[5]) for r in got]
+
+
+def test_whole_texts_end_as_their_lines_do(spark, tmp_path):
+    rng = random.Random(5)
+    for i in range(150):
+        (tmp_path / f"f{i}.csv").write_text(rng.choice(["", "﻿"]) + "".join(rng.choice(['"', '"', '""', ",", "a", "\n", "\r\n"]) for _ in range(rng.choice([1, 3, 9, 30]))), newline="")
+    by_line = {r.path for r in quotes.unclosed_files(quotes.read_lines(spark, str(tmp_path))).collect()}
+    whole = {r.path for r in quotes.read_texts(spark, str(tmp_path), 1 << 20).where(quotes.text_ends_quoted(F.col("value"))).collect()}
+    assert whole == by_line and 20 < len(whole) < 130
+
+
+def test_many_small_documents_are_scanned_by_few_tasks(spark, table, tmp_path):
+    """A task takes many documents, in the check of a reload as in its scan; the setting is put back."""
+    (tmp_path / "in").mkdir()
+    for i in range(300):
+        (tmp_path / "in" / f"f{i}_2020.csv").write_text(",".join(schemas.EXTRACTION_CSV.names) + "\nx,2020,k,,1,,,,\n")
+    context, group = spark.sparkContext, "few-scan-tasks"
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16m")
+    context.setJobGroup(group, "", False)
+    try:
+        cells = per_file.load_new_documents(spark, str(tmp_path / "in"), table([], "source_file string"), str(tmp_path / "listing"), rejects=str(tmp_path / "rejects"))
+        per_file.write_per_file(cells, str(tmp_path / "out"))
+        tracker = context.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+        assert max(info.numTasks for info in map(tracker.getStageInfo, stages) if info) < 40  # 75 of four documents each before
+        assert spark.conf.get("spark.sql.files.openCostInBytes") == before["spark.sql.files.openCostInBytes"]
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 300
