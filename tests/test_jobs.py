@@ -876,3 +876,18 @@ def test_many_small_documents_are_scanned_by_few_tasks(spark, table, tmp_path):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert spark.read.parquet(str(tmp_path / "out")).count() == 300
+
+
+def test_rows_of_whole_documents_hold_no_listing(spark, tmp_path):
+    """The documents are read once, when they are checked: no scan of them, with its listing on the driver, is part of what is returned."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, text in {"a_2020": "A,2020,k,,1\n", "b_2020": "B,2019,k,,1\n", "c_2020": 'C,2020,k,"v\n', "notes": "A,2020,k,,1\nA,2020,k,,2\n"}.items():
+        (folder / f"{name}.csv").write_text(text)
+    listed = extractions.stored_files(spark, str(folder), str(tmp_path / "listing"))
+    rows = extractions.read_whole_documents(spark, str(folder), str(tmp_path / "rejects"))
+    assert not [f for f in rows.inputFiles() if f.endswith(".csv")]
+    for file in folder.iterdir():
+        file.unlink()
+    assert consolidation.run_counters(listed, rows).first().asDict() == {
+        "total_files": 4, "skip_no_year_in_filename": 1, "read_ok": 2, "read_fail": 1, "year_filter_empty": 1, "pivot_ok": 1}
